@@ -1,0 +1,5 @@
+"""Intentionally empty: the workload is a full-refresh batch.
+
+Sessions arrive as a key of the event source, not as a gap window, and late
+event days are picked up by the next refresh, so there is no stateful stream.
+"""
