@@ -92,3 +92,14 @@ def path_state_code(url: Column) -> Column:
 
 def language_name(code: Column) -> Column:
     return lookup(LANGUAGES, code, F.lit("(blank)"))
+
+
+def word_caps(c: Column) -> Column:
+    """First letter of each word in upper case, the rest in lower case.
+
+    A word ends at white space or at any of the listed marks, not only at a space.
+    """
+    parts = F.split(F.lower(c), r"(?<=[\s\[\](){}/|\\<>!?@\"^#$&~_,.:;*%+-])")
+    return F.array_join(
+        F.transform(parts, lambda w: F.concat(F.upper(F.substring(w, 1, 1)), F.substring(w, 2, 1 << 30))), ""
+    )
