@@ -22,7 +22,8 @@ def exact_median(df: DataFrame, value: Column, by: list[str] | None = None, out:
     cuts = rows.agg(F.percentile_approx("_v", probs, F.lit(10 * BUCKETS)).alias("c")).scalar()
 
     counted = rows.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_n"))
-    counted = counted.withColumn("_b", F.size(F.filter(F.array_distinct(cuts), lambda c: c < F.col("_v"))))
+    counted = counted.withColumn("_cuts", cuts)
+    counted = counted.withColumn("_b", F.size(F.filter("_cuts", lambda cut: cut < F.col("_v")))).drop("_cuts")
     group = Window.partitionBy(*keys)
     ranges = counted.groupBy(*keys, "_b").agg(F.sum("_n").alias("_bn"))
     ranges = ranges.withColumns(

@@ -111,8 +111,8 @@ def _pair_partners(c: Catalog, screens: DataFrame) -> DataFrame:
     pairs = pairs.join(by_source, ["white_label_id", "referral_source"], "left")
 
     def is_used(df: DataFrame, key: Column, out: str) -> DataFrame:
-        known = used.withColumnRenamed("used", out)
-        return df.join(known, key == known["used_code"], "left").drop("used_code")
+        known = used.select(F.col("used_code").alias(f"_{out}"), F.col("used").alias(out))
+        return df.join(known, key == F.col(f"_{out}"), "left").drop(f"_{out}")
 
     source_key = F.when(filled(code), F.trim(source)).otherwise(source)
     pairs = is_used(is_used(pairs, source_key, "source_used"), F.trim(code), "code_used")

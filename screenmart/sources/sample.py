@@ -9,7 +9,8 @@ from __future__ import annotations
 
 import hashlib
 import tempfile
-from functools import lru_cache
+from collections.abc import Callable
+from functools import lru_cache, partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,7 +19,7 @@ from screenmart.catalog import Catalog, Options
 from screenmart.functions.steps import STEPS
 from screenmart.session import checkpoint_dir
 from screenmart.sources.schemas import TABLES, struct_type
-from screenmart.sources.sinks import write_table
+from screenmart.sources.sinks import StoringCatalog, write_table
 
 RAW_TABLES = ["region", "nation", "customer", "part", "orders", "lineitem", "events"]
 
@@ -587,7 +588,19 @@ def _land(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def sample_catalog(spark: SparkSession, sf_dir: str, options: Options | None = None) -> Catalog:
     """Catalog over raw tables derived from the sample tables in ``sf_dir``."""
 
-    def reader(name: str):
-        return lambda: _land(spark, sf_dir, name)
+    return Catalog(spark, _readers(spark, sf_dir), options or Options(analytics_epoch="20240108"))
 
-    return Catalog(spark, {name: reader(name) for name in TABLES}, options or Options(analytics_epoch="20240108"))
+
+def _readers(spark: SparkSession, sf_dir: str) -> dict[str, Callable[[], DataFrame]]:
+    return {name: partial(_land, spark, sf_dir, name) for name in TABLES}
+
+
+_stored: dict[str, StoringCatalog] = {}
+
+
+def stored_sample_catalog(spark: SparkSession, sf_dir: str, options: Options) -> StoringCatalog:
+    """Like ``sample_catalog``, with the marts written once in this application."""
+    folder = _landing_folder(spark.sparkContext.applicationId, sf_dir)
+    if folder not in _stored:
+        _stored[folder] = StoringCatalog(spark, _readers(spark, sf_dir), options, store=f"{folder}/tables")
+    return _stored[folder]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
@@ -28,7 +29,7 @@ def refresh(catalog: Catalog, names: Iterable[str], base: str) -> dict[str, str]
         spec = REGISTRY[name]
         paths[name] = f"{base}/{name}"
         catalog.written.pop(name, None)
-        write_table(catalog[name], paths[name], spec.partition_by, spec.sort_by)
+        write_table(spec.fn(catalog), paths[name], spec.partition_by, spec.sort_by)
         catalog.mark_written(name, paths[name])
     return paths
 
@@ -37,3 +38,20 @@ def register_views(catalog: Catalog, names: Iterable[str]) -> None:
     """Expose datasets to SQL as lazy temporary views."""
     for name in names:
         catalog[name].createOrReplaceTempView(name)
+
+
+@dataclass
+class StoringCatalog(Catalog):
+    """A catalog that writes marts and event families on first use.
+
+    Cards read stored tables, as in the nightly build; this builds only those a
+    card asks for.
+    """
+
+    store: str = ""
+
+    def __getitem__(self, name: str) -> DataFrame:
+        stored = REGISTRY[name].layer == "mart" or name.startswith("stg_ga_")
+        if stored and name not in self.written:
+            refresh(self, [name], self.store)
+        return super().__getitem__(name)
