@@ -40,9 +40,13 @@ RESULTS_RANK = next(rank for slug, _, rank, _ in STEPS if slug == "results")
 _LADDER_SCHEMA = "screener_step_name string, screener_step_label string, funnel_rank long"
 
 
+def sql_literal(x: str | int) -> str:
+    return str(x) if isinstance(x, int) else "'" + x.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def literal_map(pairs: dict) -> Column:
     """A constant map; lookups stay inside the projection."""
-    return F.create_map(*[F.lit(x) for pair in pairs.items() for x in pair])
+    return F.expr("map(" + ", ".join(sql_literal(x) for pair in pairs.items() for x in pair) + ")")
 
 
 def lookup(pairs: dict, key: Column, default: Column | None = None) -> Column:

@@ -8,37 +8,38 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from screenmart.functions.steps import sql_literal
+
 EVENT_KEY = [
     "event_date", "event_timestamp", "event_name", "user_pseudo_id", "user_id",
     "event_bundle_sequence_id", "batch_event_index",
 ]
 
-# How each parameter type reads the value record.
+# How each parameter type reads the value record ``{v}``.
 READERS = {
-    "string": lambda v: v["string_value"],
-    "int": lambda v: v["int_value"],
-    "id": lambda v: F.coalesce(v["int_value"].cast("string"), v["string_value"]),
-    "loose_int": lambda v: F.coalesce(v["int_value"], v["string_value"].try_cast("bigint")),
-    "number": lambda v: F.coalesce(v["double_value"], v["int_value"].cast("double")),
+    "string": "{v}.string_value",
+    "int": "{v}.int_value",
+    "id": "coalesce(cast({v}.int_value as string), {v}.string_value)",
+    "loose_int": "coalesce({v}.int_value, try_cast({v}.string_value as bigint))",
+    "number": "coalesce({v}.double_value, cast({v}.int_value as double))",
 }
 
 SESSION = {"ga_session_id": "int"}
 SCREENING = {**SESSION, "screener_state": "string", "screener_uid": "string"}
 
 
-def param_max(key: str, kind: str = "string", params: str = "event_params") -> Column:
+def _hits(key: str) -> str:
+    return f"filter(event_params, p -> p.key = {sql_literal(key)})"
+
+
+def param_max(key: str, kind: str = "string") -> Column:
     """Largest value of a parameter within the event; NULL when it is absent."""
-    read = READERS[kind]
-    return F.array_max(
-        F.transform(F.filter(params, lambda p: p["key"] == key), lambda p: read(p["value"]))
-    )
+    return F.expr(f"array_max(transform({_hits(key)}, p -> {READERS[kind].format(v='p.value')}))")
 
 
-def param_first(key: str, kind: str = "string", params: str = "event_params") -> Column:
+def param_first(key: str, kind: str = "string") -> Column:
     """Value of a parameter's first occurrence within the event."""
-    read = READERS[kind]
-    hit = F.get(F.filter(params, lambda p: p["key"] == key), F.lit(0))
-    return read(hit["value"])
+    return F.expr(READERS[kind].format(v=f"get({_hits(key)}, 0).value"))
 
 
 @dataclass(frozen=True)

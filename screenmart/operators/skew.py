@@ -11,10 +11,13 @@ from pyspark.sql import functions as F
 HOT_KEYS = 128
 SKETCH_ITEMS = 8192
 SALT_BUCKETS = 64
+# A key is hot above this share of the rows, and never below this many rows.
+HOT_SHARE = 1.0 / 512
+HOT_FLOOR = 100_000
 
 
-def hot_key_hashes(df: DataFrame, on: list[str], share: float = 1.0 / 512) -> Column:
-    """Hashes of the keys that hold more than ``share`` of the rows.
+def hot_key_hashes(df: DataFrame, on: list[str]) -> Column:
+    """Hashes of the keys that hold more than HOT_SHARE of the rows.
 
     One pass over the key columns into a bounded sketch, no shuffle of keys. The
     result only steers salting, so its estimates never change an answer.
@@ -24,7 +27,7 @@ def hot_key_hashes(df: DataFrame, on: list[str], share: float = 1.0 / 512) -> Co
         F.call_function("approx_top_k", F.col("h"), F.lit(HOT_KEYS), F.lit(SKETCH_ITEMS)).alias("top"),
         F.count(F.lit(1)).alias("n"),
     )
-    hot = F.filter("top", lambda x: x["count"] > F.greatest(F.col("n") * F.lit(share), F.lit(1000)))
+    hot = F.filter("top", lambda x: x["count"] > F.greatest(F.col("n") * F.lit(HOT_SHARE), F.lit(float(HOT_FLOOR))))
     return sketch.select(F.transform(hot, lambda x: x["item"]).alias("hot")).scalar()
 
 
@@ -43,7 +46,7 @@ def lookup_join(
     only the hot keys' dimension rows are repeated, at most HOT_KEYS x buckets.
     """
     hot = hot_key_hashes(fact if sketch_from is None else sketch_from, on)
-    spread = F.xxhash64(*[F.col(c) for c in fact.columns])
+    spread = F.expr("xxhash64(*)")
     left = fact.withColumn(
         "_salt",
         F.when(F.array_contains(hot, F.xxhash64(*on)), F.pmod(spread, F.lit(salt_buckets))).otherwise(F.lit(0)),

@@ -316,16 +316,14 @@ OTHER: dict[str, Callable[[Catalog], DataFrame]] = {
 
 
 def plain_types(df: DataFrame) -> DataFrame:
-    """Whole numbers as bigint and decimals as double, the types results are compared in."""
+    """Decimals as double (whole ones as bigint), the types results are compared in."""
     out = []
     for f in df.schema:
-        column = F.col(f"`{f.name}`")
-        if isinstance(f.dataType, (T.IntegerType, T.ShortType, T.ByteType)):
-            column = column.cast("bigint")
-        elif isinstance(f.dataType, T.DecimalType):
-            column = column.cast("bigint" if f.dataType.scale == 0 else "double")
-        out.append(column.alias(f.name))
-    return df.select(*out)
+        name = f"`{f.name}`"
+        if isinstance(f.dataType, T.DecimalType):
+            name = f"cast({name} as {'bigint' if f.dataType.scale == 0 else 'double'}) as {name}"
+        out.append(name)
+    return df.selectExpr(*out)
 
 
 def _dataset(name: str) -> Query:

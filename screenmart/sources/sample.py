@@ -13,8 +13,6 @@ from collections.abc import Callable
 from functools import lru_cache, partial
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
 from screenmart.catalog import Catalog, Options
 from screenmart.functions.steps import STEPS
 from screenmart.session import checkpoint_dir
@@ -524,36 +522,32 @@ def _run(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.sql(text, **{n: _run(spark, sf_dir, n) for n in _placeholders(text)})
 
 
+def _param_entry(name: str) -> str:
+    kinds = EVENT_PARAMS[name]
+
+    def value(kind: str, sql_type: str) -> str:
+        return f"cast({f'{name}__{kind}' if kind in kinds else 'null'} as {sql_type})"
+
+    present = " or ".join(f"{name}__{kind} is not null" for kind in kinds)
+    record = (
+        f"named_struct('string_value', {value('s', 'string')}, 'int_value', {value('i', 'bigint')}, "
+        f"'double_value', {value('d', 'double')})"
+    )
+    return f"case when {present} then named_struct('key', '{name}', 'value', {record}) end"
+
+
+def _item_entry(n: int) -> str:
+    fields = {"item_id": "id", "item_name": "name", "item_category": "category", "item_list_name": "list_name"}
+    record = ", ".join(f"'{field}', item{n}__{column}" for field, column in fields.items())
+    return f"case when item{n}__list_name is not null then named_struct({record}) end"
+
+
 def pack_events(flat: DataFrame) -> DataFrame:
     """Flat columns back into parameter and item arrays without absent entries."""
-    params = []
-    for name, kinds in EVENT_PARAMS.items():
-        typed = {k: F.col(f"{name}__{k}") if k in kinds else F.lit(None) for k in "sid"}
-        present = F.lit(False)
-        for k in kinds:
-            present = present | F.col(f"{name}__{k}").isNotNull()
-        value = F.struct(
-            typed["s"].cast("string").alias("string_value"),
-            typed["i"].cast("bigint").alias("int_value"),
-            typed["d"].cast("double").alias("double_value"),
-        )
-        params.append(F.when(present, F.struct(F.lit(name).alias("key"), value.alias("value"))))
-    items = [
-        F.when(
-            F.col(f"item{n}__list_name").isNotNull(),
-            F.struct(
-                F.col(f"item{n}__id").alias("item_id"),
-                F.col(f"item{n}__name").alias("item_name"),
-                F.col(f"item{n}__category").alias("item_category"),
-                F.col(f"item{n}__list_name").alias("item_list_name"),
-            ),
-        )
-        for n in range(1, ITEM_SLOTS + 1)
-    ]
-    return flat.select(
-        *EVENT_KEYS,
-        F.array_compact(F.array(*params)).alias("event_params"),
-        F.array_compact(F.array(*items)).alias("items"),
+    params = ", ".join(_param_entry(name) for name in EVENT_PARAMS)
+    items = ", ".join(_item_entry(n) for n in range(1, ITEM_SLOTS + 1))
+    return flat.selectExpr(
+        *EVENT_KEYS, f"array_compact(array({params})) as event_params", f"array_compact(array({items})) as items"
     )
 
 
@@ -580,7 +574,10 @@ def _land(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
         if name == "events":
             write_table(pack_events(_run(spark, sf_dir, "flat_events")), path, ["event_date"])
         else:
-            write_table(_run(spark, sf_dir, name).select(*[F.col(f.name).cast(f.dataType) for f in declared]), path)
+            # One generic table arrives as one file; spread it so that scans are parallel.
+            casts = [f"cast({f.name} as {f.dataType.simpleString()}) as {f.name}" for f in declared]
+            rows = _run(spark, sf_dir, name).selectExpr(*casts)
+            write_table(rows.repartition(spark.sparkContext.defaultParallelism, "id"), path)
         _landed.add(path)
     return spark.read.schema(declared).parquet(path)
 
