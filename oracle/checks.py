@@ -407,7 +407,7 @@ FROM {stages} AND distinct_sessions > 0 GROUP BY 1, 2""",
         "QE06_back_navigation": step_rate("navigated_back", s.flagged),
         "QE07_results_revisits": f"""
 SELECT CASE results_load_count WHEN 1 THEN '1 time' WHEN 2 THEN '2 times' ELSE '3+ times' END AS times_viewed,
-  min(least(results_load_count, 3)) AS sort_key, count(*) AS screenings FROM {revisits} GROUP BY 1""",
+  CAST(min(least(results_load_count, 3)) AS INT) AS sort_key, count(*) AS screenings FROM {revisits} GROUP BY 1""",
         "QE08_results_viewed": f"SELECT count(*) AS results_viewed FROM {revisits}",
         "QE09_eligible_share": "SELECT "
         + pct(

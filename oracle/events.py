@@ -164,7 +164,7 @@ FROM outcome_rows""",
     ladder=f"SELECT * FROM (VALUES {LADDER}) t(screener_step_name, funnel_rank)",
     energy_steps=f"SELECT * FROM (VALUES {ENERGY}) t(screener_step_name, funnel_rank)",
     int_screener_furthest_step=f"""
-SELECT session_key, max(step_rank) AS furthest_step_rank, max(event_date) AS event_date,
+SELECT session_key, CAST(max(step_rank) AS BIGINT) AS furthest_step_rank, max(event_date) AS event_date,
   max(event_date_parsed) AS event_date_parsed, max(screener_state) AS screener_state, bool_or(is_cesn) AS is_cesn
 FROM (SELECT {SESSION_KEY} AS session_key, r.funnel_rank AS step_rank, {DAY}, is_cesn
     FROM stg_ga_screener_form_funnel f JOIN ladder r ON f.screener_step_name = r.screener_step_name
@@ -265,7 +265,7 @@ FROM int_ga4_sessions GROUP BY 1, 2, 3, 4, 5""",
     + values([("__form_start__", "Started Screener", 0), *[(s, label, r) for s, label, _, r in STEPS if r is not None]])
     + ") t(screener_step_name, screener_step_label, funnel_rank)",
     mart_screener_cesn_funnel=f"""
-SELECT session_key, max(step_rank) AS furthest_step_rank, max(event_date) AS event_date,
+SELECT session_key, CAST(max(step_rank) AS BIGINT) AS furthest_step_rank, max(event_date) AS event_date,
   max(event_date_parsed) AS event_date_parsed
 FROM (SELECT {SESSION_KEY} AS session_key, l.funnel_rank AS step_rank, event_date, event_date_parsed
     FROM stg_ga_screener_form_funnel f JOIN energy_steps l ON f.screener_step_name = l.screener_step_name

@@ -58,8 +58,8 @@ define(
 SELECT p.id, p.eligibility_snapshot_id, s.screen_id, s.submission_date, s.is_batch, s.had_error, p.new, p.name,
   p.name_abbreviated, CAST(p.estimated_value AS DOUBLE) AS estimated_value, p.estimated_delivery_time,
   p.estimated_application_time, p.eligible, p.failed_tests, p.passed_tests,
-  CAST(s.submission_date AS DATE) AS eligibility_date, year(s.submission_date) AS eligibility_year,
-  month(s.submission_date) AS eligibility_month, day(s.submission_date) AS eligibility_day
+  CAST(s.submission_date AS DATE) AS eligibility_date, CAST(year(s.submission_date) AS INT) AS eligibility_year,
+  CAST(month(s.submission_date) AS INT) AS eligibility_month, CAST(day(s.submission_date) AS INT) AS eligibility_day
 FROM screener_programeligibilitysnapshot p LEFT JOIN screener_eligibilitysnapshot s
   ON p.eligibility_snapshot_id = s.id
 WHERE s.had_error = FALSE AND s.screen_id IS NOT NULL AND p.eligible IS NOT NULL""",

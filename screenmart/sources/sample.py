@@ -10,9 +10,10 @@ from __future__ import annotations
 import hashlib
 import tempfile
 from collections.abc import Callable
-from functools import lru_cache, partial
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
+
 from screenmart.catalog import Catalog, Options
 from screenmart.functions.steps import STEPS
 from screenmart.session import checkpoint_dir
@@ -556,11 +557,16 @@ def _work_folder(spark: SparkSession) -> str:
     return checkpoint_dir(spark) or tempfile.mkdtemp(prefix="screenmart-")
 
 
-@lru_cache(maxsize=None)
-def _landing_folder(app_id: str, sf_dir: str) -> str:
-    spark = SparkSession.getActiveSession()
-    digest = hashlib.sha1(sf_dir.encode()).hexdigest()[:12]
-    return f"{_work_folder(spark)}/screenmart_sample/{app_id}/{digest}"
+_folders: dict[tuple[str, str], str] = {}
+
+
+def _landing_folder(spark: SparkSession, sf_dir: str) -> str:
+    """One folder per application and input, so nothing stale is read."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _folders:
+        digest = hashlib.sha1(sf_dir.encode()).hexdigest()[:12]
+        _folders[key] = f"{_work_folder(spark)}/screenmart_sample/{key[0]}/{digest}"
+    return _folders[key]
 
 
 _landed: set[str] = set()
@@ -568,7 +574,7 @@ _landed: set[str] = set()
 
 def _land(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The raw table as stored Parquet, written on first use in this application."""
-    path = f"{_landing_folder(spark.sparkContext.applicationId, sf_dir)}/{name}"
+    path = f"{_landing_folder(spark, sf_dir)}/{name}"
     declared = struct_type(name)
     if path not in _landed:
         if name == "events":
@@ -597,7 +603,7 @@ _stored: dict[str, StoringCatalog] = {}
 
 def stored_sample_catalog(spark: SparkSession, sf_dir: str, options: Options) -> StoringCatalog:
     """Like ``sample_catalog``, with the marts written once in this application."""
-    folder = _landing_folder(spark.sparkContext.applicationId, sf_dir)
+    folder = _landing_folder(spark, sf_dir)
     if folder not in _stored:
         _stored[folder] = StoringCatalog(spark, _readers(spark, sf_dir), options, store=f"{folder}/tables")
     return _stored[folder]
