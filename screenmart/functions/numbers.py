@@ -27,14 +27,14 @@ def round_ratio(num: Column | str, den: Column | str, places: int, scale: int =
     """``round(scale * num / den, places)``, half up, by integer arithmetic.
 
     ``num`` and ``den`` are non-negative whole numbers. Integers keep a tie such
-    as x.x5 from depending on its nearest double. NULL when ``den`` is 0.
+    as x.x5 from depending on its nearest double. NULL when ``den`` is 0; counts
+    too large for a bigint product raise instead of wrapping.
     """
     unit = 10**places
-    n = col(num).cast("decimal(38,0)")
-    d = F.nullif(col(den).cast("decimal(38,0)"), F.lit(0).cast("decimal(38,0)"))
-    return F.call_function("div", n * F.lit(2 * unit * scale) + d, d * F.lit(2)).cast("double") / F.lit(
-        float(unit)
-    )
+    n = col(num).cast("bigint")
+    d = F.nullif(col(den).cast("bigint"), F.lit(0).cast("bigint"))
+    doubled = n * F.lit(2 * unit * scale).cast("bigint") + d
+    return F.call_function("div", doubled, d * F.lit(2)).cast("double") / F.lit(float(unit))
 
 
 def pct(num: Column | str, den: Column | str, places: int = 1) -> Column:

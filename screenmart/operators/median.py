@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BUCKETS = 256
+STEP = 16
+BUCKETS = STEP * STEP
 
 
 def exact_median(df: DataFrame, value: Column, by: list[str] | None = None, out: str = "median") -> DataFrame:
@@ -19,11 +20,16 @@ def exact_median(df: DataFrame, value: Column, by: list[str] | None = None, out:
     keys = list(by or [])
     rows = df.select(*keys, value.cast("double").alias("_v")).where(F.col("_v").isNotNull())
     probs = F.array(*[F.lit(i / BUCKETS) for i in range(1, BUCKETS)])
-    cuts = rows.agg(F.percentile_approx("_v", probs, F.lit(10 * BUCKETS)).alias("c")).scalar()
-
-    counted = rows.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_n"))
-    counted = counted.withColumn("_cuts", cuts)
-    counted = counted.withColumn("_b", F.size(F.filter("_cuts", lambda cut: cut < F.col("_v")))).drop("_cuts")
+    sketch = rows.agg(F.percentile_approx("_v", probs, F.lit(10 * BUCKETS)).alias("fine"))
+    coarse = F.filter("fine", lambda _, i: i % STEP == STEP - 1).alias("coarse")
+    cuts = sketch.select(F.struct("fine", coarse).alias("cuts")).scalar()
+
+    counted = rows.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_n")).withColumn("_cuts", cuts)
+    # Cut points below the value: whole coarse steps first, then within the step.
+    passed = F.size(F.filter("_cuts.coarse", lambda cut: cut < F.col("_v"))) * STEP
+    counted = counted.withColumn("_b0", passed)
+    within = F.filter(F.slice("_cuts.fine", F.col("_b0") + 1, STEP), lambda cut: cut < F.col("_v"))
+    counted = counted.withColumn("_b", F.col("_b0") + F.size(within)).drop("_cuts", "_b0")
     group = Window.partitionBy(*keys)
     ranges = counted.groupBy(*keys, "_b").agg(F.sum("_n").alias("_bn"))
     ranges = ranges.withColumns(
