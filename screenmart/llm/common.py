@@ -3,8 +3,12 @@
 from __future__ import annotations
 
 import functools
+import os
+import tempfile
 import uuid
-from collections.abc import Iterable, Iterator
+import zipfile
+from collections.abc import Callable, Iterable, Iterator
+from pathlib import Path
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,6 +19,8 @@ ALL = 2**64
 _BASE = 0x9E3779B97F4A7C15 | 1
 #: ASCII white space, the only separators of words and the only characters stripped from lines.
 SPACES = b" \t\n\x0b\x0c\r"
+#: The bits of each byte value, lowest first.
+BYTE_BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").astype(np.int64)
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
 
@@ -31,6 +37,30 @@ def stored(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Let Python workers import this package where PYTHONPATH does not: its sources go out once per application."""
+    app = spark.sparkContext.applicationId
+    root = Path(__file__).resolve().parents[1]
+    if app in _shipped or str(root.parent) in os.environ.get("PYTHONPATH", "").split(os.pathsep):
+        return
+    # Stays until the application ends: Spark serves it to each executor.
+    path = f"{tempfile.mkdtemp()}/{root.name}_sources.zip"
+    with zipfile.ZipFile(path, "w") as archive:
+        for file in sorted(root.rglob("*.py")):
+            archive.write(file, file.relative_to(root.parent))
+    spark.sparkContext.addPyFile(path)
+    _shipped.add(app)
+
+
+def map_arrow(df: DataFrame, run: Callable, schema) -> DataFrame:
+    """``df.mapInArrow`` with this package at hand in the workers."""
+    ship(df.sparkSession)
+    return df.mapInArrow(run, schema)
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

@@ -10,8 +10,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from screenmart.llm.common import crc_fold, documents, mix, slices, span_hashes, stored
+from screenmart.llm.common import BYTE_BITS, crc_fold, documents, map_arrow, mix, slices, span_hashes, stored
 
 UNKNOWN = "und"
 LENGTHS = (2, 3, 4)
@@ -27,15 +28,17 @@ class Filters:
     false_positive: np.ndarray  # per language: share of filled slots to the power of hashes
     expected: np.ndarray  # per language: corrected share of own n-grams that its filter knows
 
-    def popcounts(self, grams: np.ndarray) -> np.ndarray:
-        """Per language: how many of the n-grams its filter answers for."""
-        out = np.zeros(len(self.languages), dtype=np.int64)
-        for w, known in enumerate(self._masks(grams)):
-            # Masks of 64 languages at once; counted bit by bit over the distinct masks.
-            masks, counts = np.unique(known, return_counts=True)
-            for bit in range(min(64, len(out) - 64 * w)):
-                out[64 * w + bit] = counts[(masks >> np.uint64(bit) & np.uint64(1)).astype(bool)].sum()
-        return out
+    def popcounts(self, grams: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """For texts of ``sizes`` n-grams each, per language: how many of them its filter answers for."""
+        slot = np.repeat(np.arange(len(sizes)) * 256, sizes)
+        columns = []
+        for known in self._masks(grams):
+            # Masks of 64 languages at once, counted through one histogram per byte of the mask.
+            of_byte = known.view(np.uint8).reshape(-1, 8)
+            for k in range(min(8, -(-(len(self.languages) - 8 * len(columns)) // 8))):
+                histogram = np.bincount(slot + of_byte[:, k], minlength=256 * len(sizes)).reshape(-1, 256)
+                columns.append(histogram @ BYTE_BITS)
+        return np.concatenate(columns, axis=1)[:, : len(self.languages)]
 
     def _masks(self, grams: np.ndarray) -> np.ndarray:
         at = _slots(grams, self.slots.shape[1], self.hashes)
@@ -107,7 +110,7 @@ def gram_counts(labelled: DataFrame) -> DataFrame:
                         ["lang", "gram", "n"],
                     )
 
-    partial = labelled.select("text", "lang").mapInArrow(run, "lang string, gram long, n long")
+    partial = map_arrow(labelled.select("text", "lang"), run, "lang string, gram long, n long")
     return partial.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
@@ -156,14 +159,13 @@ def decide(filters: Filters, texts: list[str | None]) -> tuple[list[str], np.nda
         return names, scores
     f = filters.false_positive
     for begin, grams, sizes in letter_grams(texts):
-        at = 0
-        for i, n in enumerate(sizes.tolist()):
-            if n:
-                known = filters.popcounts(grams[at : at + n])
-                at += n
-                corrected = np.maximum(0.0, (known - n * f) / np.maximum(1 - f, 1e-9)) / n / filters.expected
-                best = int(np.argmax(corrected))
-                names[begin + i], scores[begin + i] = filters.languages[best], min(1.0, float(corrected[best]))
+        known = filters.popcounts(grams, sizes)
+        n = np.maximum(sizes, 1)[:, None]
+        corrected = np.maximum(0.0, (known - n * f) / np.maximum(1 - f, 1e-9)) / n / filters.expected
+        best = corrected.argmax(axis=1)
+        for i in np.flatnonzero(sizes):
+            names[begin + i] = filters.languages[best[i]]
+            scores[begin + i] = min(1.0, float(corrected[i, best[i]]))
     return names, scores
 
 
@@ -175,7 +177,7 @@ def predict(docs: DataFrame, filters: Filters) -> DataFrame:
     """
     model = docs.sparkSession.sparkContext.broadcast(filters)
     docs = docs.drop("lang_pred", "score")
-    schema = docs.schema.add("lang_pred", "string").add("score", "double")
+    schema = T.StructType([*docs.schema, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -184,7 +186,7 @@ def predict(docs: DataFrame, filters: Filters) -> DataFrame:
             columns = [*batch.columns, pa.array(names, pa.string()), pa.array(scores)]
             yield pa.RecordBatch.from_arrays(columns, schema.names)
 
-    return docs.mapInArrow(run, schema)
+    return map_arrow(docs, run, schema)
 
 
 def identify(docs: DataFrame) -> DataFrame:
