@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from screenmart.llm import langid, lines, simhash
+from screenmart.llm import bpe, langid, lines, orc_tokens, simhash
 
 QUERIES = {
     "op1_langid": langid.op1_langid,
     "op4_simhash": simhash.op4_simhash,
+    "op5_orc_tokens": orc_tokens.op5_orc_tokens,
+    "op7_bpe": bpe.op7_bpe,
     "op9_line_dedup": lines.op9_line_dedup,
 }
 
