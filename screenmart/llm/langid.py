@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import functools
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -12,7 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from screenmart.llm.common import BYTE_BITS, crc_fold, documents, map_arrow, mix, slices, span_hashes, stored
+from screenmart.llm.common import BYTE_BITS, crc_fold, documents, map_arrow, mix, ranges, slices, span_hashes, stored
+from screenmart.llm.pieces import Encoded, letter_words
 
 UNKNOWN = "und"
 LENGTHS = (2, 3, 4)
@@ -46,53 +46,26 @@ class Filters:
 
 
 def _slots(grams: np.ndarray, size: int, hashes: int) -> np.ndarray:
+    """``hashes`` slots of each n-gram; ``size`` is a power of two."""
     step = mix(grams) | np.uint64(1)
-    return np.stack([((grams + np.uint64(k) * step) >> np.uint64(20)) % np.uint64(size) for k in range(hashes)]).astype(np.int64)
-
-
-@functools.lru_cache(maxsize=1)
-def _folded() -> np.ndarray:
-    """For each code point its lower-case letter, or 32 for all that is no letter."""
-    out = np.full(0x110000, 32, dtype=np.uint32)
-    for c in range(0x110000):
-        ch = chr(c)
-        if ch.isalpha():
-            low = ch.lower()
-            out[c] = ord(low) if len(low) == 1 else c
-    return out
-
-
-def letter_grams(texts: list[str | None]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """For ranges of texts: the first text, hashes of letter n-grams, and each text's number of them.
-
-    Words are runs of letters in lower case with one space on either side; n-grams
-    stay in their word and include those spaces.
-    """
-    texts = [t or "" for t in texts]
-    for begin, end in slices(texts):
-        part = texts[begin:end]
-        joined = " " + "  ".join(part) + " "
-        units = _folded()[np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)]
-        # One space between words is enough: drop spaces that follow a space.
-        lengths = np.fromiter((len(t) + 2 for t in part), dtype=np.int64, count=len(part))
-        space = units == 32
-        keep = np.ones(len(units), dtype=bool)
-        keep[1:] = ~(space[1:] & space[:-1])
-        text_of = np.repeat(np.arange(len(part)), lengths)[keep]
-        units = units[keep]
-        space = units == 32
-        n = len(units)
-        spaces_before = np.concatenate(([0], np.cumsum(space)))
-        hashes, owners = [], []
-        for length in LENGTHS:
-            start = np.arange(max(0, n - length + 1))
-            inner = spaces_before[start + length - 1] - spaces_before[np.minimum(start + 1, n)]
-            ok = start[(inner == 0) & ~(space[start] & space[start + length - 1] & (length == 2))]
-            hashes.append(span_hashes(units, ok, ok + length))
-            owners.append(text_of[ok + (length > 1)])
-        owner = np.concatenate(owners)
-        order = np.argsort(owner, kind="stable")
-        yield begin, np.concatenate(hashes)[order], np.bincount(owner, minlength=len(part))
+    last = np.uint64(size - 1)
+    return np.stack([((grams + np.uint64(k) * step) >> np.uint64(20) & last).astype(np.int64) for k in range(hashes)])
+
+
+def word_grams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the n-grams of each word with a space on either side, and each word's number of them."""
+    units = np.frombuffer("".join(f" {w} " for w in words).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    size = np.fromiter((len(w) + 2 for w in words), dtype=np.int64, count=len(words))
+    first = np.cumsum(size) - size
+    hashes, owners = [], []
+    for length in LENGTHS:
+        fit = np.maximum(size - length + 1, 0)
+        at = ranges(first, fit)
+        hashes.append(span_hashes(units, at, at + length))
+        owners.append(np.repeat(np.arange(len(words)), fit))
+    owner = np.concatenate(owners)
+    order = np.argsort(owner, kind="stable")
+    return np.concatenate(hashes)[order], np.bincount(owner, minlength=len(words))
 
 
 def gram_counts(labelled: DataFrame) -> DataFrame:
@@ -102,9 +75,14 @@ def gram_counts(labelled: DataFrame) -> DataFrame:
         for batch in batches:
             texts, langs = batch.column(0).to_pylist(), np.array(batch.column(1).to_pylist(), dtype=object)
             for lang in sorted(set(langs)):
-                chosen = [texts[i] for i in np.flatnonzero(langs == lang)]
-                for _, grams, _ in letter_grams(chosen):
-                    found, n = np.unique(grams, return_counts=True)
+                chosen = [texts[i] or "" for i in np.flatnonzero(langs == lang)]
+                for begin, end in slices(chosen, 4 << 20):
+                    joined, units, starts, ends, _ = letter_words(chosen[begin:end])
+                    _, at, times = np.unique(span_hashes(units, starts, ends), return_index=True, return_counts=True)
+                    words = [joined[s:e] for s, e in zip(starts[at].tolist(), ends[at].tolist(), strict=True)]
+                    grams, sizes = word_grams(words)
+                    found, back = np.unique(grams, return_inverse=True)
+                    n = np.bincount(back, weights=np.repeat(times, sizes), minlength=len(found)).astype(np.int64)
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([lang] * len(found), pa.string()), pa.array(found.view(np.int64)), pa.array(n)],
                         ["lang", "gram", "n"],
@@ -136,7 +114,7 @@ def train(
     table = chosen.select("lang", "gram", "n").toArrow()
     lang_of = np.searchsorted(np.array(languages, dtype=object), np.array(table["lang"].to_pylist(), dtype=object)) if len(table) else np.zeros(0, int)
     grams = table["gram"].to_numpy().view(np.uint64)
-    size = max(64, int(bits_per_gram * np.bincount(lang_of, minlength=1).max()))
+    size = 1 << max(6, int(bits_per_gram * np.bincount(lang_of, minlength=1).max()).bit_length())
     slots = np.zeros((len(languages) + 63 >> 6, size), dtype=np.uint64)
     for number in range(len(languages)):
         at = _slots(grams[lang_of == number], size, hashes).ravel()
@@ -147,7 +125,17 @@ def train(
     return Filters(languages, slots, hashes, filled**hashes, np.maximum(expected, 1e-9))
 
 
-def decide(filters: Filters, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
+def scorer(filters: Filters) -> Encoded:
+    """For each word met so far: its number of n-grams, and each language's popcount."""
+
+    def popcounts(words: list[str]) -> list[list[int]]:
+        grams, sizes = word_grams(words)
+        return np.concatenate([sizes[:, None], filters.popcounts(grams, sizes)], axis=1).tolist()
+
+    return Encoded(popcounts, letter_words, most=8_000_000 // (len(filters.languages) + 1))
+
+
+def decide(filters: Filters, known: Encoded, texts: list[str]) -> tuple[list[str], np.ndarray]:
     """Language and score of each text.
 
     A count c of N n-grams holds false positives: the corrected count is (c - N*f) / (1 - f). Its
@@ -155,15 +143,19 @@ def decide(filters: Filters, texts: list[str | None]) -> tuple[list[str], np.nda
     languages; ties go to the smaller name. The score is that share, at most 1.
     """
     names, scores = [UNKNOWN] * len(texts), np.zeros(len(texts))
-    if not filters.languages:
+    width = len(filters.languages) + 1
+    if width == 1:
         return names, scores
     f = filters.false_positive
-    for begin, grams, sizes in letter_grams(texts):
-        known = filters.popcounts(grams, sizes)
-        n = np.maximum(sizes, 1)[:, None]
-        corrected = np.maximum(0.0, (known - n * f) / np.maximum(1 - f, 1e-9)) / n / filters.expected
+    for begin, end in slices(texts):
+        flat, sizes = known.texts(texts[begin:end])
+        sums = np.concatenate((np.zeros((1, width), np.int64), np.cumsum(flat.reshape(-1, width), axis=0, dtype=np.int64)))
+        last = np.cumsum(sizes // width)
+        counts = sums[last] - sums[last - sizes // width]
+        n = np.maximum(counts[:, :1], 1)
+        corrected = np.maximum(0.0, (counts[:, 1:] - n * f) / np.maximum(1 - f, 1e-9)) / n / filters.expected
         best = corrected.argmax(axis=1)
-        for i in np.flatnonzero(sizes):
+        for i in np.flatnonzero(counts[:, 0]).tolist():
             names[begin + i] = filters.languages[best[i]]
             scores[begin + i] = min(1.0, float(corrected[i, best[i]]))
     return names, scores
@@ -181,8 +173,9 @@ def predict(docs: DataFrame, filters: Filters) -> DataFrame:
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = scorer(model.value)
         for batch in batches:
-            names, scores = decide(model.value, batch.column(at).to_pylist())
+            names, scores = decide(model.value, known, [t or "" for t in batch.column(at).to_pylist()])
             columns = [*batch.columns, pa.array(names, pa.string()), pa.array(scores)]
             yield pa.RecordBatch.from_arrays(columns, schema.names)
 

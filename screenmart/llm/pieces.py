@@ -68,11 +68,39 @@ def split(texts: list[str]) -> tuple[str, np.ndarray, np.ndarray, np.ndarray, np
     return joined, units, starts, ends, np.diff(bounds)
 
 
+@functools.lru_cache(maxsize=1)
+def _folded() -> np.ndarray:
+    """For each code point its lower-case letter, or 32 for all that is no letter."""
+    out = np.full(0x110000, 32, dtype=np.uint32)
+    for c in np.flatnonzero(_classes() == LETTER).tolist():
+        low = chr(c).lower()
+        out[c] = ord(low) if len(low) == 1 else c
+    return out
+
+
+def letter_words(texts: list[str]) -> tuple[str, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Like ``split``: the runs of letters, in lower case."""
+    units = np.frombuffer(" ".join(texts).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    units = _folded()[units]
+    inside = np.zeros(len(units) + 2, dtype=np.int8)
+    inside[1:-1] = units != 32
+    edge = np.diff(inside)
+    starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    lengths = np.fromiter((len(t) + 1 for t in texts), dtype=np.int64, count=len(texts))
+    counts = np.diff(np.searchsorted(starts, np.concatenate(([0], np.cumsum(lengths)))))
+    return units.astype("<u4").tobytes().decode("utf-32-le", "surrogatepass"), units, starts, ends, counts
+
+
 class Encoded:
     """Token ids of pieces met so far, sorted by hash. Forgets all when full: a speed-up, not a limit."""
 
-    def __init__(self, encode: Callable[[list[str]], list[list[int]]], most: int = 2_500_000):
-        self.encode, self.most = encode, most
+    def __init__(
+        self,
+        encode: Callable[[list[str]], list[list[int]]],
+        split: Callable[[list[str]], tuple] = split,
+        most: int = 2_500_000,
+    ):
+        self.encode, self.split, self.most = encode, split, most
         self.forget()
 
     def forget(self) -> None:
@@ -102,7 +130,7 @@ class Encoded:
 
     def texts(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after the other, and each text's number of them."""
-        joined, units, starts, ends, counts = split(texts)
+        joined, units, starts, ends, counts = self.split(texts)
         hashes, where, back = np.unique(span_hashes(units, starts, ends), return_index=True, return_inverse=True)
         if len(self.hashes) + len(hashes) > self.most:
             self.forget()
