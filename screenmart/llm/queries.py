@@ -2,16 +2,23 @@
 
 from __future__ import annotations
 
-from screenmart.llm import bpe, langid, lines, orc_tokens, simhash
+from screenmart.llm import bpe, decontaminate, embedding, langid, lines, orc_tokens, simhash, toxicity, warc_zip
 
 QUERIES = {
     "op1_langid": langid.op1_langid,
+    "op2_warc_zip": warc_zip.op2_warc_zip,
     "op4_simhash": simhash.op4_simhash,
     "op5_orc_tokens": orc_tokens.op5_orc_tokens,
+    "op6_decontamination": decontaminate.op6_decontamination,
     "op7_bpe": bpe.op7_bpe,
+    "op8_embedding": embedding.op8_embedding,
     "op9_line_dedup": lines.op9_line_dedup,
+    "op10_toxicity": toxicity.op10_toxicity,
 }
 
 ORACLE_SQL = {
+    "op2_warc_zip": warc_zip.OP2_SQL,
+    "op6_decontamination": decontaminate.OP6_SQL,
+    "op8_embedding": embedding.OP8_SQL,
     "op9_line_dedup": lines.OP9_SQL,
 }
