@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from screenmart.llm import bpe, decontaminate, embedding, langid, lines, orc_tokens, simhash, toxicity, warc_zip
+from screenmart.llm import bpe, decontaminate, embedding, langid, lines, lm, orc_tokens, simhash, toxicity, warc_zip
 
 QUERIES = {
     "op1_langid": langid.op1_langid,
     "op2_warc_zip": warc_zip.op2_warc_zip,
+    "op3_lm": lm.op3_lm,
     "op4_simhash": simhash.op4_simhash,
     "op5_orc_tokens": orc_tokens.op5_orc_tokens,
     "op6_decontamination": decontaminate.op6_decontamination,
