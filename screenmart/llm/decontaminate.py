@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from screenmart.llm.common import documents, stored
+from screenmart.llm.common import documents, fresh, stored
 
 WIDTH = 5
 BITS = 64
@@ -123,8 +123,9 @@ def find(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8, radius:
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8) -> DataFrame:
     """The rows of ``docs`` without a match of ``find``."""
-    found = find(docs, benchmark, similarity).select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(found, F.col("doc_id").eqNullSafe(F.col("_id")), "left_anti")
+    (matched,) = fresh(docs, "_matched")
+    found = find(docs, benchmark, similarity).select(F.col("doc_id").alias(matched)).distinct()
+    return docs.join(found, F.col("doc_id").eqNullSafe(F.col(matched)), "left_anti")
 
 
 def op6_decontamination(spark, sf_dir: str) -> DataFrame:

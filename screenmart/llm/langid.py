@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from screenmart.llm.common import BYTE_BITS, crc_fold, documents, map_arrow, mix, ranges, slices, span_hashes, stored
+from screenmart.llm.common import BYTE_BITS, crc_fold, documents, fresh, map_arrow, mix, ranges, slices, span_hashes, stored
 from screenmart.llm.pieces import Encoded, letter_words
 
 UNKNOWN = "und"
@@ -161,15 +161,17 @@ def decide(filters: Filters, known: Encoded, texts: list[str]) -> tuple[list[str
     return names, scores
 
 
-def predict(docs: DataFrame, filters: Filters) -> DataFrame:
-    """All columns of ``docs`` with lang_pred and score, from the text alone.
+def predict(docs: DataFrame, filters: Filters, names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """All columns of ``docs`` with lang_pred and score (or other ``names``), from the text alone.
+
+    Columns that have these names already are replaced.
 
     ``und`` with score 0 where the text is null or has no letter. The filters travel as one
     broadcast, bounded by 1/least_share n-grams a language. Whole texts are read.
     """
     model = docs.sparkSession.sparkContext.broadcast(filters)
-    docs = docs.drop("lang_pred", "score")
-    schema = T.StructType([*docs.schema, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
+    docs = docs.drop(*names)
+    schema = T.StructType([*docs.schema, T.StructField(names[0], T.StringType()), T.StructField(names[1], T.DoubleType())])
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -182,20 +184,21 @@ def predict(docs: DataFrame, filters: Filters) -> DataFrame:
     return map_arrow(docs, run, schema)
 
 
-def identify(docs: DataFrame) -> DataFrame:
+def identify(docs: DataFrame, names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
     """lang_pred and score for all rows, learned from the rows outside crc fold 2 of 4 that have a lang.
 
     Rows without a doc_id teach nothing. Empty tables and tables without any lang
     answer ``und`` everywhere.
     """
     taught = docs.where(crc_fold("doc_id", 4) != 2).where("lang is not null")
-    return predict(docs, train(taught.select("text", "lang")))
+    return predict(docs, train(taught.select("text", "lang")), names)
 
 
 def keep_known(docs: DataFrame, least_score: float = 0.35) -> DataFrame:
     """Rows of ``docs`` whose text is in a known language: all but ``und`` and scores under ``least_score``."""
-    judged = identify(docs)
-    return judged.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least_score)).select(*docs.columns)
+    lang, score = fresh(docs, "lang_pred", "score")
+    judged = identify(docs, (lang, score))
+    return judged.where((F.col(lang) != UNKNOWN) & (F.col(score) >= least_score)).select(*docs.columns)
 
 
 def op1_langid(spark, sf_dir: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from screenmart.llm.common import stored
+from screenmart.llm.common import fresh, stored
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -44,16 +44,19 @@ def dedup_lines(docs: DataFrame, least_docs: int = 10, least_chars: int = 1) ->
         rows.select("h", "g", "doc_id").distinct()
         .groupBy("h", "g").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least_docs).select("h", "g")
     )
-    drop = rows.join(shared, ["h", "g"], "left_semi").groupBy("doc_id", "_same").agg(F.collect_set("pos").alias("_drop"))
-    drop = drop.select(F.col("doc_id").alias("_id"), F.col("_same").alias("_h"), "_drop")
-    joined = docs.withColumn("_same", same).join(
-        drop, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_same") == F.col("_h")), "left"
+    own_same, drop_id, drop_same, drop = fresh(docs, "_same", "_drop_id", "_drop_same", "_drop")
+    dropped = (
+        rows.join(shared, ["h", "g"], "left_semi").groupBy("doc_id", "_same").agg(F.collect_set("pos").alias(drop))
+        .select(F.col("doc_id").alias(drop_id), F.col("_same").alias(drop_same), drop)
+    )
+    joined = docs.withColumn(own_same, same).join(
+        dropped, F.col("doc_id").eqNullSafe(F.col(drop_id)) & (F.col(own_same) == F.col(drop_same)), "left"
     )
-    kept = F.filter(lines, lambda line, pos: F.col("_drop").isNull() | ~F.array_contains("_drop", pos))
+    kept = F.filter(lines, lambda line, pos: ~F.array_contains(drop, pos))
     out = joined.withColumns({
         "n_lines": F.size(lines).cast("bigint"),
-        "n_dropped": F.coalesce(F.size("_drop"), F.lit(0)).cast("bigint"),
-        "text": F.when(F.col("_drop").isNull(), text).otherwise(F.array_join(kept, "\n")),
+        "n_dropped": F.coalesce(F.size(drop), F.lit(0)).cast("bigint"),
+        "text": F.when(F.col(drop).isNull(), text).otherwise(F.array_join(kept, "\n")),
     })
     return out.select(*docs.columns, "n_lines", "n_dropped")
 
