@@ -21,6 +21,10 @@ from screenmart.llm.pieces import Encoded
 PAIRS = 1_000_000
 
 
+class Irregular(Exception):
+    """Merges are not in order of rank, so pairs alone do not decide: plain merging does. Trained vocabularies have none."""
+
+
 class Bpe:
     """Tokens by rank: of two neighbouring parts whose bytes together are a token, the lowest rank merges first."""
 
@@ -33,23 +37,27 @@ class Bpe:
         self.matches.make_automaton()
         self.length = {rank: len(token) for token, rank in ranks.items()}
         self.made: dict[int, bool] = {}
+        #: Tokens that a merge of lower rank follows one of higher rank in: ranks then do not tell what came first.
+        self.irregular: set[int] = set()
         self.parts: dict[int, tuple[int, int] | None] = {}
         self.shorter: dict[int, int | None] = {}
         self.fits: dict[tuple[int, int], bool] = {}
 
-    def merge(self, piece: bytes) -> tuple[list[int], tuple[int, int] | None]:
-        """Plain merging: the ids, and the two parts of the last merge."""
+    def merge(self, piece: bytes) -> tuple[list[int], tuple[int, int] | None, bool]:
+        """Plain merging: the ids, the two parts of the last merge, and whether ranks only rose."""
         parts = [piece[i : i + 1] for i in range(len(piece))]
-        last = None
+        last, before, rising = None, -1, True
         while len(parts) > 1:
             ranks = [self.ranks.get(a + b) for a, b in zip(parts, parts[1:], strict=False)]
             known = [r for r in ranks if r is not None]
             if not known:
                 break
-            at = ranks.index(min(known))
+            rank = min(known)
+            at = ranks.index(rank)
             last = (self.ranks[parts[at]], self.ranks[parts[at + 1]])
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
-        return [self.ranks[p] for p in parts], last
+            rising, before = rising and rank >= before, rank
+        return [self.ranks[p] for p in parts], last, rising
 
     def split(self, token: int) -> tuple[int, int] | None:
         """The parts that a token is merged from; None for a single byte."""
@@ -60,7 +68,10 @@ class Bpe:
     def reachable(self, token: int) -> bool:
         known = self.made.get(token)
         if known is None:
-            known = self.made[token] = self.merge(self.bytes_of[token])[0] == [token]
+            ids, _, rising = self.merge(self.bytes_of[token])
+            known = self.made[token] = ids == [token]
+            if known and not rising:
+                self.irregular.add(token)
         return known
 
     def next_shorter(self, token: int) -> int | None:
@@ -75,7 +86,10 @@ class Bpe:
         """Whether merging ever leaves the two tokens side by side; the answer is remembered."""
         if len(self.fits) >= PAIRS:
             self.fits.clear()
-        verdict = self.reachable(pair[0]) and self.reachable(pair[1]) and self._stay_apart(*pair)
+        verdict = self.reachable(pair[0]) and self.reachable(pair[1])
+        if verdict and not self.irregular.isdisjoint(pair):
+            raise Irregular
+        verdict = verdict and self._stay_apart(*pair)
         self.fits[pair] = verdict
         return verdict
 
@@ -119,6 +133,12 @@ class Bpe:
         whole = self.ranks.get(piece)
         if whole is not None:
             return [whole]
+        try:
+            return self._match(piece)
+        except Irregular:
+            return self.merge(piece)[0]
+
+    def _match(self, piece: bytes) -> list[int]:
         fits, compatible = self.fits, self.compatible
         text = piece.decode("latin-1")
         ids = [token for _, token in self.matches.iter_long(text)]
@@ -151,6 +171,8 @@ class Bpe:
                     continue
             token = shorter[token] if token in shorter else self.next_shorter(token)
             while token is None:
+                if not ids:
+                    raise Irregular
                 dead.add(at)
                 token = ids.pop()
                 at -= length[token]

@@ -34,7 +34,7 @@ class Filters:
         columns = []
         for known in self._masks(grams):
             # Masks of 64 languages at once, counted through one histogram per byte of the mask.
-            of_byte = known.view(np.uint8).reshape(-1, 8)
+            of_byte = np.ascontiguousarray(known).view(np.uint8).reshape(-1, 8)
             for k in range(min(8, -(-(len(self.languages) - 8 * len(columns)) // 8))):
                 histogram = np.bincount(slot + of_byte[:, k], minlength=256 * len(sizes)).reshape(-1, 256)
                 columns.append(histogram @ BYTE_BITS)
