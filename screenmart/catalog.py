@@ -11,6 +11,7 @@ from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 DatasetFn = Callable[["Catalog"], DataFrame]
 
@@ -64,7 +65,8 @@ class Catalog:
     spark: SparkSession
     sources: Mapping[str, Callable[[], DataFrame]]
     options: Options = field(default_factory=Options)
-    written: dict[str, str] = field(default_factory=dict)
+    # Path and schema of each written table: types are those of the plan, partition columns included.
+    written: dict[str, tuple[str, StructType]] = field(default_factory=dict)
     _memo: dict[str, DataFrame] = field(default_factory=dict, repr=False)
 
     def source(self, name: str) -> DataFrame:
@@ -76,12 +78,13 @@ class Catalog:
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._memo:
             if name in self.written:
-                self._memo[name] = self.spark.read.parquet(self.written[name])
+                path, schema = self.written[name]
+                self._memo[name] = self.spark.read.schema(schema).parquet(path)
             else:
                 self._memo[name] = REGISTRY[name].fn(self)
         return self._memo[name]
 
-    def mark_written(self, name: str, path: str) -> None:
+    def mark_written(self, name: str, path: str, schema: StructType) -> None:
         """Let later readers of ``name`` scan the table instead of the plan."""
-        self.written[name] = path
+        self.written[name] = (path, schema)
         self._memo.clear()

@@ -117,3 +117,12 @@ class EventScope:
         if self.end is not None:
             conditions.append(day <= F.lit(self.end))
         return all_of(conditions)
+
+    def days(self, column: str = "event_date") -> Column:
+        """The same window over the day as text (yyyyMMdd), the form tables are split by."""
+        day, conditions = F.col(column), [F.col(column) >= F.lit(f"{self.epoch:%Y%m%d}")]
+        if self.start is not None:
+            conditions.append(day >= F.lit(f"{self.start:%Y%m%d}"))
+        if self.end is not None:
+            conditions.append(day <= F.lit(f"{self.end:%Y%m%d}"))
+        return all_of(conditions)

@@ -1,4 +1,9 @@
-"""Lookups that stay balanced when one key holds much of the fact side."""
+"""Joins of a fact to a side that has one row per key.
+
+Rows of popular keys are split by adaptive execution, which session.py forces on: it
+measures the shuffled partitions, so there is no list of hot keys to keep. Only rows that
+cannot match are spread here.
+"""
 
 from __future__ import annotations
 
@@ -7,57 +12,22 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# At most this many keys are spread; each other key then holds under 1/HOT_KEYS of the rows.
-HOT_KEYS = 128
-SKETCH_ITEMS = 8192
-SALT_BUCKETS = 64
-# A key is hot above this share of the rows, and never below this many rows.
-HOT_SHARE = 1.0 / 512
-HOT_FLOOR = 100_000
-
-
-def hot_key_hashes(df: DataFrame, on: list[str]) -> Column:
-    """Hashes of the keys that hold more than HOT_SHARE of the rows.
-
-    One pass over the key columns into a bounded sketch, no shuffle of keys. The
-    result only steers salting, so its estimates never change an answer.
-    """
-    hashed = df.select(F.xxhash64(*on).alias("h"))
-    sketch = hashed.agg(
-        F.call_function("approx_top_k", F.col("h"), F.lit(HOT_KEYS), F.lit(SKETCH_ITEMS)).alias("top"),
-        F.count(F.lit(1)).alias("n"),
-    )
-    hot = F.filter("top", lambda x: x["count"] > F.greatest(F.col("n") * F.lit(HOT_SHARE), F.lit(float(HOT_FLOOR))))
-    return sketch.select(F.transform(hot, lambda x: x["item"]).alias("hot")).scalar()
-
 
 def lookup_join(
-    fact: DataFrame,
-    dim: DataFrame,
-    on: list[str],
-    how: str = "left",
-    null_safe: bool = False,
-    sketch_from: DataFrame | None = None,
-    salt_buckets: int = SALT_BUCKETS,
-) -> DataFrame:
-    """Join a fact to a dimension that has one row per key, salting hot keys.
+    fact: DataFrame, dim: DataFrame, on: list[str], how: str = "left", null_safe: bool = False
+) -> DataFrame:
+    """Join a fact to a dimension that has one row per key.
 
-    Rows of a hot key go to one of ``salt_buckets`` parts by a hash of the row;
-    only the hot keys' dimension rows are repeated, at most HOT_KEYS x buckets.
+    In a left join rows with a NULL key match nothing; they are dealt out by a hash of
+    the row and do not meet in one task.
     """
-    hot = hot_key_hashes(fact if sketch_from is None else sketch_from, on)
-    spread = F.expr("xxhash64(*)")
-    left = fact.withColumn(
-        "_salt",
-        F.when(F.array_contains(hot, F.xxhash64(*on)), F.pmod(spread, F.lit(salt_buckets))).otherwise(F.lit(0)),
-    )
-    salts = F.sequence(F.lit(0), F.lit(salt_buckets - 1)).cast("array<bigint>")
-    one = F.array(F.lit(0).cast("bigint"))
-    right = dim.withColumn("_salt", F.explode(F.when(F.array_contains(hot, F.xxhash64(*on)), salts).otherwise(one)))
-    keys = [*on, "_salt"]
-    if not null_safe:
-        return left.join(right, keys, how).drop("_salt")
-    return null_safe_join(left, right, keys, how).drop("_salt")
+    if null_safe:
+        return null_safe_join(fact, dim, on, how)
+    if how != "left":
+        return fact.join(dim, on, how)
+    unmatched = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in on])
+    left = fact.withColumn("_spread", F.when(unmatched, F.expr("xxhash64(*)")).otherwise(F.lit(0)))
+    return left.join(dim.withColumn("_spread", F.lit(0).cast("bigint")), [*on, "_spread"], how).drop("_spread")
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "left") -> DataFrame:
@@ -67,12 +37,10 @@ def null_safe_join(left: DataFrame, right: DataFrame, on: list[str], how: str =
     return left.join(renamed, cond, how).drop(*[f"_r_{c}" for c in on])
 
 
-def attach_group_values(
-    df: DataFrame, keys: list[str], aggs: list[Column], sketch_from: DataFrame | None = None
-) -> DataFrame:
+def attach_group_values(df: DataFrame, keys: list[str], aggs: list[Column]) -> DataFrame:
     """``agg(...) over (partition by keys)`` for order-free aggregates.
 
     A window puts a whole group in one task. Here the group is reduced by partial
-    aggregation and its one row is joined back with salting.
+    aggregation and its one row is joined back. ``df`` is read twice: pass a stored table.
     """
-    return lookup_join(df, df.groupBy(*keys).agg(*aggs), keys, "left", null_safe=True, sketch_from=sketch_from)
+    return null_safe_join(df, df.groupBy(*keys).agg(*aggs), keys)

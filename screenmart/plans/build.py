@@ -30,9 +30,9 @@ def relational_order() -> list[str]:
 
 def event_order() -> list[str]:
     """Each family is cut out of the raw events once, then the marts read it."""
-    families = _named("stg_ga_")
+    families = [*_named("ga_", "rows"), *_named("stg_ga_")]
     shared = [n for n in SHARED if n.startswith("int_")]
-    marts = [n for n, d in REGISTRY.items() if d.fn.__module__ == event_marts.__name__]
+    marts = [n for n, d in REGISTRY.items() if d.fn.__module__ == event_marts.__name__ and d.layer == "mart"]
     return [*families, *shared, *marts]
 
 

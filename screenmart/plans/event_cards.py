@@ -19,7 +19,10 @@ from screenmart.plans.event_marts import EDIT_STEP_LINK, nps_category
 
 
 def scoped(c: Catalog, mart: str, s: EventScope, form: str = "plain") -> DataFrame:
-    return c[mart].where(getattr(s, form)() & s.window())
+    rows = c[mart]
+    kept = getattr(s, form)() & s.window()
+    # Day-split tables are pruned by the day as they store it.
+    return rows.where(kept & s.days() if "event_date" in rows.columns else kept)
 
 
 def capped(value: Column) -> Column:
@@ -552,6 +555,7 @@ def footer_feedback_share(c: Catalog, s: EventScope) -> DataFrame:
     return _chrome(c, s, "feedback_share")
 
 
+# Links of the disclaimer page.
 DISCLAIMER_LINKS = [(1, "Public Charge"), (2, "Privacy Policy"), (3, "Terms and Conditions")]
 
 

@@ -135,7 +135,7 @@ def mart_screener_cesn_combined_ladder(c: Catalog) -> DataFrame:
     return steps.energy_ladder(c.spark)
 
 
-@dataset("mart", grain=["session_key"])
+@dataset("mart", grain=["session_key"], sort_by=["event_date_parsed"])
 def mart_screener_cesn_funnel(c: Catalog) -> DataFrame:
     """Highest energy-program rung per session; starting the form is rung 0."""
     viewed = named("screener_form_step") & (F.col("step_action") == "view")
@@ -150,7 +150,7 @@ def mart_screener_cesn_funnel(c: Catalog) -> DataFrame:
     return out.select(session_json().alias("session_key"), *out.columns[2:])
 
 
-@dataset("mart", grain=["session_key"])
+@dataset("mart", grain=["session_key"], sort_by=["event_date_parsed"])
 def mart_screener_furthest_step(c: Catalog) -> DataFrame:
     return c["int_screener_furthest_step"]
 
@@ -221,7 +221,7 @@ def viewed_step() -> Column:
     return named("screener_form_step") & (F.col("step_action") == "view")
 
 
-@dataset("mart", grain=["session_key", "screener_step_name"])
+@dataset("mart", grain=["session_key", "screener_step_name"], sort_by=["event_date_parsed"])
 def mart_screener_step_facts(c: Catalog) -> DataFrame:
     out = (
         _form_steps(c)
@@ -241,7 +241,7 @@ def mart_screener_step_facts(c: Catalog) -> DataFrame:
     )
 
 
-@dataset("mart", grain=["screener_uid", "screener_step_name", "event_date_parsed"])
+@dataset("mart", grain=["screener_uid", "screener_step_name", "event_date_parsed"], sort_by=["event_date_parsed"])
 def mart_screener_step_views_by_screening(c: Catalog) -> DataFrame:
     out = (
         _form_steps(c)
@@ -252,7 +252,7 @@ def mart_screener_step_views_by_screening(c: Catalog) -> DataFrame:
     return out.withColumn("screener_step_label", steps.step_label(F.col("screener_step_name")))
 
 
-@dataset("mart", grain=["screener_uid"])
+@dataset("mart", grain=["screener_uid"], sort_by=["event_date_parsed"])
 def mart_screener_screening_funnel(c: Catalog) -> DataFrame:
     """Stages a screening reached over its whole life, from every event that names it."""
     stages = {
@@ -301,23 +301,27 @@ def mart_screener_screening_funnel(c: Catalog) -> DataFrame:
 # --- results ----------------------------------------------------------------
 
 
-def _placeholder_impressions(c: Catalog) -> DataFrame:
+@dataset("rows", partition_by=["event_date"])
+def ga_placeholder_rows(c: Catalog) -> DataFrame:
     """Result lists that hold only the "nothing to show" placeholder program."""
     programs = F.filter("items", lambda i: i["item_list_name"] == "results_programs")
     lists = events_since(c.source("events"), c.options.analytics_epoch).where(named("view_item_list"))
     only_placeholder = (F.size(programs) == 1) & (F.get(programs, F.lit(0))["item_id"] == "(not set)")
-    rows = lists.where(only_placeholder).select(
+    return lists.where(only_placeholder).select(
         "event_date",
         event_day().alias("event_date_parsed"),
         param_first("screener_state").alias("screener_state"),
         param_first("screener_uid").alias("screener_uid"),
         "user_pseudo_id",
         param_first("ga_session_id", "int").alias("ga_session_id"),
-    )
+    ).where("screener_uid is not null")
+
+
+def _placeholder_impressions(c: Catalog) -> DataFrame:
     flag = F.bool_or(lower_is("screener_state", "cesn"))
     if c.options.coalesce_cesn:
         flag = F.coalesce(flag, F.lit(False))
-    return attach_group_values(rows.where("screener_uid is not null"), SESSION_KEYS, [flag.alias("is_cesn")])
+    return attach_group_values(c["ga_placeholder_rows"], SESSION_KEYS, [flag.alias("is_cesn")])
 
 
 @dataset("mart", partition_by=["event_date"])
@@ -356,7 +360,7 @@ def mart_screener_results_outcomes(c: Catalog) -> DataFrame:
     return null_safe_join(counts, values, keys)
 
 
-@dataset("mart", grain=["screener_uid"])
+@dataset("mart", grain=["screener_uid"], sort_by=["event_date_parsed"])
 def mart_screener_results_revisits(c: Catalog) -> DataFrame:
     loads = c["stg_ga_screener_results_outcomes"].where(
         named("screener_results_loaded") & F.col("screener_uid").isNotNull()
@@ -377,7 +381,7 @@ def mart_screener_results_back(c: Catalog) -> DataFrame:
     return counted(backs, DAY_STATE, "total_clicks", "screenings_went_back", "screener_uid")
 
 
-@dataset("mart")
+@dataset("mart", sort_by=["event_date_parsed"])
 def mart_screener_scroll_depth(c: Catalog) -> DataFrame:
     """Screenings by the furthest depth they reached in a tab."""
     scroll = c["stg_ga_screener_scroll_depth"].where("depth is not null and tab_name is not null")
@@ -493,7 +497,7 @@ def mart_screener_confirmation_edits(c: Catalog) -> DataFrame:
     return counted(edits, [*DAY_STATE, "section_label"], "total_edits", "screenings", "screener_uid")
 
 
-@dataset("mart")
+@dataset("mart", sort_by=["event_date_parsed"])
 def mart_screener_member_income(c: Catalog) -> DataFrame:
     """Member pages viewed, and those where income was added or deleted."""
     page = ["screener_uid", "member_index"]
@@ -516,7 +520,7 @@ def mart_screener_member_income(c: Catalog) -> DataFrame:
     )
 
 
-@dataset("mart", grain=["screener_uid", "section", "action"])
+@dataset("mart", grain=["screener_uid", "section", "action"], sort_by=["event_date_parsed"])
 def mart_screener_section_engagement(c: Catalog) -> DataFrame:
     sections = {"screener_household_member": "Household Members", "screener_income_source": "Income Sources"}
     engaged = c["stg_ga_screener_section_engagement"].where("screener_uid is not null")
@@ -550,10 +554,11 @@ def mart_screener_signup_consent(c: Catalog) -> DataFrame:
 
 # --- site chrome, help, language ----------------------------------------------
 
+# Pages of the footer links.
 FOOTER_PAGES = ["About Us", "Privacy Policy", "Terms and Conditions"]
 
 
-@dataset("mart", grain=["element_group", "element", "session_key"])
+@dataset("mart", grain=["element_group", "element", "session_key"], sort_by=["event_date_parsed"])
 def mart_screener_footer_engagement(c: Catalog) -> DataFrame:
     """Header and footer elements a session used, under the session's own state."""
     state = F.coalesce("screener_state", "url_screener_state").alias("row_state")
@@ -653,6 +658,7 @@ def mart_screener_language(c: Catalog) -> DataFrame:
     return counted(changes, [*DAY_STATE, "language_name"], "total_changes", "distinct_screenings", SESSION_KEYS)
 
 
+# The link that leads back to a step.
 EDIT_STEP_LINK = "Additional Resources — Edit Step"
 
 
@@ -740,6 +746,7 @@ def mart_screener_saves(c: Catalog) -> DataFrame:
 
 # --- programs, navigators, resources ------------------------------------------
 
+# Interaction kinds by event.
 INTERACTIONS = {
     "screener_apply_click": "apply",
     "screener_program_more_info": "more_info",
@@ -772,7 +779,7 @@ def mart_screener_program_interactions(c: Catalog) -> DataFrame:
     return _with_program_name(c, totals)
 
 
-@dataset("mart")
+@dataset("mart", sort_by=["event_date_parsed"])
 def mart_screener_program_interactions_by_screening(c: Catalog) -> DataFrame:
     """Distinct interactions per screening; the placeholder program stays in."""
     keys = [
@@ -830,6 +837,6 @@ def mart_screener_resource_engagement(c: Catalog) -> DataFrame:
     return counted(_resource_rows(c), keys, "total_clicks", "distinct_screenings", "screener_uid")
 
 
-@dataset("mart")
+@dataset("mart", sort_by=["event_date_parsed"])
 def mart_screener_resource_engagement_by_screening(c: Catalog) -> DataFrame:
     return _resource_rows(c).drop("event_date").distinct()

@@ -14,9 +14,7 @@ from screenmart.operators.event_params import (
     EventFamily,
     event_day,
     exploded_items,
-    of_family,
     param_first,
-    param_max,
     pivot_params,
     typed,
 )
@@ -40,13 +38,6 @@ def _dated(df: DataFrame, moment: str | None = "event_datetime") -> DataFrame:
     return df if moment is None else df.withColumn(moment, F.timestamp_micros("event_timestamp"))
 
 
-def _session_keys_of(events: DataFrame, family: EventFamily) -> DataFrame:
-    """Session keys straight from the raw events, for the hot-key sketch."""
-    return of_family(events, family).select(
-        "user_pseudo_id", param_max("ga_session_id", "int").alias("ga_session_id")
-    )
-
-
 def _energy_flag(c: Catalog, flag: Column) -> Column:
     return F.coalesce(flag, F.lit(False)) if c.options.coalesce_cesn else flag
 
@@ -263,6 +254,33 @@ UI_EVENTS = EventFamily(
 )
 
 
+# Families whose rows are read twice, for session flags and for themselves: stored between.
+
+
+@dataset("rows", partition_by=["event_date"])
+def ga_form_rows(c: Catalog) -> DataFrame:
+    return pivot_params(c.source("events"), FORM)
+
+
+@dataset("rows", partition_by=["event_date"])
+def ga_outcome_rows(c: Catalog) -> DataFrame:
+    return pivot_params(c.source("events"), OUTCOMES)
+
+
+@dataset("rows", partition_by=["event_date"])
+def ga_resource_rows(c: Catalog) -> DataFrame:
+    """Resource clicks, and one row per resource of a shown list."""
+    shown = exploded_items(c.source("events"), ["results_resources"], _impression_columns())
+    shown = shown.withColumns(
+        {
+            "event_name": F.lit("screener_resource_shown"),
+            "batch_event_index": F.col("batch_event_index") + F.col("off"),
+            "resource_name": F.col("item.item_name"),
+        }
+    ).drop("item", "off")
+    return pivot_params(c.source("events"), RESOURCES).unionByName(shown, allowMissingColumns=True)
+
+
 @dataset("staging", partition_by=["event_date"])
 def stg_ga_screener_form_funnel(c: Catalog) -> DataFrame:
     """Form events with two facts of their whole session.
@@ -281,9 +299,7 @@ def stg_ga_screener_form_funnel(c: Catalog) -> DataFrame:
             F.when(F.bool_or(step == "cesn-energy-expenses"), "renter"),
         ).alias("cesn_path"),
     ]
-    rows = pivot_params(c.source("events"), FORM)
-    sketch = _session_keys_of(c.source("events"), FORM)
-    return _dated(attach_group_values(rows, SESSION_KEYS, flags, sketch))
+    return _dated(attach_group_values(c["ga_form_rows"], SESSION_KEYS, flags))
 
 
 @dataset("staging", partition_by=["event_date"])
@@ -334,27 +350,14 @@ def stg_ga_screener_program_interactions(c: Catalog) -> DataFrame:
 @dataset("staging", partition_by=["event_date"])
 def stg_ga_screener_resource_engagement(c: Catalog) -> DataFrame:
     """Resource clicks and shown resources with the session's energy-program flag."""
-    shown = exploded_items(c.source("events"), ["results_resources"], _impression_columns())
-    shown = shown.withColumns(
-        {
-            "event_name": F.lit("screener_resource_shown"),
-            "batch_event_index": F.col("batch_event_index") + F.col("off"),
-            "resource_name": F.col("item.item_name"),
-        }
-    ).drop("item", "off")
-    rows = pivot_params(c.source("events"), RESOURCES).unionByName(shown, allowMissingColumns=True)
     flag = _energy_flag(c, F.bool_or(lower_is("screener_state", "cesn"))).alias("is_cesn")
-    wide = EventFamily([*RESOURCES.names, "view_item_list"], {})
-    sketch = _session_keys_of(c.source("events"), wide)
-    return _dated(attach_group_values(rows, SESSION_KEYS, [flag], sketch))
+    return _dated(attach_group_values(c["ga_resource_rows"], SESSION_KEYS, [flag]))
 
 
 @dataset("staging", partition_by=["event_date"])
 def stg_ga_screener_results_outcomes(c: Catalog) -> DataFrame:
     flag = _energy_flag(c, F.bool_or(lower_is("screener_state", "cesn"))).alias("is_cesn")
-    rows = pivot_params(c.source("events"), OUTCOMES)
-    sketch = _session_keys_of(c.source("events"), OUTCOMES)
-    return _dated(attach_group_values(rows, SESSION_KEYS, [flag], sketch))
+    return _dated(attach_group_values(c["ga_outcome_rows"], SESSION_KEYS, [flag]))
 
 
 @dataset("staging", partition_by=["event_date"])

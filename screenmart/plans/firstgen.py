@@ -13,69 +13,243 @@ from screenmart.plans.relational import MEMBER_COLUMNS, completed_screens, unpiv
 
 MONEY = "decimal(18,2)"
 
-# Programs with a column of their own.
-PROGRAMS = """
-acp andcs awd_medicaid bca cccap cdhcs cfhc chp chs cocb coctc coeitc co_energy_calculator_bheap
-co_energy_calculator_bhgap co_energy_calculator_care co_energy_calculator_cngba co_energy_calculator_cowap
-co_energy_calculator_cpcr co_energy_calculator_ea co_energy_calculator_energy_ebt co_energy_calculator_eoc
-co_energy_calculator_eoccip co_energy_calculator_eocs co_energy_calculator_leap co_energy_calculator_poipp
-co_energy_calculator_ubp co_energy_calculator_xceleap co_energy_calculator_xcelgap co_medicaid co_snap co_tanf
-co_wic _dev_ineligible cowap cpcr ctc cwd_medicaid dpp dptr dsr dtr ede eitc emergency_medicaid erap erc fatc fps
-leap lifeline lwcr ma_aca ma_ccdf ma_cfc ma_eaedc ma_maeitc ma_mass_health ma_mass_health_limited ma_mbta ma_snap
-ma_ssp ma_tafdc ma_wic medicaid medicare_savings mydenver myspark nc_aca nccip nc_emergency_medicaid nc_lieap
-nc_medicaid nc_scca nc_snap nc_tanf ncwap nc_wic il_aabd il_aca il_aca_adults il_all_kids il_bap il_ctc il_eitc
-il_family_care il_liheap il_medicaid il_moms_and_babies il_nslp il_snap il_tanf il_transit_reduced_fare il_wic nf
-nfp nslp oap omnisalud pell_grant rag rhc rtdlive shitc sunbucks snap ssdi ssi tabor tanf trua ubp upk wic
-""".split()
-
-# Programs counted as tax credits, and the one in neither total.
-TAX_PROGRAMS = {"coctc", "coeitc", "eitc", "fatc", "il_ctc", "il_eitc", "ma_maeitc", "shitc"}
-UNSUMMED_PROGRAMS = {"upk"}
-
-# Benefit labels and the programs counted beside them, each in its
-# published order. The two are paired by position as published: from "MA TAFDC" on
-# a label stands beside the program before its own, and the last has no label.
-BENEFIT_LABELS = """
-ACP|ANDCS|AWD Medicaid|BCA|CCCAP|CDHCS|CFHC|CHP|CHS|COCB|COCTC|COEITC|CO Energy Calculator BHEAP
-CO Energy Calculator BHGAP|CO Energy Calculator Care|CO Energy Calculator CNGBA|CO Energy Calculator CPCR
-CO Energy Calculator EA|CO Energy Calculator EBT|CO Energy Calculator EOC|CO Energy Calculator EOC CIP
-CO Energy Calculator EOCS|CO Energy Calculator LEAP|CO Energy Calculator POIPP|CO Energy Calculator UBP
-CO Energy Calculator XCELEAP|CO Energy Calculator XCELGAP|CO Medicaid|CO SNAP|CO TANF|CO WIC|COWAP|CPCR|CTC
-CWD Medicaid|DPP|DPTR|DSR|DTR|EDE|EITC|Emergency Medicaid|ERAP|ERC|FATC|FPS|LEAP|Lifeline|LWCR|MA ACA|MA CCDF
-MA CFC|MA EAEDC|MA EITC|MA Mass Health|MA Mass Health Limited Annual|MA MBTA|MA SNAP|MA SSP|MA TAFDC|MA WIC
-Medicaid|Medicare Savings|My Denver|My Spark|NC ACA|NCCIP|NC Emergency Medicaid|NC LIEAP|NC Medicaid|NC SCCA
-NC SNAP|NC TANF|NC WAP|NC WIC|IL AABD|IL ACA|IL ACA Adults|IL All Kids|IL BAP|IL CTC|IL EITC|IL Family Care
-IL LIHEAP|IL Medicaid|IL Moms and Babies|IL NSLP|IL SNAP|IL TANF|IL Transit Reduced Fare|IL WIC|NF|MFP|NSLP|OAP
-Omnisalud|Pell Grant|RAG|RHC|RTD Live|SHITC|Sunbucks|SNAP|SSDI|SSI|Tabor|TANF|TRUA|UBP|WIC
-""".strip().replace("\n", "|").split("|")
-
-BENEFIT_PROGRAMS = """
-acp andcs awd_medicaid bca cccap cdhcs cfhc chp chs cocb coctc coeitc co_energy_calculator_bheap
-co_energy_calculator_bhgap co_energy_calculator_care co_energy_calculator_cngba co_energy_calculator_cpcr
-co_energy_calculator_ea co_energy_calculator_energy_ebt co_energy_calculator_eoc co_energy_calculator_eoccip
-co_energy_calculator_eocs co_energy_calculator_leap co_energy_calculator_poipp co_energy_calculator_ubp
-co_energy_calculator_xceleap co_energy_calculator_xcelgap co_medicaid co_snap co_tanf co_wic cowap cpcr ctc
-cwd_medicaid dpp dptr dsr dtr ede eitc emergency_medicaid erap erc fatc fps leap lifeline lwcr ma_aca ma_ccdf
-ma_cfc ma_eaedc ma_maeitc ma_mass_health ma_mass_health_limited ma_mbta ma_snap ma_ssp ma_ssp ma_tafdc ma_wic
-medicaid medicare_savings mydenver myspark nc_aca nccip nc_emergency_medicaid nc_lieap nc_medicaid nc_scca nc_snap
-nc_tanf ncwap nc_wic il_aabd il_aca il_aca_adults il_all_kids il_bap il_ctc il_eitc il_family_care il_liheap
-il_medicaid il_moms_and_babies il_nslp il_snap il_tanf il_transit_reduced_fare il_wic nf nfp nslp oap omnisalud
-pell_grant rag rhc rtdlive shitc sunbucks snap ssdi ssi tabor tanf trua ubp wic
-""".split()
-
-
-def default_wide_programs() -> list[tuple[str, bool | None]]:
-    """(abbreviation, is tax credit) with None for a program in neither total."""
-    return [(p, None if p in UNSUMMED_PROGRAMS else p in TAX_PROGRAMS) for p in PROGRAMS]
-
-
-def default_benefit_labels() -> list[tuple[str | None, str]]:
-    missing = len(BENEFIT_PROGRAMS) - len(BENEFIT_LABELS)
-    return list(zip([*BENEFIT_LABELS, *[None] * missing], BENEFIT_PROGRAMS, strict=True))
+# Fixed values: (program with a column of its own, whether it counts as a tax credit; None: in neither total).
+WIDE_PROGRAMS: list[tuple[str, bool | None]] = [
+    ("acp", False),
+    ("andcs", False),
+    ("awd_medicaid", False),
+    ("bca", False),
+    ("cccap", False),
+    ("cdhcs", False),
+    ("cfhc", False),
+    ("chp", False),
+    ("chs", False),
+    ("cocb", False),
+    ("coctc", True),
+    ("coeitc", True),
+    ("co_energy_calculator_bheap", False),
+    ("co_energy_calculator_bhgap", False),
+    ("co_energy_calculator_care", False),
+    ("co_energy_calculator_cngba", False),
+    ("co_energy_calculator_cowap", False),
+    ("co_energy_calculator_cpcr", False),
+    ("co_energy_calculator_ea", False),
+    ("co_energy_calculator_energy_ebt", False),
+    ("co_energy_calculator_eoc", False),
+    ("co_energy_calculator_eoccip", False),
+    ("co_energy_calculator_eocs", False),
+    ("co_energy_calculator_leap", False),
+    ("co_energy_calculator_poipp", False),
+    ("co_energy_calculator_ubp", False),
+    ("co_energy_calculator_xceleap", False),
+    ("co_energy_calculator_xcelgap", False),
+    ("co_medicaid", False),
+    ("co_snap", False),
+    ("co_tanf", False),
+    ("co_wic", False),
+    ("_dev_ineligible", False),
+    ("cowap", False),
+    ("cpcr", False),
+    ("ctc", False),
+    ("cwd_medicaid", False),
+    ("dpp", False),
+    ("dptr", False),
+    ("dsr", False),
+    ("dtr", False),
+    ("ede", False),
+    ("eitc", True),
+    ("emergency_medicaid", False),
+    ("erap", False),
+    ("erc", False),
+    ("fatc", True),
+    ("fps", False),
+    ("leap", False),
+    ("lifeline", False),
+    ("lwcr", False),
+    ("ma_aca", False),
+    ("ma_ccdf", False),
+    ("ma_cfc", False),
+    ("ma_eaedc", False),
+    ("ma_maeitc", True),
+    ("ma_mass_health", False),
+    ("ma_mass_health_limited", False),
+    ("ma_mbta", False),
+    ("ma_snap", False),
+    ("ma_ssp", False),
+    ("ma_tafdc", False),
+    ("ma_wic", False),
+    ("medicaid", False),
+    ("medicare_savings", False),
+    ("mydenver", False),
+    ("myspark", False),
+    ("nc_aca", False),
+    ("nccip", False),
+    ("nc_emergency_medicaid", False),
+    ("nc_lieap", False),
+    ("nc_medicaid", False),
+    ("nc_scca", False),
+    ("nc_snap", False),
+    ("nc_tanf", False),
+    ("ncwap", False),
+    ("nc_wic", False),
+    ("il_aabd", False),
+    ("il_aca", False),
+    ("il_aca_adults", False),
+    ("il_all_kids", False),
+    ("il_bap", False),
+    ("il_ctc", True),
+    ("il_eitc", True),
+    ("il_family_care", False),
+    ("il_liheap", False),
+    ("il_medicaid", False),
+    ("il_moms_and_babies", False),
+    ("il_nslp", False),
+    ("il_snap", False),
+    ("il_tanf", False),
+    ("il_transit_reduced_fare", False),
+    ("il_wic", False),
+    ("nf", False),
+    ("nfp", False),
+    ("nslp", False),
+    ("oap", False),
+    ("omnisalud", False),
+    ("pell_grant", False),
+    ("rag", False),
+    ("rhc", False),
+    ("rtdlive", False),
+    ("shitc", True),
+    ("sunbucks", False),
+    ("snap", False),
+    ("ssdi", False),
+    ("ssi", False),
+    ("tabor", False),
+    ("tanf", False),
+    ("trua", False),
+    ("ubp", False),
+    ("upk", None),
+    ("wic", False),
+]
+
+# Fixed values: (benefit label, program counted beside it), paired by position as
+# published: from "MA TAFDC" on a label stands beside the program before its own, and
+# the last program has no label.
+BENEFIT_LABELS: list[tuple[str | None, str]] = [
+    ("ACP", "acp"),
+    ("ANDCS", "andcs"),
+    ("AWD Medicaid", "awd_medicaid"),
+    ("BCA", "bca"),
+    ("CCCAP", "cccap"),
+    ("CDHCS", "cdhcs"),
+    ("CFHC", "cfhc"),
+    ("CHP", "chp"),
+    ("CHS", "chs"),
+    ("COCB", "cocb"),
+    ("COCTC", "coctc"),
+    ("COEITC", "coeitc"),
+    ("CO Energy Calculator BHEAP", "co_energy_calculator_bheap"),
+    ("CO Energy Calculator BHGAP", "co_energy_calculator_bhgap"),
+    ("CO Energy Calculator Care", "co_energy_calculator_care"),
+    ("CO Energy Calculator CNGBA", "co_energy_calculator_cngba"),
+    ("CO Energy Calculator CPCR", "co_energy_calculator_cpcr"),
+    ("CO Energy Calculator EA", "co_energy_calculator_ea"),
+    ("CO Energy Calculator EBT", "co_energy_calculator_energy_ebt"),
+    ("CO Energy Calculator EOC", "co_energy_calculator_eoc"),
+    ("CO Energy Calculator EOC CIP", "co_energy_calculator_eoccip"),
+    ("CO Energy Calculator EOCS", "co_energy_calculator_eocs"),
+    ("CO Energy Calculator LEAP", "co_energy_calculator_leap"),
+    ("CO Energy Calculator POIPP", "co_energy_calculator_poipp"),
+    ("CO Energy Calculator UBP", "co_energy_calculator_ubp"),
+    ("CO Energy Calculator XCELEAP", "co_energy_calculator_xceleap"),
+    ("CO Energy Calculator XCELGAP", "co_energy_calculator_xcelgap"),
+    ("CO Medicaid", "co_medicaid"),
+    ("CO SNAP", "co_snap"),
+    ("CO TANF", "co_tanf"),
+    ("CO WIC", "co_wic"),
+    ("COWAP", "cowap"),
+    ("CPCR", "cpcr"),
+    ("CTC", "ctc"),
+    ("CWD Medicaid", "cwd_medicaid"),
+    ("DPP", "dpp"),
+    ("DPTR", "dptr"),
+    ("DSR", "dsr"),
+    ("DTR", "dtr"),
+    ("EDE", "ede"),
+    ("EITC", "eitc"),
+    ("Emergency Medicaid", "emergency_medicaid"),
+    ("ERAP", "erap"),
+    ("ERC", "erc"),
+    ("FATC", "fatc"),
+    ("FPS", "fps"),
+    ("LEAP", "leap"),
+    ("Lifeline", "lifeline"),
+    ("LWCR", "lwcr"),
+    ("MA ACA", "ma_aca"),
+    ("MA CCDF", "ma_ccdf"),
+    ("MA CFC", "ma_cfc"),
+    ("MA EAEDC", "ma_eaedc"),
+    ("MA EITC", "ma_maeitc"),
+    ("MA Mass Health", "ma_mass_health"),
+    ("MA Mass Health Limited Annual", "ma_mass_health_limited"),
+    ("MA MBTA", "ma_mbta"),
+    ("MA SNAP", "ma_snap"),
+    ("MA SSP", "ma_ssp"),
+    ("MA TAFDC", "ma_ssp"),
+    ("MA WIC", "ma_tafdc"),
+    ("Medicaid", "ma_wic"),
+    ("Medicare Savings", "medicaid"),
+    ("My Denver", "medicare_savings"),
+    ("My Spark", "mydenver"),
+    ("NC ACA", "myspark"),
+    ("NCCIP", "nc_aca"),
+    ("NC Emergency Medicaid", "nccip"),
+    ("NC LIEAP", "nc_emergency_medicaid"),
+    ("NC Medicaid", "nc_lieap"),
+    ("NC SCCA", "nc_medicaid"),
+    ("NC SNAP", "nc_scca"),
+    ("NC TANF", "nc_snap"),
+    ("NC WAP", "nc_tanf"),
+    ("NC WIC", "ncwap"),
+    ("IL AABD", "nc_wic"),
+    ("IL ACA", "il_aabd"),
+    ("IL ACA Adults", "il_aca"),
+    ("IL All Kids", "il_aca_adults"),
+    ("IL BAP", "il_all_kids"),
+    ("IL CTC", "il_bap"),
+    ("IL EITC", "il_ctc"),
+    ("IL Family Care", "il_eitc"),
+    ("IL LIHEAP", "il_family_care"),
+    ("IL Medicaid", "il_liheap"),
+    ("IL Moms and Babies", "il_medicaid"),
+    ("IL NSLP", "il_moms_and_babies"),
+    ("IL SNAP", "il_nslp"),
+    ("IL TANF", "il_snap"),
+    ("IL Transit Reduced Fare", "il_tanf"),
+    ("IL WIC", "il_transit_reduced_fare"),
+    ("NF", "il_wic"),
+    ("MFP", "nf"),
+    ("NSLP", "nfp"),
+    ("OAP", "nslp"),
+    ("Omnisalud", "oap"),
+    ("Pell Grant", "omnisalud"),
+    ("RAG", "pell_grant"),
+    ("RHC", "rag"),
+    ("RTD Live", "rhc"),
+    ("SHITC", "rtdlive"),
+    ("Sunbucks", "shitc"),
+    ("SNAP", "sunbucks"),
+    ("SSDI", "snap"),
+    ("SSI", "ssdi"),
+    ("Tabor", "ssi"),
+    ("TANF", "tabor"),
+    ("TRUA", "tanf"),
+    ("UBP", "trua"),
+    ("WIC", "ubp"),
+    (None, "wic"),
+]
 
 
 def _wide_programs(c: Catalog) -> list[tuple[str, bool | None]]:
-    return list(c.options.wide_programs or default_wide_programs())
+    return list(c.options.wide_programs or WIDE_PROGRAMS)
 
 
 def _latest_values(c: Catalog) -> DataFrame:
@@ -132,7 +306,7 @@ def _pair_partners(c: Catalog, screens: DataFrame) -> DataFrame:
     )
     no_code = F.when(~filled(source), "No Partner").otherwise(with_source)
     pairs = pairs.select(*keys, F.when(filled(code), with_code).otherwise(no_code).alias("partner"))
-    return lookup_join(screens, pairs, keys, "left", null_safe=True, sketch_from=raw)
+    return lookup_join(screens, pairs, keys, "left", null_safe=True)
 
 
 ENERGY = [
@@ -178,7 +352,7 @@ def data(c: Catalog) -> DataFrame:
 @dataset("mart")
 def data_currentbenefits(c: Catalog) -> DataFrame:
     """Screens with a positive value per tenant, partner and listed benefit."""
-    pairs = list(c.options.benefit_labels or default_benefit_labels())
+    pairs = list(c.options.benefit_labels or BENEFIT_LABELS)
     programs = list(dict.fromkeys(p for _, p in pairs if p is not None))
     counts = c["data"].groupBy("white_label_id", "partner")
     counts = counts.agg(*[F.count_if(F.col(f"{p}_annual") > 0).alias(p) for p in programs])

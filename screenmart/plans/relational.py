@@ -125,12 +125,17 @@ def stg_monthly_income(c: Catalog) -> DataFrame:
     return _per_month(c.source("screener_incomestream"), "monthly_income")
 
 
-def _eligible_values(c: Catalog) -> DataFrame:
-    """Value per snapshot and program, before any join multiplies the rows."""
+def _eligible_values(c: Catalog, latest: DataFrame | None = None) -> DataFrame:
+    """Value per snapshot and program, before any join multiplies the rows.
+
+    With ``latest`` only those snapshots' rows are aggregated, and carry their screen.
+    """
     eligible = c.source("screener_programeligibilitysnapshot").where("eligible")
-    return eligible.groupBy("eligibility_snapshot_id", "name_abbreviated").agg(
-        F.sum("estimated_value").alias("annual_value")
-    )
+    keys = ["eligibility_snapshot_id", "name_abbreviated"]
+    if latest is not None:
+        of = latest.select("screen_id", F.col("latest_snapshot_id").alias("eligibility_snapshot_id"))
+        eligible, keys = eligible.join(of, "eligibility_snapshot_id"), ["screen_id", *keys]
+    return eligible.groupBy(*keys).agg(F.sum("estimated_value").alias("annual_value"))
 
 
 def _with_tax_flag(c: Catalog, df: DataFrame) -> DataFrame:
@@ -233,9 +238,7 @@ def with_partner(c: Catalog, screens: DataFrame) -> DataFrame:
         F.col("referrer_code").alias("_code"), "white_label_id", F.col("partner").alias("_partner")
     )
     keyed = screens.withColumn("_code", deciding)
-    # Codes come from the screens alone; the sketch need not run the joins above.
-    raw = c.source("screener_screen").select("white_label_id", deciding.alias("_code"))
-    joined = lookup_join(keyed, partners, ["_code", "white_label_id"], "left", sketch_from=raw)
+    joined = lookup_join(keyed, partners, ["_code", "white_label_id"], "left")
     partner = F.when(F.col("_code").isNull(), F.lit("No Partner")).otherwise(F.coalesce("_partner", F.lit("Other")))
     return joined.withColumn("partner", partner).drop("_code", "_partner")
 
@@ -260,10 +263,7 @@ def int_complete_screener_data(c: Catalog) -> DataFrame:
     screen id, so the screens are shuffled once for the whole chain.
     """
     latest = c["stg_latest_eligibility_snapshot"]
-    values = _eligible_values(c).join(
-        latest.select("screen_id", F.col("latest_snapshot_id").alias("eligibility_snapshot_id")),
-        "eligibility_snapshot_id",
-    )
+    values = _eligible_values(c, latest)
     tenants = c.source("screener_screen").select(F.col("id").alias("screen_id"), "white_label_id")
     values = _with_tax_flag(c, values.join(tenants, "screen_id"))
     tax = F.col("tax_category")

@@ -389,6 +389,7 @@ def yes_no(c: Catalog, f: ScreenFilters, who: str, flag: str) -> DataFrame:
 
 # --- partner dashboards -------------------------------------------------------------------
 
+# Band limits and labels.
 HOUSEHOLD_VALUE_BANDS = [
     (5000, "$1-$4,999"),
     (10000, "$5,000-$9,999"),

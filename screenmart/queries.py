@@ -14,7 +14,7 @@ from screenmart.operators import checks
 from screenmart.operators.scope import EventScope, ScreenFilters, scope_to_tenant, tenant_from_setting
 from screenmart.plans import build, event_cards, firstgen, screen_cards
 from screenmart.session import tune
-from screenmart.sources.sample import sample_catalog, stored_sample_catalog
+from screenmart.sources.sample import stored_sample_catalog
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -327,8 +327,10 @@ def plain_types(df: DataFrame) -> DataFrame:
 
 
 def _dataset(name: str) -> Query:
-    """A dataset computed from the raw tables in one plan."""
-    return lambda spark, sf_dir: plain_types(sample_catalog(tune(spark), sf_dir, SAMPLE_OPTIONS)[name])
+    """A dataset computed from the raw tables; only event rows that its plan reads twice are stored between."""
+    return lambda spark, sf_dir: plain_types(
+        stored_sample_catalog(tune(spark), sf_dir, SAMPLE_OPTIONS, ("rows",))[name]
+    )
 
 
 def _card(fn: Callable[[Catalog], DataFrame]) -> Query:

@@ -31,8 +31,8 @@ def pending_days(days: DataFrame, manifest: DataFrame) -> DataFrame:
     return days.select("event_date").distinct().join(manifest, "event_date", "left_anti")
 
 
-def _target_holds(spark: SparkSession, target: str, day: str) -> bool:
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{target}/event_date={day}")
+def _exists(spark: SparkSession, path: str) -> bool:
+    path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
 
 
@@ -45,7 +45,9 @@ def copy_days(
     reads its own folders only. Rebalancing splits a dominant event name over many
     tasks and joins the small ones. Days are few (one row per day), so the loop
     runs on the driver; each day's data is one distributed write that fails or
-    succeeds as a whole, and a day already in the target is never overwritten.
+    succeeds as a whole. A day that is complete in the target (``_SUCCESS``) is never
+    overwritten, only recorded: the manifest missed it when a run ended in between. What a
+    broken write left of a day is replaced.
     """
     done = read_manifest(spark, manifest)
     all_days = source.select("event_date").distinct()
@@ -57,16 +59,16 @@ def copy_days(
             report.copied.append(day)
             continue
         try:
-            if _target_holds(spark, target, day):
-                raise FileExistsError(f"{target} already holds {day}")
-            (
-                source.where(F.col("event_date") == day)
-                .drop("event_date")
-                .hint("rebalance", F.col("event_name"))
-                .write.mode("errorifexists")
-                .partitionBy("event_name")
-                .parquet(f"{target}/event_date={day}")
-            )
+            folder = f"{target}/event_date={day}"
+            if not _exists(spark, f"{folder}/_SUCCESS"):
+                (
+                    source.where(F.col("event_date") == day)
+                    .drop("event_date")
+                    .hint("rebalance", F.col("event_name"))
+                    .write.mode("overwrite")
+                    .partitionBy("event_name")
+                    .parquet(folder)
+                )
             spark.createDataFrame([(day,)], MANIFEST_SCHEMA).write.mode("append").parquet(manifest)
             report.copied.append(day)
         except Exception as error:  # a failed day must not stop the others

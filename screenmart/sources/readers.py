@@ -18,19 +18,31 @@ def parquet_catalog(spark: SparkSession, base: str, options: Options | None = No
     return Catalog(spark, {name: reader(name) for name in TABLES}, options or Options())
 
 
+def jdbc_options(
+    options: dict[str, str], table: str, partitions: int, bounds: tuple[int | None, int | None], column: str
+) -> dict[str, str]:
+    """Reader options of a table in ``partitions`` slices of ``column``."""
+    low, high = bounds
+    if low is None or high is None:
+        return {**options, "dbtable": table}
+    slices = {"partitionColumn": column, "lowerBound": str(low), "upperBound": str(high), "numPartitions": str(partitions)}
+    return {**options, "dbtable": table, **slices}
+
+
 def jdbc_table(
     spark: SparkSession, url: str, table: str, properties: dict[str, str], partitions: int = 64,
     bounds: tuple[int, int] | None = None, column: str = "id",
 ) -> DataFrame:
     """A relational table read in parallel slices of its key column.
 
-    ``bounds`` only places the slices; rows outside them land in the end slices.
+    ``bounds`` only places the slices; rows outside them land in the end slices. Without
+    them the key's smallest and largest value are asked for first. An empty table is one slice.
     """
-    reader = spark.read.format("jdbc").options(url=url, dbtable=table, **properties)
-    if bounds is not None:
-        reader = reader.options(
-            partitionColumn=column, lowerBound=bounds[0], upperBound=bounds[1], numPartitions=partitions
-        )
+    options = {"fetchsize": "10000", **properties, "url": url}
+    if bounds is None:
+        ask = f"(select min({column}) as low, max({column}) as high from {table}) as bounds"
+        bounds = tuple(spark.read.format("jdbc").options(dbtable=ask, **options).load().first())
+    reader = spark.read.format("jdbc").options(**jdbc_options(options, table, partitions, bounds, column))
     declared = struct_type(table.split(".")[-1])
     return reader.load().select(*[F.col(f.name).cast(f.dataType) for f in declared])
 

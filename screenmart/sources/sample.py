@@ -8,7 +8,6 @@ placeholders too. Every statement reads its whole tables.
 from __future__ import annotations
 
 import hashlib
-import tempfile
 from collections.abc import Callable
 from functools import partial
 
@@ -553,8 +552,8 @@ def pack_events(flat: DataFrame) -> DataFrame:
 
 
 def _work_folder(spark: SparkSession) -> str:
-    """Shared folder of the cluster; a temporary one only where none is named."""
-    return checkpoint_dir(spark) or tempfile.mkdtemp(prefix="screenmart-")
+    """Shared folder of the cluster; that of the warehouse where none is named."""
+    return checkpoint_dir(spark) or spark.conf.get("spark.sql.warehouse.dir")
 
 
 _folders: dict[tuple[str, str], str] = {}
@@ -569,7 +568,7 @@ def _landing_folder(spark: SparkSession, sf_dir: str) -> str:
     return _folders[key]
 
 
-_landed: set[str] = set()
+_landed: dict[str, str] = {}
 
 
 def _land(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -578,14 +577,15 @@ def _land(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     declared = struct_type(name)
     if path not in _landed:
         if name == "events":
-            write_table(pack_events(_run(spark, sf_dir, "flat_events")), path, ["event_date"])
+            # Split by name within the day, as the backfill stores them: a family reads its own folders.
+            packed = pack_events(_run(spark, sf_dir, "flat_events"))
+            _landed[path] = write_table(packed, path, ["event_date", "event_name"])
         else:
             # One generic table arrives as one file; spread it so that scans are parallel.
             casts = [f"cast({f.name} as {f.dataType.simpleString()}) as {f.name}" for f in declared]
             rows = _run(spark, sf_dir, name).selectExpr(*casts)
-            write_table(rows.repartition(spark.sparkContext.defaultParallelism, "id"), path)
-        _landed.add(path)
-    return spark.read.schema(declared).parquet(path)
+            _landed[path] = write_table(rows.repartition(spark.sparkContext.defaultParallelism, "id"), path)
+    return spark.read.schema(declared).parquet(_landed[path])
 
 
 def sample_catalog(spark: SparkSession, sf_dir: str, options: Options | None = None) -> Catalog:
@@ -598,12 +598,16 @@ def _readers(spark: SparkSession, sf_dir: str) -> dict[str, Callable[[], DataFra
     return {name: partial(_land, spark, sf_dir, name) for name in TABLES}
 
 
-_stored: dict[str, StoringCatalog] = {}
+_stored: dict[tuple[str, tuple[str, ...]], StoringCatalog] = {}
 
 
-def stored_sample_catalog(spark: SparkSession, sf_dir: str, options: Options) -> StoringCatalog:
-    """Like ``sample_catalog``, with the marts written once in this application."""
+def stored_sample_catalog(
+    spark: SparkSession, sf_dir: str, options: Options, layers: tuple[str, ...] = StoringCatalog.layers
+) -> StoringCatalog:
+    """Like ``sample_catalog``, with the datasets of some layers written once in this application."""
     folder = _landing_folder(spark, sf_dir)
-    if folder not in _stored:
-        _stored[folder] = StoringCatalog(spark, _readers(spark, sf_dir), options, store=f"{folder}/tables")
-    return _stored[folder]
+    key = (folder, layers)
+    if key not in _stored:
+        store = f"{folder}/{'_'.join(layers)}"
+        _stored[key] = StoringCatalog(spark, _readers(spark, sf_dir), options, store=store, layers=layers)
+    return _stored[key]

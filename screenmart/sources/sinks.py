@@ -2,35 +2,71 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Iterable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from screenmart.catalog import REGISTRY, Catalog
 
 
-def write_table(df: DataFrame, path: str, partition_by: Iterable[str] = (), sort_by: Iterable[str] = ()) -> None:
-    """Overwrite ``path``; rows are clustered for pruning and row-group statistics."""
+def write_table(df: DataFrame, path: str, partition_by: Iterable[str] = (), sort_by: Iterable[str] = ()) -> str:
+    """Write a new version below ``path`` and return its folder.
+
+    Rows are clustered for pruning and row-group statistics. A version is a folder of its own, named by
+    time and complete only with its ``_SUCCESS`` file; older versions stay as they are, so readers of the last
+    one are undisturbed while a build runs or after it fails. ``drop_old_versions`` removes them.
+    """
     partition_by, sort_by = list(partition_by), list(sort_by)
-    out = df.hint("rebalance", *partition_by) if partition_by else df
+    version = f"{path}/v{time.time_ns():020d}"
+    if partition_by:
+        out = df.hint("rebalance", *partition_by)
+    elif sort_by:
+        out = df.repartitionByRange(*sort_by)  # files hold ranges, so their statistics prune
+    else:
+        out = df
     if sort_by:
         out = out.sortWithinPartitions(*partition_by, *sort_by)
-    writer = out.write.mode("overwrite")
+    writer = out.write.mode("errorifexists")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+    writer.parquet(version)
+    return version
+
+
+def complete_versions(spark: SparkSession, path: str) -> list[str]:
+    """Versions of a table whose write ended well, oldest first."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = [s.getPath() for s in fs.listStatus(folder)] if fs.exists(folder) else []
+    done = [v for v in found if fs.exists(spark._jvm.org.apache.hadoop.fs.Path(v, "_SUCCESS"))]
+    return sorted(v.toString() for v in done)
+
+
+def current_version(spark: SparkSession, path: str) -> str | None:
+    """The last complete version: what a session that did not build the table reads."""
+    return next(reversed(complete_versions(spark, path)), None)
+
+
+def drop_old_versions(spark: SparkSession, path: str, keep: int = 2) -> None:
+    """Remove all but the last ``keep`` complete versions."""
+    fs = spark._jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    for version in complete_versions(spark, path)[: -max(1, keep)]:
+        fs.delete(spark._jvm.org.apache.hadoop.fs.Path(version), True)
 
 
 def refresh(catalog: Catalog, names: Iterable[str], base: str) -> dict[str, str]:
-    """Rebuild the named datasets in order; later ones read the earlier tables."""
+    """Rebuild the named datasets in order; later ones read the earlier tables.
+
+    A dataset's readers move to its new version when that is complete.
+    """
     paths = {}
     for name in names:
         spec = REGISTRY[name]
-        paths[name] = f"{base}/{name}"
-        catalog.written.pop(name, None)
-        write_table(spec.fn(catalog), paths[name], spec.partition_by, spec.sort_by)
-        catalog.mark_written(name, paths[name])
+        df = spec.fn(catalog)
+        paths[name] = write_table(df, f"{base}/{name}", spec.partition_by, spec.sort_by)
+        catalog.mark_written(name, paths[name], df.schema)
     return paths
 
 
@@ -42,16 +78,17 @@ def register_views(catalog: Catalog, names: Iterable[str]) -> None:
 
 @dataclass
 class StoringCatalog(Catalog):
-    """A catalog that writes marts and event families on first use.
+    """A catalog that writes datasets of the named layers on first use.
 
     Cards read stored tables, as in the nightly build; this builds only those a
     card asks for.
     """
 
     store: str = ""
+    layers: tuple[str, ...] = ("mart", "rows", "family")
 
     def __getitem__(self, name: str) -> DataFrame:
-        stored = REGISTRY[name].layer == "mart" or name.startswith("stg_ga_")
-        if stored and name not in self.written:
+        layer = "family" if name.startswith("stg_ga_") else REGISTRY[name].layer
+        if layer in self.layers and name not in self.written:
             refresh(self, [name], self.store)
         return super().__getitem__(name)

@@ -50,8 +50,7 @@ def hot_rows(spark, n=4000):
 
 @pytest.mark.parametrize("how", ["left", "inner"])
 @pytest.mark.parametrize("null_safe", [True, False])
-def test_salted_lookup_equals_plain_join(spark, monkeypatch, how, null_safe):
-    monkeypatch.setattr(skew, "HOT_FLOOR", 10)
+def test_lookup_equals_plain_join(spark, how, null_safe):
     fact = hot_rows(spark)
     dim = spark.createDataFrame([("hot", 1), ("1", 2), ("2", 3), (None, 4)], "k string, d int")
     got = skew.lookup_join(fact, dim, ["k"], how, null_safe=null_safe)
@@ -60,18 +59,14 @@ def test_salted_lookup_equals_plain_join(spark, monkeypatch, how, null_safe):
     assert sorted(map(tuple, got.select("k", "v", "d").collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
 
 
-def test_hot_key_rows_are_spread(spark, monkeypatch):
-    monkeypatch.setattr(skew, "HOT_FLOOR", 10)
-    fact = hot_rows(spark)
-    hot = skew.hot_key_hashes(fact, ["k"])
-    hits = fact.where(F.array_contains(hot, F.xxhash64("k"))).select("k").distinct().collect()
-    assert {"hot", None} <= {r["k"] for r in hits}
-    plan = skew.lookup_join(fact, spark.createDataFrame([("hot", 1)], "k string, d int"), ["k"])
-    assert "_salt" in plan._jdf.queryExecution().optimizedPlan().toString()
+def test_rows_without_a_key_are_dealt_out(spark):
+    dim = spark.createDataFrame([("hot", 1)], "k string, d int")
+    joined = skew.lookup_join(hot_rows(spark), dim, ["k"])
+    plan = joined._jdf.queryExecution().optimizedPlan().toString()
+    assert "_spread" in plan and "xxhash64" in plan
 
 
-def test_group_values_equal_a_window(spark, monkeypatch):
-    monkeypatch.setattr(skew, "HOT_FLOOR", 10)
+def test_group_values_equal_a_window(spark):
     rows = hot_rows(spark).withColumn("odd", F.when(F.col("v") % 7 == 0, F.col("v") % 2 == 1))
     got = skew.attach_group_values(rows, ["k"], [F.bool_or("odd").alias("any_odd"), F.max("v").alias("top")])
     w = Window.partitionBy("k")
