@@ -81,13 +81,17 @@ LEFT JOIN (SELECT user_pseudo_id, ga_session_id, min(click_ts) AS first_ts, coun
         f"{SCREENING}, screener_path, screener_step_name, screener_step_number, step_action, member_index, "
         "form_field_name, form_error_reason, form_error_message, form_error_count",
     ),
+    form_sessions="""
+SELECT user_pseudo_id AS u, ga_session_id AS g,
+  bool_or(lower(screener_state) = 'cesn' OR starts_with(lower(screener_step_name), 'cesn-')) AS is_cesn,
+  max(lower(trim(screener_path))) FILTER (WHERE lower(trim(screener_path)) IN ('homeowner', 'renter')) AS stated,
+  count_if(lower(screener_step_name) = 'cesn-appliances') > 0 AS owns,
+  count_if(lower(screener_step_name) = 'cesn-energy-expenses') > 0 AS rents
+FROM form_events GROUP BY ALL""",
     stg_ga_screener_form_funnel="""
-SELECT *, bool_or(lower(screener_state) = 'cesn' OR lower(screener_step_name) LIKE 'cesn-%') OVER w AS is_cesn,
-  coalesce(
-    max(CASE WHEN lower(trim(screener_path)) IN ('homeowner', 'renter') THEN lower(trim(screener_path)) END) OVER w,
-    CASE WHEN bool_or(lower(screener_step_name) = 'cesn-appliances') OVER w THEN 'homeowner'
-      WHEN bool_or(lower(screener_step_name) = 'cesn-energy-expenses') OVER w THEN 'renter' END) AS cesn_path
-FROM form_events WINDOW w AS (PARTITION BY user_pseudo_id, ga_session_id)""",
+SELECT form_events.*, is_cesn, CASE WHEN stated IS NOT NULL THEN stated WHEN owns THEN 'homeowner' WHEN rents THEN 'renter' END
+  AS cesn_path
+FROM form_events JOIN form_sessions ON user_pseudo_id IS NOT DISTINCT FROM u AND ga_session_id IS NOT DISTINCT FROM g""",
     stg_ga_screener_help=family(
         "screener_help_click screener_get_help_click screener_more_help_resource_click",
         f"{SCREENING}, help_topic, screener_step_name, screener_step_number, location, resource_name, "
@@ -215,41 +219,28 @@ FIELD_LABEL = """CASE
 GRAIN = "event_date, event_date_parsed, screener_state, is_cesn"
 
 
-def on_grain(alias: str, step: bool = True) -> str:
-    cond = (
-        f"g.event_date = {alias}.event_date AND g.screener_state IS NOT DISTINCT FROM {alias}.screener_state "
-        f"AND g.is_cesn = {alias}.is_cesn"
-    )
-    return cond + (f" AND g.screener_step_name = {alias}.screener_step_name" if step else "")
-
-
-def summary(source: str, aggs: str, step: bool = True) -> str:
-    keys = "event_date, screener_state, is_cesn" + (", screener_step_name" if step else "")
-    return f"(SELECT {keys}, {aggs} FROM {source} GROUP BY ALL)"
-
-
 define(
-    mart_ga_clicked_links=f"""
-SELECT event_date, event_date_parsed, state_code, domain AS link_domain, is_outbound, count(*) AS total_clicks,
-  count(DISTINCT {SESSION}) AS sessions_with_clicks, count(DISTINCT user_pseudo_id) AS users_with_clicks
-FROM (SELECT c.event_date, c.event_date_parsed, c.user_pseudo_id, c.ga_session_id, c.is_outbound,
-    coalesce(s.state_code, 'unknown') AS state_code,
-    coalesce(nullif(c.link_domain, ''), nullif(regexp_extract(c.link_url, '[^/]+://([^/]+)', 1), '')) AS domain
-  FROM stg_ga_link_clicks c
-  LEFT JOIN page_activity s ON c.user_pseudo_id = s.user_pseudo_id AND c.ga_session_id = s.ga_session_id
-  WHERE c.ga_session_id IS NOT NULL AND c.page_path LIKE '%/results%') x
-GROUP BY 1, 2, 3, 4, 5""",
+    result_clicks=f"""
+SELECT event_date, event_date_parsed, user_pseudo_id, {SESSION} AS visit, is_outbound,
+  CASE WHEN link_domain <> '' THEN link_domain ELSE nullif(regexp_extract(link_url, '[^/]+://([^/]+)', 1), '') END AS link_domain
+FROM stg_ga_link_clicks WHERE ga_session_id IS NOT NULL AND contains(page_path, '/results')""",
+    visit_states=f"SELECT {SESSION} AS visit, state_code FROM page_activity WHERE state_code IS NOT NULL",
+    mart_ga_clicked_links="""
+SELECT event_date, event_date_parsed, coalesce(state_code, 'unknown') AS state_code, link_domain, is_outbound,
+  count(*) AS total_clicks, count(DISTINCT visit) AS sessions_with_clicks, count(DISTINCT user_pseudo_id) AS users_with_clicks
+FROM result_clicks LEFT JOIN visit_states USING (visit) GROUP BY ALL""",
+    # A session counts at the furthest of: 0 seen, 1 started, 2 saw results, 3 clicked on from there.
     kpi_counts=f"""
-SELECT event_date, event_date_parsed, state_code, count(DISTINCT {SESSION}) AS total_sessions,
-  count(DISTINCT user_pseudo_id) AS total_users,
-  count(DISTINCT CASE WHEN hit_screener_start = 1 THEN {SESSION} END) AS sessions_started_screener,
-  count(DISTINCT CASE WHEN hit_screener_start = 1 AND hit_screener_results = 1 THEN {SESSION} END)
-    AS sessions_completed_screener,
-  count(DISTINCT CASE WHEN hit_screener_start = 1 AND hit_screener_results = 1 AND has_outbound_click = 1
-    THEN {SESSION} END) AS sessions_clicked_after_completion,
-  round(avg(completion_time_seconds), 1) AS avg_completion_time_seconds,
-  round(quantile_disc(completion_time_seconds, 0.5), 1) AS median_completion_time_seconds
-FROM int_ga4_sessions GROUP BY 1, 2, 3""",
+SELECT event_date, event_date_parsed, state_code, count(DISTINCT visit) AS total_sessions,
+  count(DISTINCT user_pseudo_id) AS total_users, count(DISTINCT visit) FILTER (reached >= 1) AS sessions_started_screener,
+  count(DISTINCT visit) FILTER (reached >= 2) AS sessions_completed_screener,
+  count(DISTINCT visit) FILTER (reached >= 3) AS sessions_clicked_after_completion,
+  round(avg(seconds), 1) AS avg_completion_time_seconds,
+  round(quantile_disc(seconds, 0.5), 1) AS median_completion_time_seconds
+FROM (SELECT event_date, event_date_parsed, state_code, user_pseudo_id, {SESSION} AS visit,
+    completion_time_seconds AS seconds, hit_screener_start + hit_screener_start * hit_screener_results
+      + hit_screener_start * hit_screener_results * has_outbound_click AS reached
+  FROM int_ga4_sessions) GROUP BY ALL""",
     mart_ga_kpi_summary=f"""
 SELECT *, {pct("sessions_started_screener", "total_sessions", 2)} AS pct_started_screener,
   {pct("sessions_clicked_after_completion", "sessions_completed_screener", 2)} AS completed_to_click_rate_pct
@@ -282,29 +273,24 @@ UNION ALL SELECT {GRAIN}, '__form_start__', NULL, {SESSION_KEY} FROM stg_ga_scre
   WHERE event_name = 'screener_form_start'
 UNION ALL SELECT {GRAIN}, '__form_complete__', NULL, {SESSION_KEY} FROM stg_ga_screener_form_funnel
   WHERE event_name = 'screener_form_complete'""",
-    funnel_completes=f"""SELECT {GRAIN}, screener_step_name, {SESSION_KEY} AS session_key
-FROM stg_ga_screener_form_funnel WHERE event_name = 'screener_form_step' AND step_action = 'complete'""",
-    funnel_backs=f"""SELECT {GRAIN}, screener_step_name, {SESSION_KEY} AS session_key
-FROM stg_ga_screener_form_funnel WHERE event_name = 'screener_form_back'""",
-    funnel_errors=f"""SELECT {GRAIN}, screener_step_name, {SESSION_KEY} AS session_key
-FROM stg_ga_screener_form_funnel WHERE event_name = 'screener_form_error'""",
+    # Every counted form event tagged with what it counts as.
+    funnel_facts=f"""
+SELECT {GRAIN}, screener_step_name, screener_step_number AS seen_number, session_key, 'view' AS fact FROM funnel_views
+UNION ALL BY NAME
+SELECT {GRAIN}, screener_step_name, {SESSION_KEY} AS session_key, CASE
+    WHEN event_name = 'screener_form_back' THEN 'back' WHEN event_name = 'screener_form_error' THEN 'error'
+    WHEN event_name = 'screener_form_step' AND step_action = 'complete' THEN 'complete' END AS fact
+FROM stg_ga_screener_form_funnel WHERE fact IS NOT NULL""",
     mart_screener_form_funnel=f"""
-SELECT g.event_date, g.event_date_parsed, g.screener_state, g.is_cesn, g.screener_step_name,
-  CASE g.screener_step_name WHEN '__form_start__' THEN 'Started Screener'
-    WHEN '__form_complete__' THEN 'Reached Results' ELSE {step_label("g.screener_step_name")} END
-    AS screener_step_label,
-  sv.step_number AS screener_step_number, coalesce(sv.n, 0) AS screenings_viewed_step,
-  coalesce(sc.n, 0) AS screenings_completed_step, coalesce(fb.n, 0) AS screenings_navigated_back,
-  coalesce(fe.n, 0) AS screenings_with_error, coalesce(fe.total, 0) AS total_error_count
-FROM (SELECT {GRAIN}, screener_step_name FROM funnel_views
-  UNION SELECT {GRAIN}, screener_step_name FROM funnel_completes
-  UNION SELECT {GRAIN}, screener_step_name FROM funnel_backs
-  UNION SELECT {GRAIN}, screener_step_name FROM funnel_errors) g
-LEFT JOIN {summary("funnel_views", "max(screener_step_number) AS step_number, count(DISTINCT session_key) AS n")} sv
-  ON {on_grain("sv")}
-LEFT JOIN {summary("funnel_completes", "count(DISTINCT session_key) AS n")} sc ON {on_grain("sc")}
-LEFT JOIN {summary("funnel_backs", "count(DISTINCT session_key) AS n")} fb ON {on_grain("fb")}
-LEFT JOIN {summary("funnel_errors", "count(DISTINCT session_key) AS n, count(*) AS total")} fe ON {on_grain("fe")}""",
+SELECT *, CASE screener_step_name WHEN '__form_start__' THEN 'Started Screener'
+    WHEN '__form_complete__' THEN 'Reached Results' ELSE {step_label("screener_step_name")} END AS screener_step_label
+FROM (SELECT {GRAIN}, screener_step_name, max(seen_number) FILTER (known) AS screener_step_number,
+    count(DISTINCT session_key) FILTER (known AND fact = 'view') AS screenings_viewed_step,
+    count(DISTINCT session_key) FILTER (known AND fact = 'complete') AS screenings_completed_step,
+    count(DISTINCT session_key) FILTER (known AND fact = 'back') AS screenings_navigated_back,
+    count(DISTINCT session_key) FILTER (known AND fact = 'error') AS screenings_with_error,
+    count(*) FILTER (known AND fact = 'error') AS total_error_count
+  FROM (SELECT *, is_cesn IS NOT NULL AND screener_step_name IS NOT NULL AS known FROM funnel_facts) GROUP BY ALL)""",
     step_events="""
 SELECT * FROM stg_ga_screener_form_funnel WHERE screener_step_name IS NOT NULL
   AND screener_step_name NOT IN ('__form_start__', '__form_complete__')""",
@@ -340,29 +326,23 @@ WHERE event_date >= '{EPOCH}' AND screener_uid IS NOT NULL""",
 SELECT {GRAIN}, screener_uid FROM stg_ga_screener_results_outcomes
 WHERE event_name = 'screener_results_none_eligible'
 UNION SELECT {GRAIN}, screener_uid FROM placeholder_lists""",
-    error_rows="SELECT * FROM stg_ga_screener_results_outcomes WHERE event_name = 'screener_results_error'",
-    recovery_rows="""
-SELECT * FROM stg_ga_screener_results_outcomes WHERE event_name = 'screener_results_error_recovery'""",
+    outcome_facts=f"""
+SELECT {GRAIN}, screener_uid, 'none' AS outcome, NULL AS program_count, NULL AS total_estimated_value FROM none_rows
+UNION ALL SELECT {GRAIN}, screener_uid, CASE event_name WHEN 'screener_results_loaded' THEN 'loaded'
+    WHEN 'screener_results_error' THEN 'error' ELSE 'recovered' END, program_count, total_estimated_value
+FROM stg_ga_screener_results_outcomes
+WHERE event_name IN ('screener_results_loaded', 'screener_results_error', 'screener_results_error_recovery')""",
+    # Counts and values of rows whose flag is undecided stay empty, as published.
     mart_screener_results_outcomes=f"""
-SELECT g.*, coalesce(rl.n, 0) AS screenings_results_loaded, coalesce(ne.n, 0) AS screenings_none_eligible,
-  coalesce(re.n, 0) AS screenings_results_error, coalesce(er.n, 0) AS screenings_error_recovered,
-  rl.avg_program_count, rl.median_program_count, rl.avg_total_estimated_value, rl.median_total_estimated_value
-FROM (SELECT {GRAIN} FROM loaded_rows UNION SELECT {GRAIN} FROM none_rows UNION SELECT {GRAIN} FROM error_rows
-  UNION SELECT {GRAIN} FROM recovery_rows) g
-LEFT JOIN {
-        summary(
-            "loaded_rows",
-            "count(DISTINCT screener_uid) AS n, "
-            + ratio("sum(program_count)", "count(program_count)", 2)
-            + " AS avg_program_count, CAST(quantile_disc(program_count, 0.5) AS DOUBLE) AS median_program_count, "
-            "round(avg(total_estimated_value), 2) AS avg_total_estimated_value, "
-            "round(quantile_disc(total_estimated_value, 0.5), 2) AS median_total_estimated_value",
-            step=False,
-        )
-    } rl ON {on_grain("rl", False)}
-LEFT JOIN {summary("none_rows", "count(DISTINCT screener_uid) AS n", False)} ne ON {on_grain("ne", False)}
-LEFT JOIN {summary("error_rows", "count(DISTINCT screener_uid) AS n", False)} re ON {on_grain("re", False)}
-LEFT JOIN {summary("recovery_rows", "count(DISTINCT screener_uid) AS n", False)} er ON {on_grain("er", False)}""",
+SELECT {GRAIN}, count(DISTINCT screener_uid) FILTER (decided AND outcome = 'loaded') AS screenings_results_loaded,
+  count(DISTINCT screener_uid) FILTER (decided AND outcome = 'none') AS screenings_none_eligible,
+  count(DISTINCT screener_uid) FILTER (decided AND outcome = 'error') AS screenings_results_error,
+  count(DISTINCT screener_uid) FILTER (decided AND outcome = 'recovered') AS screenings_error_recovered,
+  {ratio("sum(program_count) FILTER (valued)", "count(program_count) FILTER (valued)", 2)} AS avg_program_count,
+  CAST(quantile_disc(program_count, 0.5) FILTER (valued) AS DOUBLE) AS median_program_count,
+  round(avg(total_estimated_value) FILTER (valued), 2) AS avg_total_estimated_value,
+  round(quantile_disc(total_estimated_value, 0.5) FILTER (valued), 2) AS median_total_estimated_value
+FROM (SELECT *, is_cesn IS NOT NULL AS decided, is_cesn IS NOT NULL AND outcome = 'loaded' AS valued FROM outcome_facts) GROUP BY {GRAIN}""",
     mart_screener_results_revisits=f"""
 SELECT screener_uid, count(*) AS results_load_count, min(event_date_parsed) AS event_date_parsed,
   arg_min(screener_state, event_timestamp) FILTER (WHERE screener_state IN {SLUGS}) AS screener_state,
@@ -426,22 +406,23 @@ SELECT {DAY}, count(DISTINCT screener_uid) AS signups,
   count(DISTINCT CASE WHEN email_consent = 'true' THEN screener_uid END) AS email_opt_ins
 FROM stg_ga_screener_ui_events WHERE event_name = 'screener_signup_completed' AND screener_uid IS NOT NULL
 GROUP BY 1, 2, 3""",
-    chrome_rows=f"""
-SELECT {SESSION_KEY} AS session_key, event_date_parsed,
-  CASE event_name WHEN 'screener_social_click' THEN 'social' WHEN 'screener_feedback_click' THEN 'feedback_share'
-    ELSE 'nav' END AS element_group,
-  CASE WHEN event_name = 'screener_logo_click' THEN 'Logo (' || coalesce(location, 'unknown') || ')'
-    WHEN event_name = 'screener_language_changed' THEN 'Changed Language'
-    WHEN event_name = 'screener_social_click' THEN upper(social_network[1]) || lower(social_network[2:])
-    WHEN event_name = 'screener_feedback_click' AND feedback_channel = 'survey' THEN 'Report a Bug'
-    WHEN event_name = 'screener_feedback_click' AND feedback_channel = 'email' THEN 'Contact Us'
-    WHEN link_name IN ('About Us', 'Privacy Policy', 'Terms and Conditions') THEN link_name END AS element,
-  coalesce(screener_state, url_screener_state) AS row_state
-FROM stg_ga_screener_ui_events WHERE event_name IN ('screener_logo_click', 'screener_language_changed',
-  'screener_social_click', 'screener_feedback_click', 'screener_link_click')
-UNION ALL
-SELECT {SESSION_KEY}, event_date_parsed, 'feedback_share', 'Share', coalesce(screener_state, url_screener_state)
-FROM stg_ga_screener_shares WHERE share_location = 'footer' AND share_action = 'open'""",
+    # (event, group, expression of the element's name)
+    chrome_rows=" UNION ALL ".join(
+        f"SELECT {SESSION_KEY} AS session_key, event_date_parsed, '{group}' AS element_group, {element} AS element, "
+        f"coalesce(screener_state, url_screener_state) AS row_state FROM {table} WHERE {where}"
+        for table, where, group, element in (
+            ("stg_ga_screener_ui_events", "event_name = 'screener_logo_click'", "nav",
+             "concat('Logo (', coalesce(location, 'unknown'), ')')"),
+            ("stg_ga_screener_ui_events", "event_name = 'screener_language_changed'", "nav", "'Changed Language'"),
+            ("stg_ga_screener_ui_events", "event_name = 'screener_link_click'", "nav",
+             "if(link_name IN ('About Us', 'Privacy Policy', 'Terms and Conditions'), link_name, NULL)"),
+            ("stg_ga_screener_ui_events", "event_name = 'screener_social_click'", "social",
+             "upper(left(social_network, 1)) || lower(substr(social_network, 2))"),
+            ("stg_ga_screener_ui_events", "event_name = 'screener_feedback_click'", "feedback_share",
+             "map {'survey': 'Report a Bug', 'email': 'Contact Us'}[feedback_channel]"),
+            ("stg_ga_screener_shares", "share_location = 'footer' AND share_action = 'open'", "feedback_share", "'Share'"),
+        )
+    ),
     mart_screener_footer_engagement="""
 SELECT element_group, element, session_key, max(event_date_parsed) AS event_date_parsed,
   max(session_state) AS screener_state
@@ -507,13 +488,17 @@ GROUP BY 1, 2, 3, 4""",
         "total_shares", "screenings_with_share",
     ),
     save_rows="SELECT * FROM stg_ga_screener_shares WHERE event_name = 'screener_results_save'",
+    # Each row counts under its own action, and a second time under the marker of what it means.
+    save_marks=f"""
+SELECT {DAY}, screener_uid, 0 AS kind, save_channel, save_action FROM save_rows
+UNION ALL SELECT {DAY}, screener_uid, if(save_action = 'send', 1, 2), NULL,
+  if(save_action = 'send', '__saved__', '__popup_shown__')
+FROM save_rows WHERE save_action IN ('send', 'open')""",
     mart_screener_saves=f"""
-SELECT {DAY}, save_channel, save_action, count(*) AS total_saves, 0 AS screenings_with_save,
-  0 AS total_popup_impressions, 0 AS screenings_shown_popup FROM save_rows GROUP BY 1, 2, 3, 4, 5
-UNION ALL SELECT {DAY}, NULL, '__saved__', 0, count(DISTINCT screener_uid), 0, 0 FROM save_rows
-  WHERE save_action = 'send' GROUP BY 1, 2, 3
-UNION ALL SELECT {DAY}, NULL, '__popup_shown__', 0, 0, count(*), count(DISTINCT screener_uid) FROM save_rows
-  WHERE save_action = 'open' GROUP BY 1, 2, 3""",
+SELECT {DAY}, save_channel, save_action, count(*) FILTER (kind = 0) AS total_saves,
+  count(DISTINCT screener_uid) FILTER (kind = 1) AS screenings_with_save, count(*) FILTER (kind = 2) AS total_popup_impressions,
+  count(DISTINCT screener_uid) FILTER (kind = 2) AS screenings_shown_popup
+FROM save_marks GROUP BY {DAY}, kind, save_channel, save_action""",
     interaction_rows=f"""
 SELECT * FROM (SELECT {DAY}, screener_uid, program_id, document_name, {INTERACTIONS} AS interaction_type
   FROM stg_ga_screener_program_interactions WHERE program_id IS NOT NULL) x WHERE interaction_type IS NOT NULL""",
@@ -540,16 +525,12 @@ GROUP BY 1, 2, 3, 4, 5, 6""",
 SELECT a.*, coalesce(pn.program_name, a.program_id) AS program_name
 FROM navigator_totals a LEFT JOIN int_screener_program_names pn ON a.program_id = pn.program_id""",
     resource_metrics=f"""
-SELECT {GRAIN}, screener_uid, 'tab_open' AS metric, tab_name AS dimension, NULL AS contact_method
-FROM stg_ga_screener_resource_engagement WHERE event_name = 'screener_results_tab_click' AND tab_name IS NOT NULL
-UNION ALL SELECT {GRAIN}, screener_uid, 'resource_shown', resource_name, NULL
-FROM stg_ga_screener_resource_engagement WHERE event_name = 'screener_resource_shown' AND resource_name IS NOT NULL
-UNION ALL SELECT {GRAIN}, screener_uid, 'resource_more_info', resource_name, NULL
-FROM stg_ga_screener_resource_engagement
-WHERE event_name = 'screener_additional_resource_more_info' AND resource_name IS NOT NULL
-UNION ALL SELECT {GRAIN}, screener_uid, 'resource_click', resource_name, contact_method
-FROM stg_ga_screener_resource_engagement
-WHERE event_name = 'screener_additional_resource_click' AND resource_name IS NOT NULL""",
+SELECT {GRAIN}, screener_uid, metric, if(metric = 'tab_open', tab_name, resource_name) AS dimension,
+  if(metric = 'resource_click', contact_method, NULL) AS contact_method
+FROM stg_ga_screener_resource_engagement JOIN (VALUES ('screener_results_tab_click', 'tab_open'),
+    ('screener_resource_shown', 'resource_shown'), ('screener_additional_resource_more_info', 'resource_more_info'),
+    ('screener_additional_resource_click', 'resource_click')) kinds(event_name, metric) USING (event_name)
+WHERE if(metric = 'tab_open', tab_name, resource_name) IS NOT NULL""",
     mart_screener_resource_engagement=grouped(
         "resource_metrics", "TRUE", f"{GRAIN}, metric, dimension, contact_method", "total_clicks",
         "distinct_screenings",
