@@ -18,7 +18,7 @@ from screenmart.llm.common import documents, map_arrow, slices
 from screenmart.llm.pieces import Encoded
 
 #: Pair verdicts that a worker remembers before it starts afresh.
-PAIRS = 1_000_000
+PAIRS = 400_000
 
 
 class Irregular(Exception):

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import functools
 import os
 import tempfile
@@ -11,10 +13,12 @@ from collections.abc import Callable, Iterable, Iterator
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 ALL = 2**64
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 #: Odd multiplier of the prefix-sum hash; any odd 64-bit number has an inverse modulo 2**64.
 _BASE = 0x9E3779B97F4A7C15 | 1
 #: ASCII white space, the only separators of words and the only characters stripped from lines.
@@ -65,10 +69,33 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(app)
 
 
+def release() -> None:
+    """Give memory that nothing uses back to the system: workers live on, and the next stage's start beside them."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # where the C library has no such call
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def map_arrow(df: DataFrame, run: Callable, schema) -> DataFrame:
-    """``df.mapInArrow`` with this package at hand in the workers."""
-    ship(df.sparkSession)
-    return df.mapInArrow(run, schema)
+    """``df.mapInArrow`` with this package at hand in the workers, in batches that bound their memory."""
+    spark = df.sparkSession
+    ship(spark)
+    if spark.conf.get(BATCH_ROWS, None) is None:
+        spark.conf.set(BATCH_ROWS, "1000")  # texts are long; the default is 10000
+
+    def lean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def each() -> Iterator[pa.RecordBatch]:
+            for k, batch in enumerate(batches):
+                yield batch
+                if k % 8 == 7:
+                    release()
+
+        try:
+            yield from run(each())
+        finally:
+            release()
+
+    return df.mapInArrow(lean, schema)
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,7 +107,7 @@ def crc_fold(doc_id: str, folds: int) -> Column:
     return F.pmod(F.crc32(F.col(doc_id).cast("string").cast("binary")), F.lit(folds))
 
 
-def slices(texts: list[bytes | str], limit: int = 1 << 20) -> Iterator[tuple[int, int]]:
+def slices(texts: list[bytes | str], limit: int = 1 << 18) -> Iterator[tuple[int, int]]:
     """Ranges of texts of about ``limit`` units together; a longer text makes a range of its own."""
     begin = size = 0
     for i, text in enumerate(texts):
