@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 import oracle.events  # noqa: F401  (defines the event SELECTs)
 import oracle.relational  # noqa: F401  (defines the relational SELECTs)
 from oracle.base import EPOCH_DATE, case_map, compose, median, pct, ratio, share
@@ -13,6 +15,10 @@ FILTER = (
     "submission_date >= DATE '1996-01-01' AND submission_date <= DATE '1999-12-31' "
     "AND partner IN ('No Partner', 'Other', 'NATION_3', 'NATION_7') AND utm_source IN ('BUILDING', 'MACHINERY')"
 )
+PLACES = (
+    "county IN ('Unspecified', 'NATION_3', 'NATION_7') AND utm_campaign IN ('NATION_3', 'NATION_7', 'NATION_11') "
+    "AND utm_medium IN ('1-URGENT', '2-HIGH', '5-LOW')"
+)
 A, B = "partner = 'NATION_3'", "referrer_code = 'ref5'"
 DATA = "mart_screener_data"
 OTHER, TAX = "non_tax_credit_benefits_annual", "tax_credits_annual"
@@ -157,6 +163,9 @@ def screen_cards() -> dict[str, str]:
         ),
         "QP09_head_ages": distribution(members("TRUE", head), *ages([("0-18", "age BETWEEN 0 AND 18")])),
         "QP09_head_ages_filtered": distribution(members(FILTER, head), *ages([("0-18", "age BETWEEN 0 AND 18")])),
+        "QP10_member_ages_filtered": distribution(
+            members(PLACES), *ages([("<5", "age < 5"), ("5-18", "age BETWEEN 5 AND 18")])
+        ),
         "QP10_member_ages": distribution(members(), *ages([("<5", "age < 5"), ("5-18", "age BETWEEN 5 AND 18")])),
         "QP11_household_sizes": distribution(
             DATA,
@@ -178,6 +187,7 @@ FROM mart_householdmembers WHERE age IS NOT NULL""",
 SELECT CAST(date_trunc('month', event_date_parsed) AS DATE) AS month, count(DISTINCT user_pseudo_id) AS active_users
 FROM int_ga4_page_views WHERE state_code IN ('co', 'nc', 'tx') GROUP BY 1""",
         "QP17_completed_screeners": screens("count(*) AS screeners"),
+        "QP17_completed_screeners_filtered": screens("count(*) AS screeners", PLACES),
         "QP18_already_had_benefits": pct_of("has_benefits = 'true'"),
         "QP18_qualified_share": pct_of(f"{OTHER} > 0"),
         "QP18_qualified_tax_share": pct_of(f"{TAX} > 0"),
@@ -599,12 +609,29 @@ SELECT event_date, event_name, count(*) AS n_events FROM flat_events WHERE event
 }
 
 
+SCOPED_MARTS = (
+    "mart_screener_data", "mart_householdmembers", "mart_screener_expense", "mart_income", "mart_current_benefits",
+    "mart_qualified_benefits", "mart_referrer_codes",
+)
+
+
+def as_tenant(sql: str, tenant_id: int) -> str:
+    """The same statement over one tenant's rows of every mart."""
+    marts = "|".join(SCOPED_MARTS)
+    return re.sub(rf"\b({marts})\b", rf"(SELECT * FROM \1 WHERE white_label_id = {tenant_id})", sql)
+
+
 def oracle_sql() -> dict[str, str]:
-    from screenmart.queries import DATASETS, EVENT_CARDS, TENANT_CARDS
+    from screenmart.queries import DATASETS, EVENT_CARDS, TENANT_CARDS, TENANT_ID, TENANT_SCREEN_CARDS
 
     out = {f"{key}_{name}": f"SELECT * FROM {VIEW_NAMES.get(name, name)}" for key, name in DATASETS.items()}
-    out.update(screen_cards())
+    cards = screen_cards()
+    out.update(cards)
+    out.update({f"{name}_tenant": as_tenant(cards[name], TENANT_ID) for name in TENANT_SCREEN_CARDS})
     world, tenant = event_cards(GLOBAL), event_cards(TENANT)
+    for cards in (world, tenant):
+        for name in ("QE19_detail_rate_by_state", "QE19_conversion_by_state"):
+            cards[f"{name}_any"] = cards[name].replace("shown >= 20", "shown >= 1")
     out.update({name: world[name] for name in EVENT_CARDS})
     out.update({f"{name}_tenant": tenant[name] for name in TENANT_CARDS})
     out.update(OTHERS)

@@ -11,6 +11,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from screenmart.catalog import Catalog, Options
 from screenmart.functions.text import STATE_SLUGS
 
 # Fixed value: naming rule of tenant read-only roles.
@@ -42,6 +43,29 @@ def scope_to_tenant(df: DataFrame, tenant_id: int | None, column: str = "white_l
     return df.where(F.col(column) == F.lit(tenant_id))
 
 
+@dataclass(frozen=True)
+class TenantCatalog:
+    """A catalog as one tenant sees it: every table with a tenant column holds that tenant's rows alone.
+
+    The condition meets the stored marts at their scan and prunes tenant partitions. Without a
+    tenant there are no rows.
+    """
+
+    catalog: Catalog
+    tenant_id: int | None
+
+    def __getitem__(self, name: str) -> DataFrame:
+        df = self.catalog[name]
+        return scope_to_tenant(df, self.tenant_id) if "white_label_id" in df.columns else df
+
+    def source(self, name: str) -> DataFrame:
+        return self.catalog.source(name)
+
+    @property
+    def options(self) -> Options:
+        return self.catalog.options
+
+
 @dataclass(frozen=True)
 class ScreenFilters:
     """Optional dashboard filters; an absent one adds no predicate."""

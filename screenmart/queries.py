@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from screenmart.catalog import Catalog, Options
 from screenmart.operators import checks
-from screenmart.operators.scope import EventScope, ScreenFilters, scope_to_tenant, tenant_from_setting
+from screenmart.operators.scope import EventScope, ScreenFilters, TenantCatalog, scope_to_tenant, tenant_from_setting
 from screenmart.plans import build, event_cards, firstgen, screen_cards
 from screenmart.session import tune
 from screenmart.sources.sample import stored_sample_catalog
@@ -118,6 +118,10 @@ FILTERED = ScreenFilters(
     partner=("No Partner", "Other", "NATION_3", "NATION_7"),
     utm_source=("BUILDING", "MACHINERY"),
 )
+PLACES = ScreenFilters(
+    county=("Unspecified", "NATION_3", "NATION_7"), utm_campaign=("NATION_3", "NATION_7", "NATION_11"),
+    utm_medium=("1-URGENT", "2-HIGH", "5-LOW"),
+)
 PARTNER_A = ScreenFilters(partner=("NATION_3",))
 PARTNER_B = ScreenFilters(referrer_code=("ref5",))
 ALL = ScreenFilters()
@@ -142,6 +146,7 @@ SCREEN_CARDS: dict[str, Callable[[Catalog], DataFrame]] = {
     "QP09_head_ages": lambda c: sc.head_ages(c),
     "QP09_head_ages_filtered": lambda c: sc.head_ages(c, FILTERED),
     "QP10_member_ages": lambda c: sc.member_ages(c),
+    "QP10_member_ages_filtered": lambda c: sc.member_ages(c, PLACES),
     "QP11_household_sizes": lambda c: sc.household_sizes(c),
     "QP12_household_languages": lambda c: sc.household_languages(c).drop("n"),
     "QP13_immediate_needs": lambda c: sc.immediate_needs(c),
@@ -149,6 +154,7 @@ SCREEN_CARDS: dict[str, Callable[[Catalog], DataFrame]] = {
     "QP15_young_adult_share": lambda c: sc.young_adult_share(c),
     "QP16_monthly_active_users": lambda c: sc.monthly_active_users(c, ["co", "nc", "tx"]),
     "QP17_completed_screeners": lambda c: sc.completed_screeners(c),
+    "QP17_completed_screeners_filtered": lambda c: sc.completed_screeners(c, PLACES),
     "QP18_already_had_benefits": lambda c: sc.already_had_benefits(c),
     "QP18_qualified_share": lambda c: sc.qualified_share(c),
     "QP18_qualified_tax_share": lambda c: sc.qualified_tax_share(c),
@@ -219,6 +225,18 @@ SCREEN_CARDS: dict[str, Callable[[Catalog], DataFrame]] = {
     "QP29_immediate_needs": lambda c: sc.immediate_needs(c, PARTNER_B),
 }
 
+# Each card of the relational dashboards as one tenant sees it.
+TENANT_SCREEN_CARDS = [
+    "QP01_common_expenses", "QP02_income_streams", "QP03_current_benefits", "QP04_qualified_benefits",
+    "QP05_top_counties", "QP06_top_partners", "QP07_income_distribution", "QP08_assets_distribution", "QP09_head_ages",
+    "QP10_member_ages", "QP11_household_sizes", "QP12_household_languages", "QP13_immediate_needs",
+    "QP14_disabled_share", "QP15_young_adult_share", "QP17_completed_screeners", "QP18_qualified_share",
+    "QP19_median_annual_benefits", "QP20_total_all_benefits", "QP21_daily_screeners", "QP22_median_household_size",
+    "QP23_partner_values", "QP24_homeowners", "QP25_renter_daily", "QP26_renter_electric_provider",
+    "QP27_homeowner_has_old_car", "QP28_total_value", "QP29_completed",
+]
+TENANT_ID = 3
+
 GLOBAL = EventScope(epoch=date(2024, 1, 8))
 TENANT = EventScope(epoch=date(2024, 1, 8), tenant_states=("co",), start=date(2024, 1, 10), end=date(2024, 1, 25))
 
@@ -242,6 +260,8 @@ EVENT_CARDS: dict[str, Callable[..., DataFrame]] = {
     "QE19_most_shown_by_state": lambda c, s: ec.most_shown_programs(c, s, by_state=True),
     "QE19_detail_rate_by_state": lambda c, s: ec.program_detail_rate(c, s, by_state=True),
     "QE19_conversion_by_state": lambda c, s: ec.program_conversion(c, s, by_state=True),
+    "QE19_detail_rate_by_state_any": lambda c, s: ec.program_detail_rate(c, s, by_state=True, least=1),
+    "QE19_conversion_by_state_any": lambda c, s: ec.program_conversion(c, s, by_state=True, least=1),
     "QE20_navigators_by_state": lambda c, s: ec.navigator_engagement(c, s, by_state=True),
     "QE21_resource_engagement": ec.resource_engagement,
     "QE22_resources_tab": ec.resources_tab_engagement,
@@ -272,14 +292,8 @@ EVENT_CARDS: dict[str, Callable[..., DataFrame]] = {
 }
 
 TENANT_CARDS: dict[str, Callable[..., DataFrame]] = {
-    **{
-        name: EVENT_CARDS[name]
-        for name in (
-            "QE01_conversion_funnel", "QE03_step_funnel", "QE04_energy_step_funnel", "QE09_eligible_share",
-            "QE12_share_funnel_footer", "QE21_resource_engagement", "QE24_help_by_topic", "QE31_chrome_navigation",
-            "QE32_disclaimer_links", "QE41_language_switches",
-        )
-    },
+    # Without those of which the sample has no rows for one state.
+    **{n: fn for n, fn in EVENT_CARDS.items() if n not in ("QE19_detail_rate_by_state", "QE19_conversion_by_state", "QE26_income_source_actions")},
     "QE16_most_shown": ec.most_shown_programs,
     "QE17_detail_rate": ec.program_detail_rate,
     "QE18_conversion": ec.program_conversion,
@@ -342,6 +356,8 @@ def queries() -> dict[str, Query]:
     assert build.MODULES  # the modules register the datasets
     out = {f"{key}_{name}": _dataset(name) for key, name in DATASETS.items()}
     out.update({name: _card(fn) for name, fn in SCREEN_CARDS.items()})
+    for name in TENANT_SCREEN_CARDS:
+        out[f"{name}_tenant"] = _card(lambda c, fn=SCREEN_CARDS[name]: fn(TenantCatalog(c, TENANT_ID)))
     out.update({name: _card(lambda c, fn=fn: fn(c, GLOBAL)) for name, fn in EVENT_CARDS.items()})
     out.update({f"{name}_tenant": _card(lambda c, fn=fn: fn(c, TENANT)) for name, fn in TENANT_CARDS.items()})
     out.update({name: _card(fn) for name, fn in OTHER.items()})

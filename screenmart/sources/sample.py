@@ -240,8 +240,8 @@ EVENT_NAMES = {
         (70, 74, "screener_results_save"), (75, 79, "outbound_link"), (80, 83, "screener_link_click"),
         (84, 86, "screener_logo_click"), (87, 89, "screener_social_click"), (90, 92, "screener_feedback_click"),
         (93, 94, "screener_results_back_to_screener"), (95, 96, "screener_help_click"),
-        (97, 97, "screener_get_help_click"), (98, 98, "screener_more_help_resource_click"),
-        (99, 99, "screener_nps_score_submitted"),
+        (97, 97, "screener_get_help_click"), (98, 98, "screener_nps_score_submitted"),
+        (99, 99, "screener_more_help_resource_click"),
     ],
     "error": [
         (0, 59, "screener_form_error"), (60, 79, "screener_form_back"), (80, 91, "screener_nps_score_submitted"),
