@@ -23,7 +23,7 @@ PART_GRAMS = 400_000
 #: Context frequencies by powers of two; 0 is an unseen context.
 BUCKETS = 64
 #: Steps per power of two in which held-out probabilities are gathered for the weights.
-RESOLUTION = 32
+RESOLUTION = 8
 COUNTED, TUNED, SCORED = 0, 1, 2
 
 
