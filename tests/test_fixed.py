@@ -15,7 +15,7 @@ def test_wide_programs():
 
 
 def test_benefit_labels_keep_their_published_places():
-    assert len(BENEFIT_LABELS) == 110
+    assert len(BENEFIT_LABELS) == 111 and sum(label is not None for label, _ in BENEFIT_LABELS) == 110
     assert BENEFIT_LABELS[0] == ("ACP", "acp") and BENEFIT_LABELS[-1] == (None, "wic")
     shifted = [p for _, p in BENEFIT_LABELS].index("ma_tafdc")
     assert BENEFIT_LABELS[shifted - 1] == ("MA TAFDC", "ma_ssp") and BENEFIT_LABELS[shifted] == ("MA WIC", "ma_tafdc")
@@ -26,4 +26,4 @@ def test_languages_and_steps():
     assert {LANGUAGES["en-us"], LANGUAGES["es"], LANGUAGES["vi"]} == {"English", "Spanish", "Vietnamese"}
     slugs = [s for s, *_ in STEPS]
     assert len(slugs) == len(set(slugs))
-    assert sorted(r for *_, r, _ in STEPS if r is not None) == list(range(12))
+    assert sorted(r for *_, r, _ in STEPS if r is not None) == list(range(1, 13))

@@ -254,10 +254,10 @@ def test_results_rank_closes_the_funnel(make_catalog):
 
 
 def test_first_generation_pairs_by_position(make_catalog):
-    from screenmart.plans.firstgen import default_benefit_labels, default_wide_programs
+    from screenmart.plans.firstgen import BENEFIT_LABELS, WIDE_PROGRAMS
 
-    pairs = default_benefit_labels()
-    assert (len(default_wide_programs()), len(pairs)) == (113, 111)
+    pairs = BENEFIT_LABELS
+    assert (len(WIDE_PROGRAMS), len(pairs)) == (113, 111)
     assert ("MA SSP", "ma_ssp") in pairs and ("MA TAFDC", "ma_ssp") in pairs and pairs[-1] == (None, "wic")
     c = make_catalog(screener_screen=[screen(1)])
     counts = c["data_currentbenefits"]
