@@ -74,14 +74,14 @@ def scores(model: Model, x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x @ model.weights + model.intercept, -30, 30)))
 
 
-def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.1, steps: int = 30) -> tuple[np.ndarray, float]:
-    """Weights and intercept by Newton steps with a ridge penalty."""
+def logistic(x: np.ndarray, y: np.ndarray, n: np.ndarray, ridge: float = 0.1, steps: int = 30) -> tuple[np.ndarray, float]:
+    """Weights and intercept by Newton steps with a ridge penalty, each row counted ``n`` times."""
     z = np.concatenate([x, np.ones((len(x), 1))], axis=1)
     w = np.zeros(z.shape[1])
     penalty = np.diag([ridge] * x.shape[1] + [1e-3])
     for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
-        step = np.linalg.solve((z * (p * (1 - p))[:, None]).T @ z + penalty, z.T @ (y - p) - penalty @ w)
+        step = np.linalg.solve((z * (n * p * (1 - p))[:, None]).T @ z + penalty, z.T @ (n * (y - p)) - penalty @ w)
         w += step
         if np.abs(step).max() < 1e-8:
             break
@@ -89,9 +89,9 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.1, steps: int = 30)
 
 
 def sample(docs: DataFrame, labels: DataFrame, most: int) -> DataFrame:
-    """(doc_id, text, toxic) of at most ``most`` labelled rows of each class, those with the smallest hashes of doc_id.
+    """(text, toxic, n) of at most ``most`` labelled ids of each class, those with the smallest hashes of doc_id.
 
-    Each text once: of equal texts one row stays.
+    Each text once, with the number ``n`` of its rows.
     """
     ids = None
     for value in (0, 1):
@@ -100,7 +100,13 @@ def sample(docs: DataFrame, labels: DataFrame, most: int) -> DataFrame:
         ids = chosen if ids is None else ids.union(chosen)
     # At most 2 * most ids.
     found = docs.select("doc_id", "text").where("text is not null").join(F.broadcast(ids), "doc_id")
-    return found.dropDuplicates(["text", "toxic"])
+    return found.groupBy("text", "toxic").agg(F.count(F.lit(1)).alias("n"))
+
+
+def class_rows(docs: DataFrame, labels: DataFrame) -> dict[int, int]:
+    """How many rows with a text each class has, over all labels."""
+    rows = docs.where("text is not null").select("doc_id").join(labels.select("doc_id", "toxic").distinct(), "doc_id")
+    return {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
 
 
 def spans(taught: DataFrame, lengths: tuple[int, ...] = (5, 6, 7)) -> DataFrame:
@@ -135,8 +141,9 @@ def train(
     """Two dictionaries and a calibrated score from labelled rows.
 
     ``labels`` hold doc_id and toxic 0 or 1. The dictionaries learn from rows outside fold 3 of 4
-    (crc32), the calibration from fold 3: at most ``most`` rows of each class in either, the one
-    bound on what is learned from. The toxic dictionary holds the spans of letters that stand in
+    (crc32), the calibration from fold 3: at most ``most`` rows of each class in either. In the
+    calibration a sampled row stands for as many rows as its class has in fold 3 per row sampled, so
+    the bound does not move the score. The toxic dictionary holds the spans of letters that stand in
     ``least_share`` of the toxic texts at least, and ``ratio`` times as often as in ordinary ones,
     the most telling last, where zstandard finds them nearest; the ordinary one is trained by zstandard
     on the words of ordinary texts. Without labels of both classes nothing is toxic.
@@ -162,12 +169,13 @@ def train(
     model = Model(content, _dictionary([samples[i] for i in order], size))
     if not content:
         return model
-    rows = sample(docs, labels.where(calibrate), most).select("text", "toxic")
-    measured = _measure(rows, model).toPandas()
+    measured = _measure(sample(docs, labels.where(calibrate), most), model).toPandas()
     if measured["toxic"].nunique() < 2:
         return model
     x = np.stack(measured["x"].to_numpy())
-    weights, intercept = logistic(x, measured["toxic"].to_numpy(float))
+    whole, sampled = class_rows(docs, labels.where(calibrate)), measured.groupby("toxic")["n"].sum()
+    stands_for = measured["n"] * measured["toxic"].map({c: whole[c] / sampled[c] for c in sampled.index})
+    weights, intercept = logistic(x, measured["toxic"].to_numpy(float), stands_for.to_numpy(float))
     return Model(model.toxic, model.ordinary, weights, intercept)
 
 
@@ -194,9 +202,10 @@ def _measure(rows: DataFrame, model: Model) -> DataFrame:
         known = gains(model)
         for batch in batches:
             x = features(known, batch.column(0).to_pylist())
-            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(list(x), pa.list_(pa.float64()))], ["toxic", "x"])
+            columns = [batch.column(1), batch.column(2), pa.array(list(x), pa.list_(pa.float64()))]
+            yield pa.RecordBatch.from_arrays(columns, ["toxic", "n", "x"])
 
-    return map_arrow(rows, run, f"toxic {rows.schema['toxic'].dataType.simpleString()}, x array<double>")
+    return map_arrow(rows, run, f"toxic {rows.schema['toxic'].dataType.simpleString()}, n long, x array<double>")
 
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:

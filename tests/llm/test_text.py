@@ -241,6 +241,21 @@ def test_toxicity_separates_held_out_rows(spark):
     assert all(0 <= got[i].score <= 1 for i in got) and got[1000].predicted == 0 and got[None].predicted == 1
 
 
+def test_toxicity_is_calibrated_alike_when_sampled(spark):
+    rng = random.Random(10)
+    marks = [(i, int(i % 10 == 0)) for i in range(3000)]
+    rows = [(i, prose(rng, 30) + (" grumblex vilethorn" if toxic and i % 20 == 0 else "")) for i, toxic in marks]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4).cache()
+    labels = spark.createDataFrame(marks, "doc_id long, toxic int")
+    means = []
+    for most in (60, 4000):
+        judged = toxicity.predict(docs, toxicity.train(docs, labels, most=most)).toPandas()
+        # Half of the toxic texts look ordinary: of all that do, 1 in 19 is toxic, far below the threshold.
+        assert judged.set_index("doc_id")["predicted"].sum() == 150
+        means.append(judged["score"].mean())
+    assert all(abs(m - 0.1) < 0.02 for m in means)
+
+
 def test_toxicity_without_labels(spark):
     docs = spark.createDataFrame([(1, "some text")], "doc_id long, text string")
     model = toxicity.train(docs, spark.createDataFrame([], "doc_id long, toxic int"))
