@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -32,18 +33,44 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + k) for k, b in enumerate(rest)}
 
 
+class Coded:
+    """Token ids of whole texts: added tokens (``ids`` by their literal) are cut out first, as the library does."""
+
+    def __init__(self, encoded: Encoded, ids: dict[str, int]):
+        self.encoded, self.ids = encoded, ids
+        # Of several literals that start at one place, the longest is meant.
+        self.literals = re.compile(f"({'|'.join(map(re.escape, sorted(ids, key=len, reverse=True)))})") if ids else None
+
+    def texts(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts one after the other, and each text's number of them."""
+        if not any(literal in text for literal in self.ids for text in texts):
+            return self.encoded.texts(texts)
+        cut = [self.literals.split(text) for text in texts]
+        # Parts at odd places are literals; what stands before and after one is split into pieces on its own.
+        ids, sizes = self.encoded.texts([part if k % 2 == 0 else "" for parts in cut for k, part in enumerate(parts)])
+        counts = np.fromiter(map(len, cut), dtype=np.int64, count=len(cut))
+        firsts = np.cumsum(counts) - counts
+        at = np.concatenate([first + np.arange(1, n, 2) for first, n in zip(firsts, counts, strict=True)])
+        ids = np.insert(ids, np.cumsum(sizes)[at], [self.ids[x] for parts in cut for x in parts[1::2]])
+        sizes[at] = 1
+        return ids, np.add.reduceat(sizes, firsts)
+
+
 @functools.lru_cache(maxsize=2)
-def _loaded(path: str) -> Encoded:
+def _loaded(path: str) -> Coded:
     from tokenizers import Tokenizer
 
-    model = Tokenizer.from_file(path).model
+    tokenizer = Tokenizer.from_file(path)
+    model, added = tokenizer.model, tokenizer.get_added_tokens_decoder()
+    if any(t.single_word or t.lstrip or t.rstrip or t.normalized for t in added.values()):
+        raise ValueError(f"{path} has added tokens that depend on what stands around them")
     letters = byte_letters()
 
     def encode(pieces: list[str]) -> list[list[int]]:
         words = (p.encode("utf-8", "surrogatepass").decode("latin-1").translate(letters) for p in pieces)
         return [[token.id for token in model.tokenize(word)] for word in words]
 
-    return Encoded(encode)
+    return Coded(Encoded(encode), {token.content: i for i, token in added.items()})
 
 
 def default_tokenizer() -> str:
@@ -55,7 +82,7 @@ def default_tokenizer() -> str:
 def write(docs: DataFrame, tokenizer: str, path: str, end: int = END) -> None:
     """Write (doc_id, row, ids) of all ``docs`` as ORC in ascending doc_id order, null ids first.
 
-    ``ids`` are the whole text's tokens and ``end``; a null text is empty. Texts, not
+    ``ids`` are the whole text's tokens, added ones too, and ``end``; a null text is empty. Texts, not
     ids, are range-partitioned, so one shuffle of the input is all that moves; files follow each
     other in id order, ``row`` numbers the rows in file order, and repeated doc_ids share a file.
     Integers are run-length encoded (version 2) by the writer; each stripe has row-index entries

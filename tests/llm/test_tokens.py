@@ -110,6 +110,30 @@ def test_orc_files(spark, docs_of, odd_rows):
     assert sorted(str([r.doc_id, list(r.ids)]) for r in rows.collect()) == plain
 
 
+def test_orc_files_hold_added_tokens(spark, docs_of):
+    mark = "<|endoftext|>"
+    texts = [f"a {mark} b", mark, mark * 2, f"{mark} it's", f"one  {mark}\n\n{mark}\u4e2d", "", None, "none <|endoftext| >", f"end {mark}", "plain"]
+    path = shared_path(spark, "test_tokens")
+    orc_tokens.write(docs_of(list(enumerate(texts))), orc_tokens.default_tokenizer(), path)
+    tokenizer = Tokenizer.from_file(orc_tokens.default_tokenizer())
+    want, start = [], 0
+    for i, text in enumerate(texts):
+        ids = [*tokenizer.encode(text or "", add_special_tokens=False).ids, orc_tokens.END]
+        want.append((i, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        start += len(ids)
+    assert sorted(map(tuple, orc_tokens.summaries(orc_tokens.read(spark, path)).collect())) == want
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.lists(TEXTS | st.just("<|endoftext|>"), max_size=5).map("".join), min_size=1, max_size=4))
+def test_added_tokens_are_those_of_the_library(texts):
+    texts = [t.encode("utf-8", "ignore").decode() for t in texts]
+    tokenizer = Tokenizer.from_file(orc_tokens.default_tokenizer())
+    ids, sizes = orc_tokens._loaded(orc_tokens.default_tokenizer()).texts(texts)
+    want = [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert (ids.tolist(), sizes.tolist()) == ([i for x in want for i in x], list(map(len, want)))
+
+
 def test_orc_files_have_stripes_and_are_pruned(spark, docs_of):
     path = shared_path(spark, "test_tokens")
     orc_tokens.write(docs_of([(k, "some words here") for k in range(50)]), orc_tokens.default_tokenizer(), path)
