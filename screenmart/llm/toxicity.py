@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import re
 from collections import Counter
-from collections.abc import Iterator
-from dataclasses import dataclass, field
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
@@ -20,13 +21,21 @@ from screenmart.llm.pieces import Encoded, letter_words
 WINDOW = 24
 #: Counted per text: windows that the toxic dictionary makes this many bytes shorter than the ordinary one.
 GAINS = (1, 2, 3, 4, 5)
+#: The same for phrases, windows of several words: the one that begins at every fourth word has eight.
+PHRASE_GAINS = (1, 2, 4, 6, 8)
+#: Half a phrase; an unbroken run of over 32 characters counts as several words.
+HALF = re.compile(r"(?:\S{1,32}\s?){1,4}")
+#: Phrases of a class that its dictionary is trained on, some fifty times as many bytes as it holds.
+PHRASES = 60_000
 
 
 @dataclass(frozen=True)
 class Model:
     toxic: bytes = b""
     ordinary: bytes = b""
-    weights: np.ndarray = field(default_factory=lambda: np.zeros(2 * len(GAINS)))
+    toxic_phrases: bytes = b""
+    ordinary_phrases: bytes = b""
+    weights: np.ndarray = field(default_factory=lambda: np.zeros(2 * len(GAINS + PHRASE_GAINS)))
     intercept: float = -20.0
     #: The calibrated share of gains at which a text is toxic is where the score passes this.
     threshold: float = 0.3
@@ -47,6 +56,31 @@ def compressor(content: bytes) -> zstandard.ZstdCompressor:
     return zstandard.ZstdCompressor(dict_data=dictionary, compression_params=params)
 
 
+def phrases(text: str) -> Iterator[bytes]:
+    """The windows of several words of a whole text, each half over the one before."""
+    before, alone = "", True
+    for found in HALF.finditer(text.lower()):
+        if before:
+            alone = False
+            yield (before + found[0]).encode("utf-8", "surrogatepass")
+        before = found[0]
+    if before and alone:
+        yield before.encode("utf-8", "surrogatepass")
+
+
+def phrase_compressor(content: bytes) -> zstandard.ZstdCompressor:
+    params = zstandard.ZstdCompressionParameters.from_level(
+        3, format=zstandard.FORMAT_ZSTD1_MAGICLESS, write_content_size=False, write_checksum=False, write_dict_id=False
+    )
+    return zstandard.ZstdCompressor(dict_data=zstandard.ZstdCompressionDict(content.ljust(8)), compression_params=params)
+
+
+def phrase_gains(model: Model) -> Callable[[str], np.ndarray]:
+    """For each phrase of a text: bytes saved by the toxic dictionary over the ordinary one."""
+    toxic, ordinary = phrase_compressor(model.toxic_phrases).compress, phrase_compressor(model.ordinary_phrases).compress
+    return lambda text: np.fromiter((len(ordinary(x)) - len(toxic(x)) for x in phrases(text)), dtype=np.int32)
+
+
 def gains(model: Model) -> Encoded:
     """For each word met so far: bytes saved by the toxic dictionary over the ordinary one."""
     toxic, ordinary = compressor(model.toxic).compress, compressor(model.ordinary).compress
@@ -57,16 +91,21 @@ def gains(model: Model) -> Encoded:
     return Encoded(gain, letter_words)
 
 
-def features(known: Encoded, texts: list[str]) -> np.ndarray:
-    """Per text: logarithms of the counts of windows with each gain, and of their counts per thousand."""
-    out = np.zeros((len(texts), 2 * len(GAINS)))
+def _counted(gain: np.ndarray, text_of: np.ndarray, sizes: np.ndarray, levels: tuple[int, ...]) -> np.ndarray:
+    counts = np.stack([np.bincount(text_of[gain >= least], minlength=len(sizes)) for least in levels], axis=1)
+    return np.log1p(np.concatenate([counts, 1000 * counts / np.maximum(sizes, 1)[:, None]], axis=1))
+
+
+def features(known: Encoded, of_phrases: Callable[[str], np.ndarray], texts: list[str]) -> np.ndarray:
+    """Per text: logarithms of the counts of windows with each gain, and of their counts per thousand; words, then phrases."""
+    out = np.zeros((len(texts), 2 * len(GAINS + PHRASE_GAINS)))
     for begin, end in slices(texts):
+        numbers = np.arange(end - begin)
         gain, sizes = known.texts(texts[begin:end])
-        text_of = np.repeat(np.arange(end - begin), sizes)
-        for k, least in enumerate(GAINS):
-            count = np.bincount(text_of[gain >= least], minlength=end - begin)
-            out[begin:end, k] = np.log1p(count)
-            out[begin:end, len(GAINS) + k] = np.log1p(1000 * count / np.maximum(sizes, 1))
+        out[begin:end, : 2 * len(GAINS)] = _counted(gain, np.repeat(numbers, sizes), sizes, GAINS)
+        found = [of_phrases(text) for text in texts[begin:end]]
+        sizes = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
+        out[begin:end, 2 * len(GAINS) :] = _counted(np.concatenate(found), np.repeat(numbers, sizes), sizes, PHRASE_GAINS)
     return out
 
 
@@ -146,7 +185,8 @@ def train(
     the bound does not move the score. The toxic dictionary holds the spans of letters that stand in
     ``least_share`` of the toxic texts at least, and ``ratio`` times as often as in ordinary ones,
     the most telling last, where zstandard finds them nearest; the ordinary one is trained by zstandard
-    on the words of ordinary texts. Without labels of both classes nothing is toxic.
+    on the words of ordinary texts. Beside these two of words stand two of phrases, which zstandard
+    trains on the texts of each class. Both pairs are calibrated together. Without labels of both classes nothing is toxic.
     """
     labels = labels.where("toxic in (0, 1) and doc_id is not null")
     calibrate = crc_fold("doc_id", 4) == 3
@@ -161,14 +201,13 @@ def train(
     found = counts.where((F.col("kind") == "span") & telling).collect()
     words = counts.where((F.col("kind") == "word") & (F.col("ordinary") >= 3)).select("key", "ordinary").collect()
     counts.unpersist()
+    of_class = [_phrase_dictionary(taught, value, size) for value in (0, 1)]
     taught.unpersist()
     toxic = _outermost({r["key"]: r["toxic"] for r in found})
     content = "".join(sorted(toxic, key=lambda k: (toxic[k], k))).encode("utf-8", "surrogatepass")
     samples = [f" {r['key']} ".encode("utf-8", "surrogatepass") for r in sorted(words) for _ in range(min(r["ordinary"], 10))]
     order = np.random.default_rng(42).permutation(len(samples))
-    model = Model(content, _dictionary([samples[i] for i in order], size))
-    if not content:
-        return model
+    model = Model(content, _dictionary([samples[i] for i in order], size), of_class[1], of_class[0])
     measured = _measure(sample(docs, labels.where(calibrate), most), model).toPandas()
     if measured["toxic"].nunique() < 2:
         return model
@@ -176,7 +215,7 @@ def train(
     whole, sampled = class_rows(docs, labels.where(calibrate)), measured.groupby("toxic")["n"].sum()
     stands_for = measured["n"] * measured["toxic"].map({c: whole[c] / sampled[c] for c in sampled.index})
     weights, intercept = logistic(x, measured["toxic"].to_numpy(float), stands_for.to_numpy(float))
-    return Model(model.toxic, model.ordinary, weights, intercept)
+    return replace(model, weights=weights, intercept=intercept)
 
 
 def _outermost(counts: Counter | dict[str, int]) -> dict[str, int]:
@@ -197,11 +236,24 @@ def _dictionary(samples: list[bytes], size: int) -> bytes:
         return b"".join(samples)[-size:]
 
 
+def _phrase_dictionary(taught: DataFrame, value: int, size: int) -> bytes:
+    """Trained on ``PHRASES`` phrases of the class, those with the smallest hashes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                yield pa.RecordBatch.from_arrays([pa.array(phrases(text), pa.binary())], ["phrase"])
+
+    found = map_arrow(taught.where(F.col("toxic") == value).select("text"), run, "phrase binary")
+    chosen = found.orderBy(F.xxhash64("phrase"), "phrase").limit(PHRASES).toPandas()["phrase"]
+    return _dictionary([bytes(x) for x in chosen], size)
+
+
 def _measure(rows: DataFrame, model: Model) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = gains(model)
+        known, of_phrases = gains(model), phrase_gains(model)
         for batch in batches:
-            x = features(known, batch.column(0).to_pylist())
+            x = features(known, of_phrases, batch.column(0).to_pylist())
             columns = [batch.column(1), batch.column(2), pa.array(list(x), pa.list_(pa.float64()))]
             yield pa.RecordBatch.from_arrays(columns, ["toxic", "n", "x"])
 
@@ -211,16 +263,16 @@ def _measure(rows: DataFrame, model: Model) -> DataFrame:
 def predict(docs: DataFrame, model: Model) -> DataFrame:
     """All columns of ``docs`` with score (0 to 1) and predicted (1 from the model's threshold on), from whole texts.
 
-    A null or empty text, or one without letters, has no window and scores as such.
+    A null, empty or blank text has no window and scores as such.
     """
     docs = docs.drop("score", "predicted")
     schema = T.StructType([*docs.schema, T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())])
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = gains(model)
+        known, of_phrases = gains(model), phrase_gains(model)
         for batch in batches:
-            s = scores(model, features(known, [t or "" for t in batch.column(at).to_pylist()]))
+            s = scores(model, features(known, of_phrases, [t or "" for t in batch.column(at).to_pylist()]))
             columns = [*batch.columns, pa.array(s), pa.array((s >= model.threshold).astype(np.int32))]
             yield pa.RecordBatch.from_arrays(columns, schema.names)
 

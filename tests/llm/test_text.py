@@ -256,6 +256,26 @@ def test_toxicity_is_calibrated_alike_when_sampled(spark):
     assert all(abs(m - 0.1) < 0.02 for m in means)
 
 
+def test_toxicity_by_phrases_of_ordinary_words(spark):
+    rng, rows, marks = random.Random(11), [], []
+    said = "over here lies your very last good morning".split()
+    for i in range(1200):
+        toxic = int(i % 4 == 0)
+        words = [rng.choice([*said, *prose(rng, 8).split()]) for _ in range(60)]
+        if toxic:
+            words[20:20] = said * 2
+        rows.append((i, " ".join(words)))
+        marks.append((i, toxic))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    labels = spark.createDataFrame(marks, "doc_id long, toxic int")
+    model = toxicity.train(docs, labels.where(crc_fold("doc_id", 4) != 2))
+    assert model.toxic == b""  # no span tells the classes apart
+    got = {r.doc_id: r.predicted for r in toxicity.predict(docs.where(crc_fold("doc_id", 4) == 2), model).collect()}
+    truth = dict(marks)
+    caught = sum(got[i] for i in got if truth[i])
+    assert caught >= 0.8 * sum(truth[i] for i in got) and caught >= 0.8 * sum(got.values())
+
+
 def test_toxicity_without_labels(spark):
     docs = spark.createDataFrame([(1, "some text")], "doc_id long, text string")
     model = toxicity.train(docs, spark.createDataFrame([], "doc_id long, toxic int"))
