@@ -149,6 +149,47 @@ def span_hashes(units: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.n
     return mix(at_start + mix((ends - starts).astype(np.uint64)))
 
 
+def same_spans(units: np.ndarray, starts: np.ndarray, lengths: np.ndarray, others: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """For each span of ``units`` whether as many units of ``others`` from ``at`` on are the same ones."""
+    out = np.ones(len(starts), dtype=bool)
+    for begin in range(0, len(starts), 1 << 18):
+        part = slice(begin, begin + (1 << 18))
+        size = lengths[part]
+        differ = units[ranges(starts[part], size)] != others[ranges(at[part], size)]
+        if differ.any():
+            out[part][np.repeat(np.arange(len(size)), size)[differ]] = False
+    return out
+
+
+def distinct_spans(units: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hashes, where, back): a span for each distinct content, ordered by hash, and every span's place among them.
+
+    Hashes only bring equal spans together; units decide. Where contents clash in a hash, the
+    later one is told apart and listed under the same hash.
+    """
+    hashes = span_hashes(units, starts, ends)
+    known, where, back = np.unique(hashes, return_index=True, return_inverse=True)
+    lengths = ends - starts
+    first = where[back]
+    same = lengths[first] == lengths
+    same[same] = same_spans(units, starts[same], lengths[same], units, starts[first[same]])
+    odd = np.flatnonzero(~same)
+    if not len(odd):
+        return known, where, back
+    clashed: dict[tuple[int, bytes], int] = {}
+    for k in odd.tolist():
+        content = int(hashes[k]), units[starts[k] : ends[k]].tobytes()
+        back[k] = clashed.setdefault(content, len(known) + len(clashed))
+    extra = np.full(len(clashed), -1, dtype=np.int64)
+    extra[back[odd[::-1]] - len(known)] = odd[::-1]
+    where = np.concatenate([where, extra])
+    known = hashes[where]
+    order = np.argsort(known, kind="stable")
+    place = np.empty_like(order)
+    place[order] = np.arange(len(order))
+    return known[order], where[order], place[back]
+
+
 def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Indexes of start, start+1, ... for each (start, length), one after the other."""
     total = int(lengths.sum())

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from screenmart.llm import bpe, decontaminate, embedding, exact, langid, lines, lm, orc_tokens, simhash, toxicity, warc_zip, whitening
+from screenmart.llm import bpe, decontaminate, embedding, exact, langid, lines, lm, orc_tokens, phrases, simhash, toxicity, warc_zip, whitening
 
 QUERIES = {
     "op1_langid": langid.op1_langid,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_embedding": embedding.op8_embedding,
     "op9_line_dedup": lines.op9_line_dedup,
     "op10_toxicity": toxicity.op10_toxicity,
+    "op11_collocations": phrases.op11_collocations,
     "op12_exact_dedup": exact.op12_exact_dedup,
     "op13_whitening": whitening.op13_whitening,
 }
@@ -24,5 +25,6 @@ ORACLE_SQL = {
     "op6_decontamination": decontaminate.OP6_SQL,
     "op8_embedding": embedding.OP8_SQL,
     "op9_line_dedup": lines.OP9_SQL,
+    "op11_collocations": phrases.OP11_SQL,
     "op12_exact_dedup": exact.OP12_SQL,
 }

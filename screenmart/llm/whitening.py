@@ -229,7 +229,7 @@ def fitted(fit: DataFrame, top: int) -> DataFrame:
         v[entries["i"], entries["j"]] = entries["v"]
         v = (v + v.T) / 2
         e, axes = leading_pairs(v, top)
-        return pd.DataFrame({"dim": dim, "component": np.arange(1, len(e) + 1), "e": e, "explained": e / np.trace(v) if len(e) else e, "axis": list(axes.T)})
+        return pd.DataFrame({"dim": dim, "component": np.arange(1, len(e) + 1), "e": e, "explained": e / np.trace(v) if len(e) else e, "axis": pd.Series(list(axes.T), dtype=object)})
 
     schema = "dim int, component int, e double, explained double, axis array<double>"
     pairs = covariances(fit, totals).groupBy("dim").applyInPandas(solve, schema)
