@@ -36,6 +36,7 @@ class Bpe:
             self.matches.add_word(token.decode("latin-1"), rank)
         self.matches.make_automaton()
         self.length = {rank: len(token) for token, rank in ranks.items()}
+        self.longest = max(self.length.values())
         self.made: dict[int, bool] = {}
         #: Tokens that a merge of lower rank follows one of higher rank in: ranks then do not tell what came first.
         self.irregular: set[int] = set()
@@ -167,7 +168,8 @@ class Bpe:
                     if end == n:
                         return ids
                     at = end
-                    token = next(self.matches.iter_long(text, at))[1]
+                    # Only the part that a token can cover: the call costs time in the length of what it is given.
+                    token = next(self.matches.iter_long(text[at : at + self.longest]))[1]
                     continue
             token = shorter[token] if token in shorter else self.next_shorter(token)
             while token is None:

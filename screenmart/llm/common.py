@@ -21,6 +21,8 @@ ALL = 2**64
 BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 #: Odd multiplier of the prefix-sum hash; any odd 64-bit number has an inverse modulo 2**64.
 _BASE = 0x9E3779B97F4A7C15 | 1
+#: A second sum in a prime field: powers of two as modulus have regular strings that clash under every base.
+_PRIME, _PRIME_BASE = 2**31 - 1, 1_275_834_377
 #: ASCII white space, the only separators of words and the only characters stripped from lines.
 SPACES = b" \t\n\x0b\x0c\r"
 #: The bits of each byte value, lowest first.
@@ -129,6 +131,17 @@ def _powers(bits: int) -> tuple[np.ndarray, np.ndarray]:
     return powers(_BASE), powers(pow(_BASE, -1, ALL))
 
 
+@functools.lru_cache(maxsize=4)
+def _prime_powers(bits: int) -> tuple[np.ndarray, np.ndarray]:
+    def powers(base: int) -> np.ndarray:
+        out = np.ones(1, dtype=np.uint64)
+        while len(out) < 1 << bits:
+            out = np.concatenate([out, out * np.uint64(pow(base, len(out), _PRIME)) % np.uint64(_PRIME)])
+        return out
+
+    return powers(_PRIME_BASE), powers(pow(_PRIME_BASE, -1, _PRIME))
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """The splitmix64 finaliser."""
     h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -136,17 +149,31 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def span_hashes(units: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+class Spans:
     """64-bit hashes of units[start:end]; equal spans hash alike wherever they stand.
 
-    Prefix sums of unit * base**position; the inverse power moves a span to
-    position 0, so the cost does not depend on the spans' lengths.
+    Prefix sums of unit * base**position, modulo 2**64 and modulo a prime; the inverse power moves a
+    span to position 0, so the cost does not depend on the spans' lengths. Equal hashes are no proof: see ``distinct_spans``.
     """
-    power, inverse = _powers(max(16, int(len(units) + 1).bit_length()))
-    sums = np.zeros(len(units) + 1, dtype=np.uint64)
-    np.cumsum((units.astype(np.uint64) + np.uint64(1)) * power[: len(units)], out=sums[1:])
-    at_start = (sums[ends] - sums[starts]) * inverse[starts]
-    return mix(at_start + mix((ends - starts).astype(np.uint64)))
+
+    def __init__(self, units: np.ndarray):
+        bits, prime = max(16, int(len(units) + 1).bit_length()), np.uint64(_PRIME)
+        power, self.inverse = _powers(bits)
+        in_field, self.inverse_in_field = _prime_powers(bits)
+        values = units.astype(np.uint64) + np.uint64(1)
+        self.sums, self.sums_in_field = np.zeros((2, len(units) + 1), dtype=np.uint64)
+        np.cumsum(values * power[: len(units)], out=self.sums[1:])
+        np.cumsum(values * in_field[: len(units)] % prime, out=self.sums_in_field[1:])
+
+    def hashes(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        prime = np.uint64(_PRIME)
+        at_start = (self.sums[ends] - self.sums[starts]) * self.inverse[starts]
+        in_field = (self.sums_in_field[ends] - self.sums_in_field[starts]) % prime * self.inverse_in_field[starts] % prime
+        return mix(at_start + mix((ends - starts).astype(np.uint64) + (in_field << np.uint64(32))))
+
+
+def span_hashes(units: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    return Spans(units).hashes(starts, ends)
 
 
 def same_spans(units: np.ndarray, starts: np.ndarray, lengths: np.ndarray, others: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -161,13 +188,15 @@ def same_spans(units: np.ndarray, starts: np.ndarray, lengths: np.ndarray, other
     return out
 
 
-def distinct_spans(units: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def distinct_spans(
+    units: np.ndarray, starts: np.ndarray, ends: np.ndarray, hashes: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(hashes, where, back): a span for each distinct content, ordered by hash, and every span's place among them.
 
     Hashes only bring equal spans together; units decide. Where contents clash in a hash, the
     later one is told apart and listed under the same hash.
     """
-    hashes = span_hashes(units, starts, ends)
+    hashes = span_hashes(units, starts, ends) if hashes is None else hashes
     known, where, back = np.unique(hashes, return_index=True, return_inverse=True)
     lengths = ends - starts
     first = where[back]

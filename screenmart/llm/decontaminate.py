@@ -1,4 +1,4 @@
-"""Benchmark decontamination: SimHash of item-sized windows, verified by exact weighted-shingle similarity."""
+"""Benchmark decontamination: SimHash of item-sized windows without loss, verified by exact weighted-shingle similarity."""
 
 from __future__ import annotations
 
@@ -9,8 +9,6 @@ from screenmart.llm.common import documents, fresh, stored
 
 WIDTH = 5
 BITS = 64
-#: At similarity 0.8 about 10 bits differ, with a deviation of 3; this is over four deviations more.
-RADIUS = 23
 SPACES = " \t\n\x0b\f\r"
 
 
@@ -24,24 +22,34 @@ def shingles(df: DataFrame, name: str) -> DataFrame:
     return hashed.withColumn(name, F.when(F.size(words) >= WIDTH, run).otherwise(F.array().cast("array<bigint>"))).drop("_words")
 
 
+def _bits(keep) -> Column:
+    """The long whose bit b is set where ``keep`` holds of b."""
+
+    def bit(b: Column) -> Column:
+        return F.when(keep(b), F.call_function("shiftleft", F.lit(1).cast("bigint"), b)).otherwise(F.lit(0).cast("bigint"))
+
+    return F.aggregate(F.sequence(F.lit(0), F.lit(BITS - 1)), F.lit(0).cast("bigint"), lambda out, b: out.bitwiseOR(bit(b)))
+
+
+def _lead(hashes: Column, b: Column) -> Column:
+    """By how many hashes, repeats counted, a set bit b outnumbers an unset one."""
+    ones = F.aggregate(hashes, F.lit(0), lambda n, h: n + F.call_function("getbit", h, b).cast("int"))
+    return ones * 2 - F.size(hashes)
+
+
 def fingerprint(hashes: Column) -> Column:
     """64 bits as a long: a bit is set if set in over half of the hashes, repeats counted."""
+    return _bits(lambda b: _lead(hashes, b) > 0)
 
-    def bit(k: Column) -> Column:
-        ones = F.aggregate(hashes, F.lit(0), lambda n, h: n + F.call_function("getbit", h, k).cast("int"))
-        return F.when(ones * 2 > F.size(hashes), F.call_function("shiftleft", F.lit(1).cast("bigint"), k)).otherwise(F.lit(0).cast("bigint"))
 
-    return F.aggregate(F.sequence(F.lit(0), F.lit(BITS - 1)), F.lit(0).cast("bigint"), lambda fp, k: fp.bitwiseOR(bit(k)))
+def sure_bits(item: Column, similarity: float) -> Column:
+    """The bits that the fingerprint of every window as similar as asked has in common with the item's.
 
-
-def blocks(fp: Column, radius: int = RADIUS) -> Column:
-    """The fingerprint in radius + 1 blocks, each with its number: within the radius at least one is equal."""
-    edges = [BITS * k // (radius + 1) for k in range(radius + 2)]
-    parts = [
-        F.lit(k).cast("bigint") * (1 << 32) + F.shiftrightunsigned(fp, a).bitwiseAND(F.lit((1 << (b - a)) - 1).cast("bigint"))
-        for k, (a, b) in enumerate(zip(edges, edges[1:], strict=False))
-    ]
-    return F.array(*parts)
+    Such a window and the item differ in at most (1 - similarity) / (1 + similarity) of their shingles together, so by
+    that much a bit's lead can change; where it is greater the bit cannot turn.
+    """
+    most = F.size(item) * 2 * F.lit((1 - similarity) / (1 + similarity)) + F.lit(1e-9)
+    return _bits(lambda b: (_lead(item, b) > most) | (_lead(item, b) <= -most))
 
 
 def shared_weight(a: Column, b: Column) -> Column:
@@ -53,8 +61,8 @@ def shared_weight(a: Column, b: Column) -> Column:
     return F.aggregate(F.array_distinct(b), F.lit(0), lambda n, h: n + F.least(count(a, h), count(b, h)))
 
 
-def prepared(benchmark: DataFrame, similarity: float, radius: int) -> DataFrame:
-    """Items of five words or more: shingles, fingerprint blocks, and anchors.
+def prepared(benchmark: DataFrame, similarity: float) -> DataFrame:
+    """Items of five words or more: shingles, fingerprint, its sure bits, and anchors.
 
     A window as similar as asked shares at least ``similarity * 2k / (1 + similarity)`` of the item's k shingles, so
     it lacks too few of them to lack all of the anchors: the first of them in hash order.
@@ -63,11 +71,12 @@ def prepared(benchmark: DataFrame, similarity: float, radius: int) -> DataFrame:
     k = F.size("item")
     # A text shorter than the item shares more of what it has, and still this much of the item.
     least = F.ceil(k * F.lit(similarity) - F.lit(1e-9)).cast("int")
-    items = items.select("item_id", "item", k.alias("k"), fingerprint(F.col("item")).alias("item_fp"), F.slice(F.sort_array("item"), 1, k - least + 1).alias("anchors"))
-    return stored(items.withColumn("item_blocks", blocks(F.col("item_fp"), radius)), "benchmark_items")
+    anchors = F.slice(F.sort_array("item"), 1, k - least + 1).alias("anchors")
+    bits = [fingerprint(F.col("item")).alias("item_fp"), sure_bits(F.col("item"), similarity).alias("sure")]
+    return stored(items.select("item_id", "item", k.alias("k"), *bits, anchors), "benchmark_items")
 
 
-def find(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8, radius: int = RADIUS) -> DataFrame:
+def find(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8) -> DataFrame:
     """(doc_id, item_id, window_start, similarity): documents with a window that is nearly a benchmark item.
 
     A window has the item's number of words (the whole text, where that is shorter). Similarity is the weighted
@@ -76,42 +85,42 @@ def find(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8, radius:
     words from 0. Texts and items are lower-cased and split at ASCII white space.
 
     Windows without an anchor of the item cannot be similar, so only documents that hold an anchor are looked into.
-    There each window that begins with a shingle of the item, and the last one, gets a fingerprint:
-    moving a window on to the next such shingle never loses a shared one, so the best windows are among them. A
-    window stays if one of radius + 1 fingerprint blocks equals the item's, which holds for every
-    fingerprint within ``radius``, if it is within the radius, and if its exact similarity suffices.
+    There each window that begins with a shingle of the item, and the last one, is a candidate if it holds enough of
+    the item's shingles: moving a window on to the next such shingle never loses a shared one, so the best windows
+    are among them. A candidate's fingerprint must have the item's sure bits, which every similar window has, and its exact
+    similarity decides.
 
     Null and empty texts, and texts or items of under five words, match nothing. Rows without doc_id are matched
     under the id null. Rows that repeat an id count as one document. Anchors are joined by their measured size:
-    broadcast if small, shuffled if not; a shared passage costs a row per document that holds it.
+    broadcast if small, shuffled if not; a shared passage costs a row per document that holds it. Time is in proportion to a
+    text's words, times the item's.
     """
-    items = prepared(benchmark, similarity, radius)
+    items = prepared(benchmark, similarity)
     anchors = stored(items.select("item_id", F.explode(F.array_distinct("anchors")).alias("h")), "benchmark_anchors")
     same = F.xxhash64("text").alias("_same")
     held = shingles(docs.select("doc_id", "text", same), "doc").select("doc_id", "_same", F.explode(F.array_distinct("doc")).alias("h"))
     met = stored(held.join(anchors, "h").select("doc_id", "_same", "item_id").distinct(), "anchored")
     met = met.select(F.col("doc_id").alias("_id"), F.col("_same").alias("_of"), "item_id")
     looked = docs.select("doc_id", "text", same).join(met, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_same") == F.col("_of")))
-    looked = shingles(looked, "doc").drop("text", "_id", "_of").join(items, "item_id")
+    looked = shingles(looked, "doc").drop("text", "_id", "_of").join(items.drop("anchors"), "item_id")
     n, k = F.size("doc"), F.col("k")
-    hits = F.filter(F.sequence(F.lit(0), n - 1), lambda i: F.array_contains("item", F.col("doc")[i]))
-    looked = looked.withColumn("hits", hits)
-    starts = F.when(n <= k, F.array(F.lit(0))).otherwise(
-        F.array_union(F.filter("hits", lambda p: p + k <= n), F.array(n - k))
-    )
-    # Shingles that a window of w shingles must share with the item.
-    need = F.ceil(F.lit(similarity) * (F.least(n, k) + k) / F.lit(1 + similarity) - F.lit(1e-9))
-    enough = F.filter(starts, lambda s: F.size(F.filter("hits", lambda p: (p >= s) & (p < s + k))) >= need)
-    windows = looked.select(
-        "doc_id", "item_id", "item", "item_fp", "item_blocks", F.explode(
-            F.transform(enough, lambda s: F.struct(s.alias("window_start"), F.slice("doc", s + 1, k).alias("window")))
-        ).alias("w"),
-    ).select("doc_id", "item_id", "item", "item_fp", "item_blocks", "w.*")
-    printed = windows.withColumn("fp", fingerprint(F.col("window")))
-    near = printed.where(
-        F.arrays_overlap(blocks(F.col("fp"), radius), F.col("item_blocks"))
-        & (F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp"))) <= radius)
-    )
+    hits = F.filter(F.sequence(F.lit(0), n - 1), lambda i: F.array_contains("item", F.get("doc", i)))
+    # Shingles that a window must share with the item; the window's length is that of the text, if it is shorter.
+    need = F.ceil(F.lit(similarity) * (F.least(n, k) + k) / F.lit(1 + similarity) - F.lit(1e-9)).cast("int")
+
+    def starts(x: Column) -> Column:
+        at, wanted = x["hits"], x["need"]
+        inside = F.filter(at, lambda p, j: (p + k <= n) & (F.get(at, j + wanted - 1) < p + k))
+        last = F.greatest(n - k, F.lit(0))
+        enough = (F.size(at) >= wanted) & (F.get(at, F.size(at) - wanted) >= last)
+        return F.array_union(inside, F.when(enough, F.array(last)).otherwise(F.array().cast("array<int>")))
+
+    # A lambda's argument is computed once: without it the hits would be sought again at every step.
+    chosen = F.transform(F.array(F.struct(hits.alias("hits"), need.alias("need"))), starts)[0]
+    window = F.transform(chosen, lambda s: F.struct(s.alias("window_start"), F.slice("doc", s + 1, k).alias("window")))
+    of_item = ["item", "item_fp", "sure"]
+    windows = looked.select("doc_id", "item_id", *of_item, F.explode(window).alias("w")).select("doc_id", "item_id", *of_item, "w.*")
+    near = windows.where(fingerprint(F.col("window")).bitwiseXOR(F.col("item_fp")).bitwiseAND(F.col("sure")) == 0)
     shared = near.withColumn("shared", shared_weight(F.col("window"), F.col("item")))
     measured = shared.withColumn("similarity", F.col("shared") / (F.size("window") + F.size("item") - F.col("shared")))
     best = F.max(F.struct("similarity", "window_start")).alias("best")

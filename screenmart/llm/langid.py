@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from screenmart.llm.common import BYTE_BITS, crc_fold, documents, fresh, map_arrow, mix, ranges, slices, span_hashes, stored
+from screenmart.llm.common import BYTE_BITS, crc_fold, distinct_spans, documents, fresh, map_arrow, mix, ranges, slices, span_hashes, stored
 from screenmart.llm.pieces import Encoded, letter_words
 
 UNKNOWN = "und"
@@ -78,7 +78,8 @@ def gram_counts(labelled: DataFrame) -> DataFrame:
                 chosen = [texts[i] or "" for i in np.flatnonzero(langs == lang)]
                 for begin, end in slices(chosen, 4 << 20):
                     joined, units, starts, ends, _ = letter_words(chosen[begin:end])
-                    _, at, times = np.unique(span_hashes(units, starts, ends), return_index=True, return_counts=True)
+                    _, at, back = distinct_spans(units, starts, ends)
+                    times = np.bincount(back, minlength=len(at))
                     words = [joined[s:e] for s, e in zip(starts[at].tolist(), ends[at].tolist(), strict=True)]
                     grams, sizes = word_grams(words)
                     found, back = np.unique(grams, return_inverse=True)

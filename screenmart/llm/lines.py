@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from screenmart.llm.common import fresh, stored
 
+#: A shared line with more than one row in FREQUENT is broadcast instead of shuffled to.
+FREQUENT = 1024
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -15,8 +17,8 @@ def line_key(line: Column) -> Column:
     return F.translate(F.btrim(line, F.lit(" \t\n\x0b\f\r")), UPPER, UPPER.lower())
 
 
-def dedup_lines(docs: DataFrame, least_docs: int = 10, least_chars: int = 1) -> DataFrame:
-    """All rows and columns of ``docs``, the text without its shared lines; adds n_lines and n_dropped.
+def dedup_lines(docs: DataFrame, least_docs: int = 10, least_chars: int = 1, names: tuple[str, str] = ("n_lines", "n_dropped")) -> DataFrame:
+    """All rows and columns of ``docs``, the text without its shared lines; adds n_lines and n_dropped, or other ``names``.
 
     A line's key is dropped if it has at least ``least_chars`` code points and
     stands in at least ``least_docs`` documents. Only (document, position, hash) rows
@@ -27,9 +29,11 @@ def dedup_lines(docs: DataFrame, least_docs: int = 10, least_chars: int = 1) ->
     A document is a doc_id: repeated rows of an id count once, rows without an id
     count as one document together. A null or empty text is one empty line and stays
     empty, as text ''. Rows of equal id and text lose the same lines. No documents
-    give no rows. Columns named n_lines or n_dropped in ``docs`` are replaced.
+    give no rows. Columns of ``docs`` that have the added ones' names are replaced. Very long texts cost time in
+    proportion to their lines, dropped or not.
     """
-    docs = docs.drop("n_lines", "n_dropped")
+    n_lines, n_dropped = names
+    docs = docs.drop(*names)
     text = F.coalesce(F.col("text"), F.lit(""))
     lines = F.split(text, "\n", -1)
     same = F.xxhash64(text)
@@ -40,25 +44,42 @@ def dedup_lines(docs: DataFrame, least_docs: int = 10, least_chars: int = 1) ->
         "doc_id", "_same", "pos", F.xxhash64(key).alias("h"), F.xxhash64(F.length(key), key).alias("g")
     )
     rows = stored(hashed, "lines")
-    shared = (
-        rows.select("h", "g", "doc_id").distinct()
-        .groupBy("h", "g").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least_docs).select("h", "g")
-    )
+    counted = rows.groupBy("h", "g", "doc_id").agg(F.count(F.lit(1)).alias("rows")).groupBy("h", "g")
+    counted = counted.agg(F.count(F.lit(1)).alias("docs"), F.sum("rows").alias("rows"))
+    shared = stored(counted.where(F.col("docs") >= least_docs), "shared_lines")
+    # Each of these holds over 1 / FREQUENT of all rows, so there are fewer than FREQUENT: they are marked where they lie.
+    often = shared.where(F.col("rows") > rows.count() // FREQUENT).select("h", "g")
+    marked = rows.join(F.broadcast(often), ["h", "g"], "left_semi").unionByName(
+        rows.join(F.broadcast(often), ["h", "g"], "left_anti").join(shared.select("h", "g"), ["h", "g"], "left_semi")
+    )
     own_same, drop_id, drop_same, drop = fresh(docs, "_same", "_drop_id", "_drop_same", "_drop")
     dropped = (
-        rows.join(shared, ["h", "g"], "left_semi").groupBy("doc_id", "_same").agg(F.collect_set("pos").alias(drop))
+        marked.groupBy("doc_id", "_same").agg(F.sort_array(F.collect_set("pos")).alias(drop))
         .select(F.col("doc_id").alias(drop_id), F.col("_same").alias(drop_same), drop)
     )
     joined = docs.withColumn(own_same, same).join(
         dropped, F.col("doc_id").eqNullSafe(F.col(drop_id)) & (F.col(own_same) == F.col(drop_same)), "left"
     )
-    kept = F.filter(lines, lambda line, pos: ~F.array_contains(drop, pos))
+    number = F.size(lines)
     out = joined.withColumns({
-        "n_lines": F.size(lines).cast("bigint"),
-        "n_dropped": F.coalesce(F.size(drop), F.lit(0)).cast("bigint"),
-        "text": F.when(F.col(drop).isNull(), text).otherwise(F.array_join(kept, "\n")),
+        n_lines: number.cast("bigint"),
+        n_dropped: F.coalesce(F.size(drop), F.lit(0)).cast("bigint"),
+        "text": F.when(F.col(drop).isNull(), text).otherwise(F.array_join(without(lines, F.col(drop)), "\n")),
     })
-    return out.select(*docs.columns, "n_lines", "n_dropped")
+    return out.select(*docs.columns, n_lines, n_dropped)
+
+
+def without(lines: Column, drop: Column) -> Column:
+    """The lines but those at the positions ``drop`` (ascending, from 0), in time linear in the lines."""
+    def kept(x: Column) -> Column:
+        return F.filter(x["lines"], lambda _, pos: ~F.coalesce(F.get(x["dropped"], pos), F.lit(False)))
+
+    def flags(p: Column, i: Column) -> Column:
+        return F.concat(F.array_repeat(F.lit(False), p - F.coalesce(F.get(drop, i - 1), F.lit(-1)) - 1), F.array(F.lit(True)))
+
+    gaps = F.transform(drop, flags)
+    # A lambda's argument is computed once: without it the flags would be made again for each line.
+    return F.transform(F.array(F.struct(F.flatten(gaps).alias("dropped"), lines.alias("lines"))), kept)[0]
 
 
 def op9_line_dedup(spark, sf_dir: str) -> DataFrame:

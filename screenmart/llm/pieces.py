@@ -9,7 +9,7 @@ from collections.abc import Callable
 import numpy as np
 import regex
 
-from screenmart.llm.common import ranges, span_hashes
+from screenmart.llm.common import distinct_spans, ranges, same_spans
 
 OTHER, LETTER, NUMBER, SPACE = range(4)
 #: Code points with the Unicode property White_Space.
@@ -92,7 +92,7 @@ def letter_words(texts: list[str]) -> tuple[str, np.ndarray, np.ndarray, np.ndar
 
 
 class Encoded:
-    """Token ids of pieces met so far, sorted by hash. Forgets all when full: a speed-up, not a limit."""
+    """Token ids of pieces met so far, found by hash and by content. Forgets all when full: a speed-up, not a limit."""
 
     def __init__(
         self,
@@ -105,44 +105,62 @@ class Encoded:
 
     def forget(self) -> None:
         self.hashes = np.zeros(0, dtype=np.uint64)
-        self.at = np.zeros(0, dtype=np.int64)
-        self.size = np.zeros(0, dtype=np.int32)
-        self.flat = np.zeros(1 << 18, dtype=np.int32)
-        self.used = 0
-
-    def _add(self, places: np.ndarray, hashes: np.ndarray, ids: list[list[int]]) -> None:
-        sizes = np.fromiter(map(len, ids), dtype=np.int32, count=len(ids))
-        flat = np.fromiter(itertools.chain.from_iterable(ids), dtype=np.int32, count=int(sizes.sum()))
-        while self.used + len(flat) > len(self.flat):
-            self.flat = np.concatenate([self.flat, np.zeros(len(self.flat) >> 1, dtype=np.int32)])
-        self.flat[self.used : self.used + len(flat)] = flat
-        self.at = np.insert(self.at, places, self.used + np.cumsum(sizes) - sizes)
-        self.size = np.insert(self.size, places, sizes)
+        # Of each piece, in order of hash: its ids and its code points.
+        self.at, self.size = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int32)
+        self.spelt, self.length = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int32)
+        self.ids, self.units = Growing(np.int32), Growing(np.uint32)
+
+    def _add(self, places: np.ndarray, hashes: np.ndarray, at: np.ndarray, sizes: np.ndarray, spelt: np.ndarray, lengths: np.ndarray) -> None:
+        self.at, self.size = np.insert(self.at, places, at), np.insert(self.size, places, sizes)
+        self.spelt, self.length = np.insert(self.spelt, places, spelt), np.insert(self.length, places, lengths)
         self.hashes = np.insert(self.hashes, places, hashes)
-        self.used += len(flat)
-
-    def _entries(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        place = np.searchsorted(self.hashes, hashes)
-        known = np.zeros(len(hashes), dtype=bool)
-        inside = place < len(self.hashes)
-        known[inside] = self.hashes[place[inside]] == hashes[inside]
-        return place, known
 
     def texts(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after the other, and each text's number of them."""
         joined, units, starts, ends, counts = self.split(texts)
-        hashes, where, back = np.unique(span_hashes(units, starts, ends), return_index=True, return_inverse=True)
+        hashes, where, back = distinct_spans(units, starts, ends)
         if len(self.hashes) + len(hashes) > self.most:
             self.forget()
-        place, known = self._entries(hashes)
-        new = np.flatnonzero(~known)
-        if len(new):
-            spans = zip(starts[where[new]].tolist(), ends[where[new]].tolist(), strict=True)
-            self._add(place[new], hashes[new], self.encode([joined[s:e] for s, e in spans]))
-            place, _ = self._entries(hashes)
-        entry = place[back]
-        sizes = self.size[entry].astype(np.int64)
-        ids = self.flat[ranges(self.at[entry], sizes)]
-        before = np.concatenate(([0], np.cumsum(sizes)))
+        begin, length = starts[where], ends[where] - starts[where]
+        place = np.searchsorted(self.hashes, hashes)
+        met = np.flatnonzero(place < len(self.hashes))
+        met = met[self.hashes[place[met]] == hashes[met]]
+        alike = met[self.length[place[met]] == length[met]]
+        alike = alike[same_spans(units, begin[alike], length[alike], self.units.values, self.spelt[place[alike]])]
+        at, sizes = np.zeros(len(hashes), dtype=np.int64), np.zeros(len(hashes), dtype=np.int64)
+        at[alike], sizes[alike] = self.at[place[alike]], self.size[place[alike]]
+        new = np.ones(len(hashes), dtype=bool)
+        new[alike] = False
+        if new.any():
+            spans = zip(begin[new].tolist(), ends[where[new]].tolist(), strict=True)
+            lists = self.encode([joined[s:e] for s, e in spans])
+            sizes[new] = np.fromiter(map(len, lists), dtype=np.int64, count=len(lists))
+            flat = np.fromiter(itertools.chain.from_iterable(lists), dtype=np.int32, count=int(sizes[new].sum()))
+            at[new] = self.ids.add(flat) + np.cumsum(sizes[new]) - sizes[new]
+            # One piece is remembered for each hash; another of the same hash is encoded whenever it comes.
+            first = new.copy()
+            first[met] = False
+            first[1:] &= hashes[1:] != hashes[:-1]
+            spelt = self.units.add(units[ranges(begin[first], length[first])]) + np.cumsum(length[first]) - length[first]
+            self._add(place[first], hashes[first], at[first], sizes[first], spelt, length[first])
+        sizes_of, at_of = sizes[back], at[back]
+        ids = self.ids.values[ranges(at_of, sizes_of)]
+        before = np.concatenate(([0], np.cumsum(sizes_of)))
         last = np.cumsum(counts)
         return ids, before[last] - before[last - counts]
+
+
+class Growing:
+    """An array that grows at its end."""
+
+    def __init__(self, dtype):
+        self.values, self.used = np.zeros(1 << 16, dtype=dtype), 0
+
+    def add(self, more: np.ndarray) -> int:
+        """Appends and returns where the added values begin."""
+        begin, self.used = self.used, self.used + len(more)
+        if self.used > len(self.values):
+            room = max(self.used - len(self.values), len(self.values) >> 1)
+            self.values = np.concatenate([self.values, np.zeros(room, dtype=self.values.dtype)])
+        self.values[begin : self.used] = more
+        return begin
