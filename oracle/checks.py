@@ -8,6 +8,7 @@ import oracle.events  # noqa: F401  (defines the event SELECTs)
 import oracle.relational  # noqa: F401  (defines the relational SELECTs)
 from oracle.base import EPOCH_DATE, case_map, compose, median, pct, ratio, share
 from oracle.relational import NEEDS
+from screenmart.sources.sample import REPEATED_EVENT
 
 VIEW_NAMES = {"data": "wide_data"}
 
@@ -205,6 +206,9 @@ FROM int_ga4_page_views WHERE state_code IN ('co', 'nc', 'tx') GROUP BY 1""",
         "QP22_median_annual_income": med("(monthly_income * 12)"),
         "QP22_median_monthly_income": med("monthly_income"),
         "QP22_median_monthly_expenses": med("monthly_expenses"),
+        "QP22_medians": f"""SELECT {median("household_size")} AS household_size, {median("household_assets")} AS household_assets,
+  {median("monthly_income * 12")} AS annual_income, {median("monthly_income")} AS monthly_income,
+  {median("monthly_expenses")} AS monthly_expenses FROM {DATA}""",
         "QP23_partner_values": f"""
 SELECT DISTINCT partner FROM {DATA} WHERE partner IS NOT NULL AND partner NOT IN
   (SELECT partner FROM mart_referrer_codes WHERE is_partner = FALSE AND partner IS NOT NULL)
@@ -604,8 +608,60 @@ WHERE frequency NOT IN ('yearly', 'monthly', 'weekly', 'hourly', 'biweekly', 'se
     "D5_orphan_programs": """
 SELECT name_abbreviated AS key, count(*) AS n_rows FROM screener_programeligibilitysnapshot
 WHERE name_abbreviated NOT IN (SELECT name_abbreviated FROM programs_program) GROUP BY 1""",
-    "S3_pruned_event_days": """
-SELECT event_date, event_name, count(*) AS n_events FROM flat_events WHERE event_date >= '20240108' GROUP BY 1, 2""",
+    "S3_pruned_event_days": f"""
+SELECT event_date, event_name, count(*) + count(*) FILTER (WHERE {REPEATED_EVENT}) AS n_events
+FROM flat_events WHERE event_date >= '20240108' GROUP BY 1, 2""",
+}
+
+
+def broken(rule) -> str:
+    """Number of failures of one rule, each counted by a statement of its own."""
+    table, column = rule.table, rule.columns[0]
+    if rule.kind == "not_null":
+        return f"SELECT count(*) FROM {table} WHERE {column} IS NULL"
+    if rule.kind == "unique":
+        return f"SELECT count(*) FROM (SELECT 1 FROM {table} WHERE {column} IS NOT NULL GROUP BY {column} HAVING count(*) > 1) x"
+    if rule.kind == "unique_combination":
+        return f"SELECT count(*) FROM (SELECT 1 FROM {table} GROUP BY {', '.join(rule.columns)} HAVING count(*) > 1) x"
+    if rule.kind == "accepted_values":
+        listed = ", ".join(f"'{v}'" for v in rule.accepted)
+        return f"SELECT count(DISTINCT {column}) FROM {table} WHERE {column} NOT IN ({listed})"
+    parent, key = rule.parent
+    return f"SELECT count(*) FROM {table} t WHERE t.{column} IS NOT NULL AND NOT EXISTS (SELECT 1 FROM {parent} p WHERE p.{key} = t.{column})"
+
+
+def rule_rows() -> str:
+    from screenmart.plans.rules import RULES
+
+    rows = " UNION ALL ".join(
+        f"SELECT '{r.name}' AS rule, '{r.table}' AS table_name, '{r.kind}' AS kind, ({broken(r)}) AS failures" for r in RULES
+    )
+    return f"SELECT rule, table_name, kind, CAST(failures AS BIGINT) AS failures, failures = 0 AS passed FROM ({rows}) x"
+
+
+def stage(condition: str) -> str:
+    return f"count(DISTINCT user_pseudo_id) FILTER (WHERE {condition})"
+
+
+STORED_TABLES = ["mart_screener_data", "mart_householdmembers", "mart_qualified_benefits", "mart_referrer_codes"]
+STARTED = "hit_screener_start = 1"
+COMPLETED = f"{STARTED} AND hit_screener_results = 1"
+
+STORED = {
+    "K1_session_view": "SELECT 'set' AS setting, * FROM mart_householdmembers WHERE white_label_id = 3",
+    "M02_window_visitors_bitmaps": f"""
+SELECT state_code, {stage("TRUE")} AS visitors, {stage(STARTED)} AS visitors_started,
+  {stage(COMPLETED)} AS visitors_completed, {stage(COMPLETED + " AND has_outbound_click = 1")} AS visitors_clicked
+FROM int_ga4_sessions WHERE event_date BETWEEN '20240110' AND '20240125' GROUP BY 1""",
+    "S5_changed_days": "SELECT * FROM mart_screener_form_funnel",
+    "S5_changed_days_screenings": "SELECT * FROM mart_screener_screening_funnel",
+    "S6_refreshed_tables": " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS n_rows FROM {t}" for t in STORED_TABLES),
+    "S7_backfilled_days": f"""
+SELECT event_date, count(*) + count(*) FILTER (WHERE {REPEATED_EVENT}) AS n_events
+FROM flat_events WHERE event_date < '20240110' GROUP BY 1""",
+    "P14_bucketed": "SELECT * FROM int_householdmembers",
+    "P17_bucketed": "SELECT * FROM int_income",
+    "P25_bucketed": "SELECT * FROM mart_screener_expense",
 }
 
 
@@ -621,13 +677,25 @@ def as_tenant(sql: str, tenant_id: int) -> str:
     return re.sub(rf"\b({marts})\b", rf"(SELECT * FROM \1 WHERE white_label_id = {tenant_id})", sql)
 
 
+def in_places(sql: str) -> str:
+    """The same statement over the screens of some places and what hangs on them."""
+    chosen = f"(SELECT * FROM {DATA} WHERE {PLACES})"
+    for mart, key in {
+        "mart_householdmembers": "screener_id", "mart_screener_expense": "screener_id", "mart_income": "screener_id",
+        "mart_current_benefits": "screen_id", "mart_qualified_benefits": "screen_id",
+    }.items():
+        sql = re.sub(rf"\b{mart}\b", f"(SELECT * FROM {mart} WHERE {key} IN (SELECT id FROM {DATA}))", sql)
+    return re.sub(rf"\b{DATA}\b", chosen, sql)
+
+
 def oracle_sql() -> dict[str, str]:
-    from screenmart.queries import DATASETS, EVENT_CARDS, TENANT_CARDS, TENANT_ID, TENANT_SCREEN_CARDS
+    from screenmart.queries import DATASETS, EVENT_CARDS, PLACES_CARDS, TENANT_CARDS, TENANT_ID, TENANT_SCREEN_CARDS
 
     out = {f"{key}_{name}": f"SELECT * FROM {VIEW_NAMES.get(name, name)}" for key, name in DATASETS.items()}
     cards = screen_cards()
     out.update(cards)
     out.update({f"{name}_tenant": as_tenant(cards[name], TENANT_ID) for name in TENANT_SCREEN_CARDS})
+    out.update({f"{name}_places": in_places(cards[name]) for name in PLACES_CARDS})
     world, tenant = event_cards(GLOBAL), event_cards(TENANT)
     for cards in (world, tenant):
         for name in ("QE19_detail_rate_by_state", "QE19_conversion_by_state"):
@@ -635,4 +703,9 @@ def oracle_sql() -> dict[str, str]:
     out.update({name: world[name] for name in EVENT_CARDS})
     out.update({f"{name}_tenant": tenant[name] for name in TENANT_CARDS})
     out.update(OTHERS)
+    out.update(STORED)
+    out["D0_rule_report"] = rule_rows()
+    out["QE21_resource_engagement_bitmaps"] = world["QE21_resource_engagement"]
+    out["QE21_resource_engagement_bitmaps_tenant"] = tenant["QE21_resource_engagement"]
+    out["QP16_monthly_active_users_bitmaps"] = screen_cards()["QP16_monthly_active_users"]
     return {name: compose(sql) for name, sql in out.items()}

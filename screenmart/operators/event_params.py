@@ -28,18 +28,25 @@ SESSION = {"ga_session_id": "int"}
 SCREENING = {**SESSION, "screener_state": "string", "screener_uid": "string"}
 
 
-def _hits(key: str) -> str:
-    return f"filter(event_params, p -> p.key = {sql_literal(key)})"
-
-
-def param_max(key: str, kind: str = "string") -> Column:
-    """Largest value of a parameter within the event; NULL when it is absent."""
-    return F.expr(f"array_max(transform({_hits(key)}, p -> {READERS[kind].format(v='p.value')}))")
+KEYS, VALUES = "event_params.key", "event_params.value"
 
 
 def param_first(key: str, kind: str = "string") -> Column:
-    """Value of a parameter's first occurrence within the event."""
-    return F.expr(READERS[kind].format(v=f"get({_hits(key)}, 0).value"))
+    """Value of a parameter's first occurrence within the event; NULL when it is absent."""
+    at = f"get({VALUES}, cast(array_position({KEYS}, {sql_literal(key)}) as int) - 1)"
+    return F.expr(READERS[kind].format(v=at))
+
+
+def _largest(params: dict[str, tuple[str, str]]) -> Column:
+    """All parameters of an event in one walk over the array: the largest value of each."""
+    kinds = {"string": "string", "id": "string", "int": "bigint", "loose_int": "bigint", "number": "double"}
+    fields = {f"p{i}": key_and_kind for i, key_and_kind in enumerate(params.values())}
+    none = ", ".join(f"cast(null as {kinds[kind]}) as {f}" for f, (_, kind) in fields.items())
+    step = ", ".join(
+        f"if(p.key = {sql_literal(key)}, greatest(t.{f}, {READERS[kind].format(v='p.value')}), t.{f}) as {f}"
+        for f, (key, kind) in fields.items()
+    )
+    return F.expr(f"aggregate(event_params, struct({none}), (t, p) -> struct({step}))")
 
 
 @dataclass(frozen=True)
@@ -63,6 +70,23 @@ def of_family(events: DataFrame, family: EventFamily) -> DataFrame:
     return events.where(F.col("event_name").isin(list(family.names)))
 
 
+def typed_params(events: DataFrame, keep: Sequence[str], params: dict[str, tuple[str, str]]) -> DataFrame:
+    """The columns ``keep`` and one column per parameter: its largest value within the event, NULL when it is absent.
+
+    The keys of an event are laid out once as an array in which all parameters find their place, and their
+    value is read there: plain expressions that stay in generated code. Events that repeat a key, which are rare, are
+    walked over once, all parameters together.
+    """
+    repeats = f"size(array_distinct({KEYS})) < size(event_params)"
+    walked = events.select(*keep, F.expr(KEYS).alias("_keys"), F.expr(VALUES).alias("_values"), F.when(F.expr(repeats), _largest(params)).alias("_walked"))
+
+    def value(i: int, key: str, kind: str) -> Column:
+        at = f"get(_values, cast(array_position(_keys, {sql_literal(key)}) as int) - 1)"
+        return F.expr(f"if(_walked is not null, _walked.p{i}, {READERS[kind].format(v=at)})")
+
+    return walked.select(*keep, *[value(i, key, kind).alias(out) for i, (out, (key, kind)) in enumerate(params.items())])
+
+
 def pivot_params(events: DataFrame, family: EventFamily) -> DataFrame:
     """One row per event key with a column per parameter.
 
@@ -70,10 +94,7 @@ def pivot_params(events: DataFrame, family: EventFamily) -> DataFrame:
     event instead of one per parameter. The grouping merges events whose whole key
     is equal; events without parameters do not exist downstream.
     """
-    wide = of_family(events, family).where(F.size("event_params") > 0)
-    wide = wide.select(
-        *family.key, *[param_max(key, kind).alias(out) for out, (key, kind) in family.params.items()]
-    )
+    wide = typed_params(of_family(events, family).where(F.size("event_params") > 0), family.key, family.params)
     return wide.groupBy(*family.key).agg(*[F.max(out).alias(out) for out in family.params])
 
 

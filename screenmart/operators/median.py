@@ -1,57 +1,84 @@
-"""Exact median by distributed selection."""
+"""Exact medians of many metrics by distributed selection in rounds."""
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-STEP = 16
-BUCKETS = STEP * STEP
+#: First ranges: parts of a doubling of the value. No range spans more than 2 ** (1 / STEPS).
+STEPS = 64
+#: Ranges that a round cuts the one with the middle rank into.
+BUCKETS = 1 << 16
 
 
-def exact_median(df: DataFrame, value: Column, by: list[str] | None = None, out: str = "median") -> DataFrame:
-    """Continuous 0.5 quantile per group, NULLs ignored, no group held in one task.
+def _first_range(v: Column) -> Column:
+    """A bucket number that never falls as the value grows; at most 2 * 1024 * STEPS of them."""
+    return F.floor(F.signum(v) * F.log2(1 + F.abs(v)) * STEPS)
+
+
+def _next_range(v: Column) -> Column:
+    """The bucket within the range from ``_low`` to ``_high``, by equal steps."""
+    low = F.col("_low") / 2  # halves, so that no difference overflows
+    span = F.col("_high") / 2 - low
+    return F.when(span > 0, F.least(F.floor((v / 2 - low) / span * BUCKETS), F.lit(BUCKETS - 1))).otherwise(0)
+
+
+def _same(keys: list[str]) -> Column:
+    out = F.lit(True)
+    for k in keys:
+        out = out & F.col(k).eqNullSafe(F.col(f"_t{k}"))
+    return out
+
+
+def _targets(buckets: DataFrame, keys: list[str]) -> DataFrame:
+    """The bucket that holds each wanted rank, its rank therein, and the bucket's smallest and largest value."""
+    ends = F.sum("_n").over(Window.partitionBy(*keys, "_which").orderBy("_bucket"))
+    reached = buckets.withColumn("_end", ends).where((F.col("_end") >= F.col("_rank")) & (F.col("_end") - F.col("_n") < F.col("_rank")))
+    within = (F.col("_rank") - (F.col("_end") - F.col("_n"))).alias("_rank")
+    return reached.select(*[F.col(k).alias(f"_t{k}") for k in keys], "_which", within, "_low", "_high")
 
-    Values are counted, cut into BUCKETS ranges by a quantile sketch, and only
-    the ranges that hold the middle ranks are ordered. Any cut points give the
-    exact answer; the sketch decides nothing but the balance. Groups without
-    values are absent; without ``by`` there is always one row.
+
+def exact_medians(df: DataFrame, values: Mapping[str, Column], by: list[str] | None = None, rounds: int = 1) -> DataFrame:
+    """(by..., metric, median): the continuous 0.5 quantile of each value, per group, NULLs ignored.
+
+    All metrics are read in one scan and counted by value. Their two middle ranks are then looked for together: the
+    ranges of values that hold them are found from counts per range, cut anew (``rounds`` times), and only what lies in the last
+    ones is ordered. A window sees at most 2 * 1024 * STEPS ranges of a group, or BUCKETS, or the distinct values between two numbers that
+    are 1 / (STEPS * BUCKETS ** rounds) of their size apart. Any cuts give the exact answer. Without rows there are no groups.
     """
-    keys = list(by or [])
-    rows = df.select(*keys, value.cast("double").alias("_v")).where(F.col("_v").isNotNull())
-    probs = F.array(*[F.lit(i / BUCKETS) for i in range(1, BUCKETS)])
-    sketch = rows.agg(F.percentile_approx("_v", probs, F.lit(10 * BUCKETS)).alias("fine"))
-    coarse = F.filter("fine", lambda _, i: i % STEP == STEP - 1).alias("coarse")
-    cuts = sketch.select(F.struct("fine", coarse).alias("cuts")).scalar()
-
-    counted = rows.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_n")).withColumn("_cuts", cuts)
-    # Cut points below the value: whole coarse steps first, then within the step.
-    passed = F.size(F.filter("_cuts.coarse", lambda cut: cut < F.col("_v"))) * STEP
-    counted = counted.withColumn("_b0", passed)
-    within = F.filter(F.slice("_cuts.fine", F.col("_b0") + 1, STEP), lambda cut: cut < F.col("_v"))
-    counted = counted.withColumn("_b", F.col("_b0") + F.size(within)).drop("_cuts", "_b0")
-    group = Window.partitionBy(*keys)
-    ranges = counted.groupBy(*keys, "_b").agg(F.sum("_n").alias("_bn"))
-    ranges = ranges.withColumns(
-        {"_end": F.sum("_bn").over(group.orderBy("_b")), "_all": F.sum("_bn").over(group)}
+    keys = [*(by or []), "_metric"]
+    named = F.array(*[F.struct(F.lit(name).alias("_metric"), value.cast("double").alias("_v")) for name, value in values.items()])
+    rows = df.select(*(by or []), F.explode(named).alias("_m")).select(*(by or []), "_m.*").where(F.col("_v").isNotNull())
+    counted = rows.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_n"))
+
+    ranges = counted.groupBy(*keys, _first_range(F.col("_v")).alias("_bucket")).agg(
+        F.sum("_n").alias("_n"), F.min("_v").alias("_low"), F.max("_v").alias("_high")
     )
-    low, high = F.floor((F.col("_all") + 1) / 2), F.floor(F.col("_all") / 2) + 1
-    middle = ranges.select(
-        *[F.col(k).alias(f"_m_{k}") for k in keys],
-        F.col("_b").alias("_m_b"),
-        (F.col("_end") - F.col("_bn")).alias("_before"),
-        low.alias("_lo"),
-        high.alias("_hi"),
-    ).where((F.col("_before") < F.col("_hi")) & (F.col("_before") + F.col("_bn") >= F.col("_lo")))
-
-    cond = F.col("_b") == F.col("_m_b")
-    for k in keys:
-        cond = cond & F.col(k).eqNullSafe(F.col(f"_m_{k}"))
-    near = counted.join(middle, cond)
-    upto = F.col("_before") + F.sum("_n").over(Window.partitionBy(*keys, "_b").orderBy("_v"))
-    near = near.withColumn("_to", upto).withColumn("_from", F.col("_to") - F.col("_n"))
+    ranges = ranges.withColumn("_total", F.sum("_n").over(Window.partitionBy(*keys)))
+    both = F.array(*[F.struct(F.lit(i).alias("_which"), F.floor((F.col("_total") + i) / 2).alias("_rank")) for i in (1, 2)])
+    targets = _targets(ranges.select("*", F.explode(both).alias("_r")).select("*", "_r.*"), keys)
+
+    for number in range(rounds + 1):
+        held = counted.join(targets, _same(keys) & F.col("_v").between(F.col("_low"), F.col("_high")))
+        bucket = _next_range(F.col("_v")) if number < rounds else F.col("_v")
+        held = held.groupBy(*keys, "_which", "_rank", bucket.alias("_bucket")).agg(
+            F.sum("_n").alias("_n"), F.min("_v").alias("_low"), F.max("_v").alias("_high")
+        )
+        targets = _targets(held, keys)
+    out = targets.groupBy(*[f"_t{k}" for k in keys]).agg((F.sum(F.when(F.col("_which") == 1, F.col("_low"))) + F.sum(F.when(F.col("_which") == 2, F.col("_low")))).alias("_sum"))
+    return out.select(*[F.col(f"_t{k}").alias(k.removeprefix("_")) for k in keys], (F.col("_sum") / 2).alias("median"))
+
+
+def exact_median(df: DataFrame, value: Column, by: list[str] | None = None, out: str = "median") -> DataFrame:
+    """The continuous 0.5 quantile of one value per group. Groups without values are absent; without ``by`` there is one row."""
+    medians = exact_medians(df, {out: value}, by).withColumnRenamed("median", "_median")
+    if by:
+        return medians.select(*by, F.col("_median").alias(out))
+    return medians.agg(F.max("_median").alias(out))
 
-    def at(rank: str) -> Column:
-        return F.max(F.when((F.col("_from") < F.col(rank)) & (F.col("_to") >= F.col(rank)), F.col("_v")))
 
-    return near.groupBy(*keys).agg(((at("_lo") + at("_hi")) / 2).alias(out))
+def medians_in_a_row(df: DataFrame, values: Mapping[str, Column]) -> DataFrame:
+    """One row with the median of each value; NULL where it has none."""
+    return exact_medians(df, values).agg(*[F.max(F.when(F.col("metric") == name, F.col("median"))).alias(name) for name in values])

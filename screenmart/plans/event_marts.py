@@ -252,44 +252,53 @@ def mart_screener_step_views_by_screening(c: Catalog) -> DataFrame:
     return out.withColumn("screener_step_label", steps.step_label(F.col("screener_step_name")))
 
 
-@dataset("mart", grain=["screener_uid"], sort_by=["event_date_parsed"])
-def mart_screener_screening_funnel(c: Catalog) -> DataFrame:
-    """Stages a screening reached over its whole life, from every event that names it."""
-    stages = {
-        "loaded": named("screener_results_loaded"),
-        "details": named("screener_program_more_info"),
-        "applied": named("screener_apply_click"),
-    }
+SCREENING_STAGES = {
+    "loaded": "screener_results_loaded",
+    "details": "screener_program_more_info",
+    "applied": "screener_apply_click",
+}
+
+
+@dataset("rows", grain=["event_date", "screener_uid", "ga_session_id"], partition_by=["event_date"])
+def ga_screening_days(c: Catalog) -> DataFrame:
+    """What one day adds to the state of a screening, by session: a day that is stored never has to be read again.
+
+    Days merge in any order: the first known state comes with its time, flags are or-ed, sessions are a set.
+    """
     events = c.source("events").select(
+        "event_date",
         param_first("screener_uid").alias("screener_uid"),
         param_first("screener_state").alias("screener_state"),
         param_first("ga_session_id", "int").alias("ga_session_id"),
-        event_day().alias("event_date_parsed"),
         "event_timestamp",
-        *[cond.alias(name) for name, cond in stages.items()],
+        *[named(event).alias(name) for name, event in SCREENING_STAGES.items()],
     )
-    per_session = (
+    return (
         events.where("screener_uid is not null")
-        .groupBy("screener_uid", "ga_session_id")
+        .groupBy("event_date", "screener_uid", "ga_session_id")
         .agg(
             first_known_state().alias("first"),
-            F.min("event_date_parsed").alias("event_date_parsed"),
             F.bool_or(lower_is("screener_state", "cesn")).alias("is_cesn"),
-            *[F.bool_or(name).alias(name) for name in stages],
+            *[F.bool_or(name).alias(name) for name in SCREENING_STAGES],
         )
     )
-    per_screening = per_session.groupBy("screener_uid").agg(
-        F.min("first")["screener_state"].alias("screener_state"),
-        F.min("event_date_parsed").alias("event_date_parsed"),
-        F.bool_or("is_cesn").alias("is_cesn"),
-        F.count("ga_session_id").alias("distinct_sessions"),
-        *[F.bool_or(name).alias(name) for name in stages],
-    )
+
+
+@dataset("mart", grain=["screener_uid"], sort_by=["event_date_parsed"])
+def mart_screener_screening_funnel(c: Catalog) -> DataFrame:
+    """Stages a screening reached over its whole life, merged from its days.
+
+    Most sessions lie within a day, so sessions are counted by (screening, session) first.
+    """
+    flags = ["is_cesn", *SCREENING_STAGES]
+    merged = [F.min("first").alias("first"), F.min("event_date").alias("event_date"), *[F.bool_or(name).alias(name) for name in flags]]
+    per_session = c["ga_screening_days"].groupBy("screener_uid", "ga_session_id").agg(*merged)
+    out = per_session.groupBy("screener_uid").agg(*merged, F.count("ga_session_id").alias("distinct_sessions"))
     details = F.col("details") | F.col("applied")
-    return per_screening.select(
+    return out.select(
         "screener_uid",
-        "screener_state",
-        "event_date_parsed",
+        F.col("first.screener_state").alias("screener_state"),
+        event_day().alias("event_date_parsed"),
         "is_cesn",
         "distinct_sessions",
         (F.col("loaded") | details).alias("saw_results"),

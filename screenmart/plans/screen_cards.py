@@ -15,7 +15,7 @@ from screenmart.catalog import Catalog
 from screenmart.functions.numbers import banded, monthly_amount, round_ratio, share, upper_bounded
 from screenmart.functions.steps import lookup
 from screenmart.functions.text import NEEDS
-from screenmart.operators.median import exact_median
+from screenmart.operators.median import exact_median, medians_in_a_row
 from screenmart.operators.scope import ScreenFilters
 
 ALL = ScreenFilters()
@@ -315,6 +315,18 @@ def median_monthly_expenses(c: Catalog, f: ScreenFilters = ALL) -> DataFrame:
     return median_of(c, f, F.col("monthly_expenses"))
 
 
+def median_numbers(c: Catalog, f: ScreenFilters = ALL) -> DataFrame:
+    """The five medians of a household from one scan of the screens."""
+    values = {
+        "household_size": F.col("household_size"),
+        "household_assets": F.col("household_assets"),
+        "annual_income": F.col("monthly_income") * 12,
+        "monthly_income": F.col("monthly_income"),
+        "monthly_expenses": F.col("monthly_expenses"),
+    }
+    return medians_in_a_row(screens(c, f), values)
+
+
 def total_of(c: Catalog, f: ScreenFilters, value: Column, kind: str, where: str = "true") -> DataFrame:
     total = F.coalesce(F.sum(value), F.lit(0)).cast(kind)
     return screens(c, f).where(where).agg(total.alias("total"))

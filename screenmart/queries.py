@@ -11,10 +11,17 @@ from pyspark.sql import types as T
 
 from screenmart.catalog import Catalog, Options
 from screenmart.operators import checks
+from screenmart.operators.rules import rule_report
 from screenmart.operators.scope import EventScope, ScreenFilters, TenantCatalog, scope_to_tenant, tenant_from_setting
-from screenmart.plans import build, event_cards, firstgen, screen_cards
+from screenmart.operators.session_tenant import declare_tenant, register_tenant_views, set_tenant
+from screenmart.plans import build, distinct_marts, event_cards, firstgen, screen_cards
+from screenmart.plans.rules import INCOME_FREQUENCIES, RULES, CatalogTables
 from screenmart.session import tune
-from screenmart.sources.sample import stored_sample_catalog
+from screenmart.sources.backfill import copy_days
+from screenmart.sources.buckets import BucketedCatalog
+from screenmart.sources.incremental import DayTables
+from screenmart.sources.sample import sample_catalog, scratch_folder, stored_sample_catalog
+from screenmart.sources.sinks import refresh
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -172,6 +179,7 @@ SCREEN_CARDS: dict[str, Callable[[Catalog], DataFrame]] = {
     "QP22_median_annual_income": lambda c: sc.median_annual_income(c),
     "QP22_median_monthly_income": lambda c: sc.median_monthly_income(c),
     "QP22_median_monthly_expenses": lambda c: sc.median_monthly_expenses(c),
+    "QP22_medians": lambda c: sc.median_numbers(c),
     "QP23_partner_values": lambda c: sc.partner_values(c),
     **{
         f"QP23_{col}_values": lambda c, col=col: sc.column_values(c, col)
@@ -225,16 +233,40 @@ SCREEN_CARDS: dict[str, Callable[[Catalog], DataFrame]] = {
     "QP29_immediate_needs": lambda c: sc.immediate_needs(c, PARTNER_B),
 }
 
-# Each card of the relational dashboards as one tenant sees it.
-TENANT_SCREEN_CARDS = [
-    "QP01_common_expenses", "QP02_income_streams", "QP03_current_benefits", "QP04_qualified_benefits",
-    "QP05_top_counties", "QP06_top_partners", "QP07_income_distribution", "QP08_assets_distribution", "QP09_head_ages",
-    "QP10_member_ages", "QP11_household_sizes", "QP12_household_languages", "QP13_immediate_needs",
-    "QP14_disabled_share", "QP15_young_adult_share", "QP17_completed_screeners", "QP18_qualified_share",
-    "QP19_median_annual_benefits", "QP20_total_all_benefits", "QP21_daily_screeners", "QP22_median_household_size",
-    "QP23_partner_values", "QP24_homeowners", "QP25_renter_daily", "QP26_renter_electric_provider",
-    "QP27_homeowner_has_old_car", "QP28_total_value", "QP29_completed",
-]
+# The cards that take filters, over the screens of some counties, campaigns and media.
+PLACES_CARDS: dict[str, Callable[[Catalog, ScreenFilters], DataFrame]] = {
+    "QP01_common_expenses": lambda c, f: sc.common_expenses(c, f).drop("screeners"),
+    "QP02_income_streams": lambda c, f: sc.income_streams(c, f).drop("screeners"),
+    "QP03_current_benefits": sc.current_benefits,
+    "QP04_qualified_benefits": sc.qualified_benefits,
+    "QP05_top_counties": sc.top_counties,
+    "QP06_top_partners": sc.top_partners,
+    "QP07_income_distribution": sc.income_distribution,
+    "QP08_assets_distribution": sc.assets_distribution,
+    "QP09_head_ages": sc.head_ages,
+    "QP11_household_sizes": sc.household_sizes,
+    "QP12_household_languages": lambda c, f: sc.household_languages(c, f).drop("n"),
+    "QP13_immediate_needs": sc.immediate_needs,
+    "QP14_disabled_share": sc.disabled_share,
+    "QP15_young_adult_share": sc.young_adult_share,
+    "QP18_already_had_benefits": sc.already_had_benefits,
+    "QP18_qualified_share": sc.qualified_share,
+    "QP18_qualified_tax_share": sc.qualified_tax_share,
+    "QP19_median_annual_benefits": sc.median_annual_benefits,
+    "QP19_median_annual_tax_credits": sc.median_annual_tax_credits,
+    "QP20_total_individuals": sc.total_individuals,
+    "QP20_total_all_benefits": sc.total_all_benefits,
+    "QP20_total_benefits": sc.total_benefits,
+    "QP20_total_tax_credits": sc.total_tax_credits,
+    "QP21_daily_screeners": sc.daily_screeners,
+    "QP22_medians": sc.median_numbers,
+    "QP24_homeowners": lambda c, f: sc.completed_screeners(c, f, sc.OWNERS),
+    "QP24_renters_qualified": lambda c, f: sc.qualified_share(c, f, sc.RENTERS),
+    "QP25_homeowner_daily": lambda c, f: sc.daily_screeners(c, f, sc.OWNERS),
+}
+
+# Every card of the relational dashboards as one tenant sees it; visitors (QP16) belong to no tenant.
+TENANT_SCREEN_CARDS = [name for name in SCREEN_CARDS if not name.startswith("QP16")]
 TENANT_ID = 3
 
 GLOBAL = EventScope(epoch=date(2024, 1, 8))
@@ -300,8 +332,6 @@ TENANT_CARDS: dict[str, Callable[..., DataFrame]] = {
     "QE20_navigators": ec.navigator_engagement,
 }
 
-INCOME_FREQUENCIES = ["yearly", "monthly", "weekly", "hourly", "biweekly", "semimonthly"]
-
 OTHER: dict[str, Callable[[Catalog], DataFrame]] = {
     "V7_data_tenant": lambda c: firstgen.data_tenant(c, "wl_nc_5_ro"),
     "K1_tenant_scope": lambda c: scope_to_tenant(c["mart_householdmembers"], tenant_from_setting(" 3 ")),
@@ -322,6 +352,11 @@ OTHER: dict[str, Callable[[Catalog], DataFrame]] = {
         c.source("screener_programeligibilitysnapshot"), "name_abbreviated", c.source("programs_program"),
         "name_abbreviated",
     ),
+    "D0_rule_report": lambda c: rule_report(CatalogTables(c), RULES),
+    "QE21_resource_engagement_bitmaps": lambda c: distinct_marts.resource_engagement(c, GLOBAL),
+    "QE21_resource_engagement_bitmaps_tenant": lambda c: distinct_marts.resource_engagement(c, TENANT),
+    "QP16_monthly_active_users_bitmaps": lambda c: distinct_marts.monthly_active_users(c, ["co", "nc", "tx"]),
+    "M02_window_visitors_bitmaps": lambda c: distinct_marts.window_visitors(c, date(2024, 1, 10), date(2024, 1, 25)),
     "S3_pruned_event_days": lambda c: c.source("events")
     .where(F.col("event_date") >= c.options.analytics_epoch)
     .groupBy("event_date", "event_name")
@@ -352,13 +387,84 @@ def _card(fn: Callable[[Catalog], DataFrame]) -> Query:
     return lambda spark, sf_dir: plain_types(fn(stored_sample_catalog(tune(spark), sf_dir, SAMPLE_OPTIONS)))
 
 
+def session_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One view as three sessions see it: with a tenant, with a blank one, and with none set."""
+    declare_tenant(tune(spark))
+    register_tenant_views(stored_sample_catalog(spark, sf_dir, SAMPLE_OPTIONS), ["mart_householdmembers", "mart_screener_data"])
+    seen = []
+    for setting, value in (("set", f" {TENANT_ID} "), ("blank", "  "), ("unset", None)):
+        set_tenant(spark, value)
+        rows = spark.sql("SELECT * FROM mart_householdmembers WHERE screener_id IN (SELECT id FROM mart_screener_data)")
+        seen.append(rows.select(F.lit(setting).alias("setting"), "*"))
+    return plain_types(seen[0].unionByName(seen[1]).unionByName(seen[2]))
+
+
+#: A day whose events come late, within sessions that have events on other days.
+LATE_DAY = "20240117"
+DAY_TABLES = ("ga_form_rows", "ga_screening_days", "stg_ga_screener_form_funnel", "mart_screener_form_funnel")
+
+
+def changed_days(spark: SparkSession, sf_dir: str, late: str = LATE_DAY) -> DayTables:
+    """Day tables that were built without a day and refreshed when its events came."""
+    whole = sample_catalog(tune(spark), sf_dir, SAMPLE_OPTIONS)
+    events = whole.source("events")
+    days = [r[0] for r in events.select("event_date").distinct().toLocalIterator()]  # one row per day
+    early = {**whole.sources, "events": lambda: events.where(F.col("event_date") != late)}
+    tables = DayTables(spark, early, SAMPLE_OPTIONS, store=scratch_folder(spark, sf_dir, "days"), kept=DAY_TABLES)
+    tables.refresh_days([day for day in days if day != late])
+    tables.sources = whole.sources
+    tables.refresh_days([late])
+    return tables
+
+
+def refreshed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(table_name, n_rows) of some marts after a refresh, several at once, each held against its rules."""
+    names = ["mart_screener_data", "mart_householdmembers", "mart_qualified_benefits", "mart_referrer_codes"]
+    c = sample_catalog(tune(spark), sf_dir, SAMPLE_OPTIONS)
+    refresh(c, names, scratch_folder(spark, sf_dir, "refresh"), workers=4, audit=build.published_by_rules(c))
+    counts = [c[name].agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("n_rows")) for name in names]
+    return counts[0].union(counts[1]).union(counts[2]).union(counts[3])
+
+
+def backfilled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(event_date, n_events) of a store that was filled in two runs, the second with days that the first one had."""
+    events = sample_catalog(tune(spark), sf_dir, SAMPLE_OPTIONS).source("events").where("event_date < '20240110'")
+    folder = scratch_folder(spark, sf_dir, "backfill")
+    for last in ("20240106", "20240110"):
+        copy_days(spark, events.where(F.col("event_date") < last), f"{folder}/events", f"{folder}/manifest")
+    stored = spark.read.schema(events.schema).parquet(f"{folder}/events")
+    return stored.groupBy("event_date").agg(F.count(F.lit(1)).alias("n_events"))
+
+
+def bucketed(spark: SparkSession, sf_dir: str) -> BucketedCatalog:
+    """The sample's screens and what hangs on them, stored in buckets by screen."""
+    whole = sample_catalog(tune(spark), sf_dir, SAMPLE_OPTIONS)
+    folder = scratch_folder(spark, sf_dir, "buckets")
+    return BucketedCatalog(spark, whole.sources, SAMPLE_OPTIONS, store=folder, names=f"b{abs(hash(folder)) % 10**9}", buckets=8)
+
+
+STORED: dict[str, Query] = {
+    "K1_session_view": session_view,
+    "S5_changed_days": lambda spark, sf_dir: plain_types(changed_days(spark, sf_dir)["mart_screener_form_funnel"]),
+    "S5_changed_days_screenings": lambda spark, sf_dir: plain_types(changed_days(spark, sf_dir)["mart_screener_screening_funnel"]),
+    "S6_refreshed_tables": refreshed,
+    "S7_backfilled_days": backfilled,
+    **{
+        f"{key}_bucketed": lambda spark, sf_dir, name=DATASETS[key]: plain_types(bucketed(spark, sf_dir)[name])
+        for key in ("P14", "P17", "P25")
+    },
+}
+
+
 def queries() -> dict[str, Query]:
     assert build.MODULES  # the modules register the datasets
     out = {f"{key}_{name}": _dataset(name) for key, name in DATASETS.items()}
     out.update({name: _card(fn) for name, fn in SCREEN_CARDS.items()})
     for name in TENANT_SCREEN_CARDS:
         out[f"{name}_tenant"] = _card(lambda c, fn=SCREEN_CARDS[name]: fn(TenantCatalog(c, TENANT_ID)))
+    out.update({f"{name}_places": _card(lambda c, fn=fn: fn(c, PLACES)) for name, fn in PLACES_CARDS.items()})
     out.update({name: _card(lambda c, fn=fn: fn(c, GLOBAL)) for name, fn in EVENT_CARDS.items()})
     out.update({f"{name}_tenant": _card(lambda c, fn=fn: fn(c, TENANT)) for name, fn in TENANT_CARDS.items()})
     out.update({name: _card(fn) for name, fn in OTHER.items()})
+    out.update(STORED)
     return out

@@ -8,10 +8,12 @@ placeholders too. Every statement reads its whole tables.
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Callable
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from screenmart.catalog import Catalog, Options
 from screenmart.functions.steps import STEPS
@@ -542,13 +544,35 @@ def _item_entry(n: int) -> str:
     return f"case when item{n}__list_name is not null then named_struct({record}) end"
 
 
+#: Events that come twice, the second time with lower values, and events that state a parameter twice, the second time lower.
+REPEATED_EVENT = "event_name like 'screener_%' and event_timestamp % 61 = 0"
+REPEATED_PARAM = "event_name like 'screener_%' and event_timestamp % 53 = 0"
+_LOWER = {"screener_step_name": "'string_value', ''", "screener_step_number": "'int_value', -1L", "location": "'string_value', ''"}
+
+
+def _lower_entry(name: str) -> str:
+    """A second value of a parameter, below the first: readers of the largest value do not see it."""
+    fields = {"string_value": "cast(null as string)", "int_value": "cast(null as bigint)", "double_value": "cast(null as double)"}
+    field, value = _LOWER[name].split(", ")
+    fields[field.strip("'")] = value
+    record = ", ".join(f"'{f}', {v}" for f, v in fields.items())
+    present = " or ".join(f"{name}__{kind} is not null" for kind in EVENT_PARAMS[name])
+    return f"case when {present} then named_struct('key', '{name}', 'value', named_struct({record})) end"
+
+
 def pack_events(flat: DataFrame) -> DataFrame:
-    """Flat columns back into parameter and item arrays without absent entries."""
+    """Flat columns back into parameter and item arrays without absent entries; some events and parameters repeat."""
     params = ", ".join(_param_entry(name) for name in EVENT_PARAMS)
+    lower = ", ".join(_lower_entry(name) for name in _LOWER)
     items = ", ".join(_item_entry(n) for n in range(1, ITEM_SLOTS + 1))
-    return flat.selectExpr(
-        *EVENT_KEYS, f"array_compact(array({params})) as event_params", f"array_compact(array({items})) as items"
-    )
+    again = F.expr(f"explode(if({REPEATED_EVENT}, array(0, 1), array(0)))").alias("again")
+    wide = flat.select("*", again).selectExpr(
+        *EVENT_KEYS, "again", f"array_compact(array({params})) as given", f"array_compact(array({lower})) as lower",
+        f"array_compact(array({items})) as items",
+    )
+    lowered = "filter(given, g -> not exists(lower, l -> l.key = g.key))"
+    packed = f"case when again = 1 then concat({lowered}, lower) when {REPEATED_PARAM} then concat(given, lower) else given end"
+    return wide.selectExpr(*EVENT_KEYS, f"{packed} as event_params", "items")
 
 
 def _work_folder(spark: SparkSession) -> str:
@@ -568,6 +592,11 @@ def _landing_folder(spark: SparkSession, sf_dir: str) -> str:
     return _folders[key]
 
 
+def scratch_folder(spark: SparkSession, sf_dir: str, name: str) -> str:
+    """A new folder beside the landed tables."""
+    return f"{_landing_folder(spark, sf_dir)}/{name}-{uuid.uuid4().hex}"
+
+
 _landed: dict[str, str] = {}
 
 

@@ -2,21 +2,32 @@
 
 from __future__ import annotations
 
+import threading
 import time
-from collections.abc import Iterable
-from dataclasses import dataclass
+from collections.abc import Callable, Iterable
+from concurrent.futures import FIRST_COMPLETED, Future, ThreadPoolExecutor, wait
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pyspark import inheritable_thread_target
+
 from screenmart.catalog import REGISTRY, Catalog
 
+Audit = Callable[[DataFrame], None]
+
 
-def write_table(df: DataFrame, path: str, partition_by: Iterable[str] = (), sort_by: Iterable[str] = ()) -> str:
+def write_table(
+    df: DataFrame, path: str, partition_by: Iterable[str] = (), sort_by: Iterable[str] = (), audit: Audit | None = None
+) -> str:
     """Write a new version below ``path`` and return its folder.
 
     Rows are clustered for pruning and row-group statistics. A version is a folder of its own, named by
     time and complete only with its ``_SUCCESS`` file; older versions stay as they are, so readers of the last
     one are undisturbed while a build runs or after it fails. ``drop_old_versions`` removes them.
+
+    An ``audit`` reads the rows as stored and raises if they must not be seen: the version is complete, and so
+    current, only after it.
     """
     partition_by, sort_by = list(partition_by), list(sort_by)
     version = f"{path}/v{time.time_ns():020d}"
@@ -31,7 +42,13 @@ def write_table(df: DataFrame, path: str, partition_by: Iterable[str] = (), sort
     writer = out.write.mode("errorifexists")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.parquet(version)
+    if audit is None:
+        writer.parquet(version)
+        return version
+    writer.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(version)
+    audit(df.sparkSession.read.schema(df.schema).parquet(version))
+    marker = df.sparkSession._jvm.org.apache.hadoop.fs.Path(version, "_SUCCESS")
+    marker.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).create(marker).close()
     return version
 
 
@@ -56,17 +73,92 @@ def drop_old_versions(spark: SparkSession, path: str, keep: int = 2) -> None:
         fs.delete(spark._jvm.org.apache.hadoop.fs.Path(version), True)
 
 
-def refresh(catalog: Catalog, names: Iterable[str], base: str) -> dict[str, str]:
-    """Rebuild the named datasets in order; later ones read the earlier tables.
+@dataclass
+class _Tracing(Catalog):
+    """A catalog that notes which datasets each dataset asks for."""
 
-    A dataset's readers move to its new version when that is complete.
-    """
-    paths = {}
+    reads: dict[str, set[str]] = field(default_factory=dict)
+    _open: list[str] = field(default_factory=list)
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if self._open:
+            self.reads[self._open[-1]].add(name)
+        if name not in self.reads and name not in self.written:
+            self.reads[name] = set()
+            self._open.append(name)
+            super().__getitem__(name)
+            self._open.pop()
+        return super().__getitem__(name)
+
+
+def dependencies(catalog: Catalog, names: Iterable[str]) -> dict[str, set[str]]:
+    """For each name the others of ``names`` that its plan reads, directly or through datasets between."""
+    names = list(names)
+    traced = _Tracing(catalog.spark, catalog.sources, catalog.options)
     for name in names:
+        traced[name]
+    out: dict[str, set[str]] = {}
+    for name in names:
+        seen, todo = set(), [name]
+        while todo:
+            for other in traced.reads[todo.pop()]:
+                if other not in seen:
+                    seen.add(other)
+                    if other not in names:
+                        todo.append(other)
+        out[name] = seen & set(names)
+    return out
+
+
+def refresh(
+    catalog: Catalog, names: Iterable[str], base: str, workers: int = 1, audit: Callable[[str, DataFrame], None] | None = None
+) -> dict[str, str]:
+    """Rebuild the named datasets; their readers see the written tables.
+
+    With one worker in the given order. With more, as many writes run at once as there are tables whose inputs are written:
+    each table waits for those of ``names`` that its plan reads. Plans are made one at a time, each after
+    its inputs; writes share the cluster, in scheduler pools named like the tables where it schedules fairly.
+
+    A dataset's readers move to its new version when that is complete, and with an ``audit(name, rows)`` only
+    if it does not raise. The first failure ends the refresh; tables written before stay.
+    """
+    names, paths, lock = list(names), {}, threading.Lock()
+
+    def build(name: str) -> None:
         spec = REGISTRY[name]
-        df = spec.fn(catalog)
-        paths[name] = write_table(df, f"{base}/{name}", spec.partition_by, spec.sort_by)
-        catalog.mark_written(name, paths[name], df.schema)
+        with lock:
+            df = spec.fn(catalog)
+        catalog.spark.sparkContext.setLocalProperty("spark.scheduler.pool", name if workers > 1 else None)
+        check = None if audit is None else lambda stored: audit(name, stored)
+        path = write_table(df, f"{base}/{name}", spec.partition_by, spec.sort_by, check)
+        with lock:
+            paths[name] = path
+            catalog.mark_written(name, path, df.schema)
+
+    if workers == 1:
+        for name in names:
+            build(name)
+        return paths
+    waits = dependencies(catalog, names)
+    running: dict[Future, str] = {}
+    with ThreadPoolExecutor(workers) as pool:
+        while waits or running:
+            ready = [name for name in names if name in waits and not waits[name]]
+            if not ready and not running:
+                raise ValueError(f"datasets read each other: {sorted(waits)}")
+            for name in ready:
+                del waits[name]
+                running[pool.submit(inheritable_thread_target(catalog.spark)(build), name)] = name
+            done, _ = wait(running, return_when=FIRST_COMPLETED)
+            for future in done:
+                name = running.pop(future)
+                error = future.exception()
+                if error is not None:
+                    for other in running:
+                        other.cancel()
+                    raise error
+                for inputs in waits.values():
+                    inputs.discard(name)
     return paths
 
 
