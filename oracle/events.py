@@ -51,31 +51,29 @@ SELECT *, nullif(regexp_extract(page_location, '[^/]+://[^/]+(/[^?]*)', 1), '')
   nullif(regexp_extract(page_location, '[^/]+://([^/]+)', 1), '') AS page_hostname,
   nullif(regexp_extract(page_location, '^[^/]+://[^/]+/([a-z][a-z0-9_]+)/', 1), '') AS state_code
 FROM stg_ga_page_views WHERE page_location IS NOT NULL""",
-    page_activity="""
-SELECT user_pseudo_id, ga_session_id, max(state_code) AS state_code,
-  max(CASE WHEN page_path LIKE '%/step-1%' THEN 1 ELSE 0 END) AS hit_start,
-  max(CASE WHEN page_path LIKE '%/results%' THEN 1 ELSE 0 END) AS hit_results,
-  min(CASE WHEN page_path LIKE '%/step-1%' THEN event_timestamp END) AS start_ts,
-  min(CASE WHEN page_path LIKE '%/results%' THEN event_timestamp END) AS results_ts
-FROM int_ga4_page_views WHERE ga_session_id IS NOT NULL GROUP BY 1, 2""",
-    outbound_clicks="""
-SELECT user_pseudo_id, ga_session_id, event_timestamp AS click_ts FROM stg_ga_link_clicks
-WHERE ga_session_id IS NOT NULL AND is_outbound = 'true'""",
+    # Views and outbound clicks of a session as one list of moments, reduced to one row.
+    session_moments="""
+SELECT user_pseudo_id, ga_session_id, state_code, event_timestamp AS moment,
+  CASE WHEN contains(page_path, '/step-1') THEN 'start' END AS began,
+  CASE WHEN contains(page_path, '/results') THEN 'results' END AS ended, FALSE AS is_click
+FROM int_ga4_page_views
+UNION ALL SELECT user_pseudo_id, ga_session_id, NULL, event_timestamp, NULL, NULL, TRUE FROM stg_ga_link_clicks WHERE is_outbound = 'true'""",
+    session_activity="""
+SELECT user_pseudo_id, ga_session_id, max(state_code) AS state, min(moment) FILTER (began = 'start') AS started,
+  min(moment) FILTER (ended = 'results') AS finished, min(moment) FILTER (is_click) AS first_click, max(moment) FILTER (is_click) AS last_click,
+  count_if(is_click) AS clicks
+FROM session_moments WHERE ga_session_id IS NOT NULL GROUP BY ALL""",
+    timed_sessions="""
+SELECT s.*, a.* EXCLUDE (user_pseudo_id, ga_session_id), (a.finished - a.started) / CAST(1000000 AS DOUBLE) AS seconds
+FROM stg_ga_sessions s LEFT JOIN session_activity a USING (user_pseudo_id, ga_session_id) WHERE s.ga_session_id IS NOT NULL""",
     int_ga4_sessions="""
-SELECT s.event_date, s.event_date_parsed, s.user_pseudo_id, s.ga_session_id,
-  coalesce(pa.state_code, 'unknown') AS state_code, coalesce(s.session_medium, '(none)') AS session_medium,
-  coalesce(s.session_source, '(direct)') AS session_source, s.session_campaign, s.session_start_datetime,
-  coalesce(pa.hit_start, 0) AS hit_screener_start, coalesce(pa.hit_results, 0) AS hit_screener_results,
-  CASE WHEN (pa.results_ts - pa.start_ts) / CAST(1000000 AS DOUBLE) >= 20
-    THEN (pa.results_ts - pa.start_ts) / CAST(1000000 AS DOUBLE) END AS completion_time_seconds,
-  CASE WHEN EXISTS (SELECT 1 FROM outbound_clicks o WHERE o.user_pseudo_id = s.user_pseudo_id
-      AND o.ga_session_id = s.ga_session_id AND o.click_ts > pa.results_ts) THEN 1 ELSE 0 END AS has_outbound_click,
-  lc.first_ts AS first_outbound_click_ts, coalesce(lc.n, 0) AS total_link_clicks
-FROM (SELECT * FROM stg_ga_sessions WHERE ga_session_id IS NOT NULL) s
-LEFT JOIN page_activity pa ON s.user_pseudo_id = pa.user_pseudo_id AND s.ga_session_id = pa.ga_session_id
-LEFT JOIN (SELECT user_pseudo_id, ga_session_id, min(click_ts) AS first_ts, count(*) AS n
-  FROM outbound_clicks GROUP BY 1, 2) lc
-  ON s.user_pseudo_id = lc.user_pseudo_id AND s.ga_session_id = lc.ga_session_id""",
+SELECT event_date, event_date_parsed, user_pseudo_id, ga_session_id, session_campaign, session_start_datetime,
+  ifnull(state, 'unknown') AS state_code, ifnull(session_medium, '(none)') AS session_medium,
+  ifnull(session_source, '(direct)') AS session_source, CAST(started IS NOT NULL AS INT) AS hit_screener_start,
+  CAST(finished IS NOT NULL AS INT) AS hit_screener_results, CASE WHEN seconds >= 20 THEN seconds END AS completion_time_seconds,
+  CAST(ifnull(last_click > finished, FALSE) AS INT) AS has_outbound_click, first_click AS first_outbound_click_ts,
+  ifnull(clicks, 0) AS total_link_clicks
+FROM timed_sessions""",
     form_events=family(
         "screener_form_start screener_form_step screener_form_complete screener_form_error screener_form_back",
         f"{SCREENING}, screener_path, screener_step_name, screener_step_number, step_action, member_index, "
@@ -167,16 +165,15 @@ FROM outcome_rows""",
     ),
     ladder=f"SELECT * FROM (VALUES {LADDER}) t(screener_step_name, funnel_rank)",
     energy_steps=f"SELECT * FROM (VALUES {ENERGY}) t(screener_step_name, funnel_rank)",
+    # Steps seen by their place on the ladder; loaded results come after all of them.
+    steps_seen=f"""
+SELECT f.* EXCLUDE (screener_step_name), r.funnel_rank AS place FROM stg_ga_screener_form_funnel f JOIN ladder r USING (screener_step_name)
+WHERE event_name = 'screener_form_step' AND step_action = 'view'
+UNION ALL BY NAME SELECT *, 12 AS place FROM stg_ga_screener_results_outcomes WHERE event_name = 'screener_results_loaded'""",
     int_screener_furthest_step=f"""
-SELECT session_key, CAST(max(step_rank) AS BIGINT) AS furthest_step_rank, max(event_date) AS event_date,
-  max(event_date_parsed) AS event_date_parsed, max(screener_state) AS screener_state, bool_or(is_cesn) AS is_cesn
-FROM (SELECT {SESSION_KEY} AS session_key, r.funnel_rank AS step_rank, {DAY}, is_cesn
-    FROM stg_ga_screener_form_funnel f JOIN ladder r ON f.screener_step_name = r.screener_step_name
-    WHERE event_name = 'screener_form_step' AND step_action = 'view'
-  UNION ALL
-  SELECT {SESSION_KEY}, 12, {DAY}, is_cesn FROM stg_ga_screener_results_outcomes
-    WHERE event_name = 'screener_results_loaded') x
-GROUP BY 1""",
+SELECT {SESSION_KEY} AS session_key, max(place)::BIGINT AS furthest_step_rank, bool_or(is_cesn) AS is_cesn,
+  {", ".join(f"max({c}) AS {c}" for c in DAY.split(", "))}
+FROM steps_seen GROUP BY ALL""",
     int_screener_program_names="""
 SELECT program_id, max(program_name) AS program_name FROM stg_ga_screener_program_interactions
 WHERE program_id IS NOT NULL AND program_name IS NOT NULL GROUP BY 1""",
@@ -224,7 +221,7 @@ define(
 SELECT event_date, event_date_parsed, user_pseudo_id, {SESSION} AS visit, is_outbound,
   CASE WHEN link_domain <> '' THEN link_domain ELSE nullif(regexp_extract(link_url, '[^/]+://([^/]+)', 1), '') END AS link_domain
 FROM stg_ga_link_clicks WHERE ga_session_id IS NOT NULL AND contains(page_path, '/results')""",
-    visit_states=f"SELECT {SESSION} AS visit, state_code FROM page_activity WHERE state_code IS NOT NULL",
+    visit_states=f"SELECT {SESSION} AS visit, state AS state_code FROM session_activity WHERE state IS NOT NULL",
     mart_ga_clicked_links="""
 SELECT event_date, event_date_parsed, coalesce(state_code, 'unknown') AS state_code, link_domain, is_outbound,
   count(*) AS total_clicks, count(DISTINCT visit) AS sessions_with_clicks, count(DISTINCT user_pseudo_id) AS users_with_clicks
@@ -255,16 +252,13 @@ FROM int_ga4_sessions GROUP BY 1, 2, 3, 4, 5""",
     mart_screener_cesn_combined_ladder="SELECT * FROM (VALUES "
     + values([("__form_start__", "Started Screener", 0), *[(s, label, r) for s, label, _, r in STEPS if r is not None]])
     + ") t(screener_step_name, screener_step_label, funnel_rank)",
+    energy_places=f"""
+SELECT f.*, CASE WHEN f.event_name = 'screener_form_start' THEN 0 WHEN {VIEWED} THEN l.funnel_rank END AS place
+FROM stg_ga_screener_form_funnel f LEFT JOIN energy_steps l USING (screener_step_name) WHERE f.is_cesn""",
     mart_screener_cesn_funnel=f"""
-SELECT session_key, CAST(max(step_rank) AS BIGINT) AS furthest_step_rank, max(event_date) AS event_date,
+SELECT {SESSION_KEY} AS session_key, max(place)::BIGINT AS furthest_step_rank, max(event_date) AS event_date,
   max(event_date_parsed) AS event_date_parsed
-FROM (SELECT {SESSION_KEY} AS session_key, l.funnel_rank AS step_rank, event_date, event_date_parsed
-    FROM stg_ga_screener_form_funnel f JOIN energy_steps l ON f.screener_step_name = l.screener_step_name
-    WHERE is_cesn AND {VIEWED}
-  UNION ALL
-  SELECT {SESSION_KEY}, 0, event_date, event_date_parsed FROM stg_ga_screener_form_funnel
-    WHERE is_cesn AND event_name = 'screener_form_start') x
-GROUP BY 1""",
+FROM energy_places WHERE place IS NOT NULL GROUP BY ALL""",
     mart_screener_furthest_step="SELECT * FROM int_screener_furthest_step",
     funnel_views=f"""
 SELECT {GRAIN}, screener_step_name, screener_step_number, {SESSION_KEY} AS session_key
@@ -381,20 +375,19 @@ FROM (SELECT *, nullif(trim(form_field_name), '') AS f FROM stg_ga_screener_form
         + " AS section_label",
         "total_edits", "screenings",
     ),
+    # One row per page of a member and per income action on it, reduced to the member.
+    member_facts="""
+SELECT screener_uid, member_index, event_date_parsed AS day, screener_state AS state, 'page' AS fact FROM stg_ga_screener_form_funnel
+WHERE (event_name, step_action, screener_step_name) = ('screener_form_step', 'view', 'member-details')
+UNION ALL SELECT screener_uid, member_index, NULL, NULL, action FROM stg_ga_screener_section_engagement
+WHERE event_name = 'screener_income_source'""",
     mart_screener_member_income="""
-SELECT v.event_date_parsed, v.screener_state, count(*) AS member_pages_viewed,
-  count(*) FILTER (WHERE i.added) AS member_pages_added_income,
-  count(*) FILTER (WHERE i.deleted) AS member_pages_deleted_income
-FROM (SELECT screener_uid, member_index, min(event_date_parsed) AS event_date_parsed,
-    max(screener_state) AS screener_state
-  FROM stg_ga_screener_form_funnel
-  WHERE event_name = 'screener_form_step' AND step_action = 'view' AND screener_step_name = 'member-details'
-    AND screener_uid IS NOT NULL AND member_index IS NOT NULL GROUP BY 1, 2) v
-LEFT JOIN (SELECT screener_uid, member_index, bool_or(action = 'add') AS added, bool_or(action = 'delete') AS deleted
-  FROM stg_ga_screener_section_engagement
-  WHERE event_name = 'screener_income_source' AND screener_uid IS NOT NULL AND member_index IS NOT NULL
-  GROUP BY 1, 2) i ON v.screener_uid = i.screener_uid AND v.member_index = i.member_index
-GROUP BY 1, 2""",
+SELECT event_date_parsed, screener_state, count(*) AS member_pages_viewed, count_if(added) AS member_pages_added_income,
+  count_if(deleted) AS member_pages_deleted_income
+FROM (SELECT min(day) FILTER (fact = 'page') AS event_date_parsed, max(state) FILTER (fact = 'page') AS screener_state,
+    count_if(fact = 'page') AS pages, count_if(fact = 'add') > 0 AS added, count_if(fact = 'delete') > 0 AS deleted
+  FROM member_facts WHERE screener_uid IS NOT NULL AND member_index IS NOT NULL GROUP BY screener_uid, member_index)
+WHERE pages > 0 GROUP BY ALL""",
     mart_screener_section_engagement="""
 SELECT screener_uid, CASE event_name WHEN 'screener_household_member' THEN 'Household Members'
     WHEN 'screener_income_source' THEN 'Income Sources' END AS section, coalesce(action, '(unknown)') AS action,
@@ -450,16 +443,18 @@ FROM stg_ga_screener_step_interactions WHERE event_name = 'screener_language_cha
         "language_rows", "language_name IS NOT NULL", f"{DAY}, language_name", "total_changes", "distinct_screenings",
         SESSION,
     ),
+    # What a link is by its place, and by its name where the place is not told; all others lie in a step.
+    placed_links="SELECT * FROM (VALUES ('footer', 'left out'), ('results_needs', 'edit_nav')) t(link_location, kind)",
+    unplaced_links="""
+SELECT * FROM (VALUES ('About Us', 'left out'), ('Privacy Policy', 'left out'), ('Terms and Conditions', 'left out'),
+  ('Additional Resources — Edit Step', 'edit_nav')) t(link_name, kind)""",
     link_rows=f"""
-SELECT {DAY}, user_pseudo_id, ga_session_id, link_location, coalesce(link_name, '(unnamed)') AS link_label,
-  screener_step_name, {STEP_CASE} AS screener_step_label,
-  CASE WHEN link_location = 'results_needs' THEN 'edit_nav'
-    WHEN link_location IS NULL AND link_name = 'Additional Resources — Edit Step' THEN 'edit_nav'
-    ELSE 'in_step' END AS link_group
-FROM stg_ga_screener_ui_events
-WHERE event_name = 'screener_link_click' AND coalesce(link_location, '') <> 'footer'
-  AND NOT (link_location IS NULL
-    AND coalesce(link_name, '') IN ('About Us', 'Privacy Policy', 'Terms and Conditions'))""",
+SELECT * FROM (
+  SELECT {DAY}, user_pseudo_id, ga_session_id, e.link_location, ifnull(e.link_name, '(unnamed)') AS link_label,
+    screener_step_name, {STEP_CASE} AS screener_step_label, coalesce(p.kind, n.kind, 'in_step') AS link_group
+  FROM stg_ga_screener_ui_events e LEFT JOIN placed_links p USING (link_location)
+  LEFT JOIN unplaced_links n ON e.link_location IS NULL AND n.link_name = e.link_name
+  WHERE event_name = 'screener_link_click') WHERE link_group <> 'left out'""",
     mart_screener_link_clicks=grouped(
         "link_rows", "TRUE",
         f"{DAY}, link_group, link_location, link_label, screener_step_name, screener_step_label",
