@@ -689,12 +689,12 @@ def in_places(sql: str) -> str:
 
 
 def oracle_sql() -> dict[str, str]:
-    from screenmart.queries import DATASETS, EVENT_CARDS, PLACES_CARDS, TENANT_CARDS, TENANT_ID, TENANT_SCREEN_CARDS
+    from screenmart.queries import DATASETS, EVENT_CARDS, PLACES_CARDS, TENANT_CARDS, TENANT_SCREEN_CARDS, card_tenant
 
     out = {f"{key}_{name}": f"SELECT * FROM {VIEW_NAMES.get(name, name)}" for key, name in DATASETS.items()}
     cards = screen_cards()
     out.update(cards)
-    out.update({f"{name}_tenant": as_tenant(cards[name], TENANT_ID) for name in TENANT_SCREEN_CARDS})
+    out.update({f"{name}_tenant": as_tenant(cards[name], card_tenant(name)) for name in TENANT_SCREEN_CARDS})
     out.update({f"{name}_places": in_places(cards[name]) for name in PLACES_CARDS})
     world, tenant = event_cards(GLOBAL), event_cards(TENANT)
     for cards in (world, tenant):

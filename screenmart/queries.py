@@ -268,6 +268,13 @@ PLACES_CARDS: dict[str, Callable[[Catalog, ScreenFilters], DataFrame]] = {
 # Every card of the relational dashboards as one tenant sees it; visitors (QP16) belong to no tenant.
 TENANT_SCREEN_CARDS = [name for name in SCREEN_CARDS if not name.startswith("QP16")]
 TENANT_ID = 3
+# The partners of QP28 and QP29 belong to these tenants.
+PARTNER_TENANTS = {"QP28": 4, "QP29": 1}
+
+
+def card_tenant(name: str) -> int:
+    return PARTNER_TENANTS.get(name[:4], TENANT_ID)
+
 
 GLOBAL = EventScope(epoch=date(2024, 1, 8))
 TENANT = EventScope(epoch=date(2024, 1, 8), tenant_states=("co",), start=date(2024, 1, 10), end=date(2024, 1, 25))
@@ -461,7 +468,7 @@ def queries() -> dict[str, Query]:
     out = {f"{key}_{name}": _dataset(name) for key, name in DATASETS.items()}
     out.update({name: _card(fn) for name, fn in SCREEN_CARDS.items()})
     for name in TENANT_SCREEN_CARDS:
-        out[f"{name}_tenant"] = _card(lambda c, fn=SCREEN_CARDS[name]: fn(TenantCatalog(c, TENANT_ID)))
+        out[f"{name}_tenant"] = _card(lambda c, name=name: SCREEN_CARDS[name](TenantCatalog(c, card_tenant(name))))
     out.update({f"{name}_places": _card(lambda c, fn=fn: fn(c, PLACES)) for name, fn in PLACES_CARDS.items()})
     out.update({name: _card(lambda c, fn=fn: fn(c, GLOBAL)) for name, fn in EVENT_CARDS.items()})
     out.update({f"{name}_tenant": _card(lambda c, fn=fn: fn(c, TENANT)) for name, fn in TENANT_CARDS.items()})

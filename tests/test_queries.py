@@ -24,7 +24,9 @@ QP07_income_distribution QP13_immediate_needs QP19_median_annual_benefits QP22_m
 QP23_partner_values QP28_value_distribution QE01_conversion_funnel QE03_step_funnel QE09_eligible_share
 QE19_most_shown_by_state QE21_resource_engagement QE24_help_by_topic QE30_nps_distribution QE32_disclaimer_links
 K1_tenant_scope D5_orphan_programs QP01_common_expenses_tenant QP14_disabled_share_tenant
-QP17_completed_screeners_filtered QE35_more_help_resources QE19_detail_rate_by_state_any
+QP17_completed_screeners_filtered QE35_more_help_resources QE19_detail_rate_by_state_any D0_rule_report K1_session_view
+S5_changed_days_screenings S6_refreshed_tables S7_backfilled_days QE21_resource_engagement_bitmaps_tenant QP22_medians_places
+QP16_monthly_active_users_bitmaps M02_window_visitors_bitmaps P17_bucketed QP02_income_streams_places QP29_monthly_tenant
 """.split()
 
 
