@@ -198,6 +198,9 @@ def with_revisits(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
 def write_packages(pages: DataFrame, folder: str) -> DataFrame:
     """Write a WARC record per row of ``with_revisits`` and return the packages' (path, size, records).
 
+    A null html is an empty payload, a null page_id or url is written as none; no rows give no packages. Rows that
+    repeat a page get a record each.
+
     Each task writes packages of about PACKAGE_BYTES in ``folder``. Only packages that the stored manifest
     names count, so a task that is lost and run again leaves at worst files that nobody reads.
     """
@@ -233,6 +236,34 @@ def write_packages(pages: DataFrame, folder: str) -> DataFrame:
     return stored(map_arrow(pages.select("page_id", "url", "html", "refers_to"), run, MANIFEST), "packages")
 
 
+def located(read, size: int) -> list[tuple[int, int]]:
+    """(offset in the package, length) of each record that the package's indexes list, in their order.
+
+    Archives are the stored members called *.warc.gz, indexes those called *.cdxj or, compressed, *.cdxj.gz, in whatever
+    folder. An entry names its archive; one that names none means the only archive.
+    """
+    members = directory(read, size)
+    archives = {m.name.rsplit("/", 1)[-1]: m for m in members if m.name.endswith(".warc.gz")}
+    indexes = [m for m in members if m.name.endswith((".cdxj", ".cdxj.gz"))]
+    if not archives or not indexes:
+        raise ValueError("a package needs an archive (*.warc.gz) and an index (*.cdxj or *.cdxj.gz)")
+    bases = {name: data_offset(read, m) for name, m in archives.items()}
+    out = []
+    for index in indexes:
+        data = read(data_offset(read, index), index.size)
+        text = zlib.decompress(data, wbits=31) if index.name.endswith(".gz") else data
+        for line in text.decode().splitlines():
+            if not line or line[0] in "!{":  # a header
+                continue
+            entry = json.loads(line.split(" ", 2)[2])
+            name = entry.get("filename")
+            if name is None and len(bases) > 1:
+                raise ValueError("an index entry names none of several archives")
+            base = next(iter(bases.values())) if name is None else bases[name.rsplit("/", 1)[-1]]
+            out.append((base + int(entry["offset"]), int(entry["length"])))
+    return out
+
+
 def locate(packages: DataFrame) -> DataFrame:
     """(path, lengths, offset): runs of records in each package, found through directories and index alone."""
 
@@ -242,15 +273,12 @@ def locate(packages: DataFrame) -> DataFrame:
                 store, name = open_store(path)
                 with store.open_input_file(name) as file:
                     read = lambda offset, length: file.read_at(length, offset)  # noqa: E731, B023
-                    members = {m.name: m for m in directory(read, file.size())}
-                    index = members[INDEX]
-                    lines = read(data_offset(read, index), index.size).decode().splitlines()
-                    base = data_offset(read, members[ARCHIVE])
+                    entries = located(read, file.size())
                 runs: list[tuple[int, list[int]]] = []
-                for entry in (json.loads(line.split(" ", 2)[2]) for line in lines):
-                    if not runs or sum(runs[-1][1]) >= SLICE_BYTES or base + entry["offset"] != runs[-1][0] + sum(runs[-1][1]):
-                        runs.append((base + entry["offset"], []))
-                    runs[-1][1].append(entry["length"])
+                for offset, length in entries:
+                    if not runs or sum(runs[-1][1]) >= SLICE_BYTES or offset != runs[-1][0] + sum(runs[-1][1]):
+                        runs.append((offset, []))
+                    runs[-1][1].append(length)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([path] * len(runs)), pa.array([a for a, _ in runs], pa.int64()), pa.array([x for _, x in runs], pa.list_(pa.int64()))],
                     ["path", "offset", "lengths"],
@@ -263,7 +291,7 @@ def read_records(packages: DataFrame, payload: bool = True) -> DataFrame:
     """One row per record of the packages named in column ``path``; nothing is unpacked to disk.
 
     Columns: page_id, record_type, refers_to, payload_digest, payload_bytes and, if asked for, payload
-    (null for a revisit). Each run of records is one range read of at most about SLICE_BYTES.
+    (null for a revisit). Each run of records is one range read of at most about SLICE_BYTES. No packages give no rows.
     """
     spark = packages.sparkSession
     width = max(2 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))

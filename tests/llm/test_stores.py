@@ -1,8 +1,10 @@
 """WARC packages and embedding links against plain versions."""
 
 import base64
+import gzip
 import hashlib
 import io
+import json
 import random
 import zipfile
 
@@ -123,3 +125,29 @@ def test_collision_count_is_calibrated():
     inside = np.abs(rng.standard_normal((200_000, embedding.PROJECTIONS))) <= embedding.WINDOW_SIGMAS
     assert (inside.sum(axis=1) >= least).mean() > 0.9999
     assert least > embedding.PROJECTIONS / 2
+
+
+def test_packages_of_others(spark, tmp_path):
+    """Two archives under other names, a compressed index with a header line and an index as plain text."""
+    records = [warc_zip.record(k, f"http://x/{k}", f"<p>{k}</p>".encode() * 3, None) for k in range(5)]
+    first, second = records[:3], records[3:]
+    lines, at = ["!meta {}"], 0
+    for k, r in enumerate(first):
+        lines.append(f"x,{k} 2020 " + json.dumps({"offset": str(at), "length": str(len(r)), "filename": "rec-a.warc.gz"}))
+        at += len(r)
+    at, other = 0, []
+    for k, r in enumerate(second):
+        other.append(f"x,{k} 2020 " + json.dumps({"offset": at, "length": len(r), "filename": "archive/rec-b.warc.gz"}))
+        at += len(r)
+    members = [
+        ("archive/rec-a.warc.gz", b"".join(first)), ("deep/er/rec-b.warc.gz", b"".join(second)), ("pages/pages.jsonl", b"{}"),
+        ("indexes/a.cdxj.gz", gzip.compress("\n".join(lines).encode())), ("indexes/b.cdxj", "\n".join(other).encode()),
+    ]
+    path = tmp_path / "theirs.wacz"
+    path.write_bytes(warc_zip.package(members))
+    packages = spark.createDataFrame([(f"file:{path}",)], "path string")
+    got = {r.page_id: bytes(r.payload) for r in warc_zip.read_records(packages).collect()}
+    assert got == {k: f"<p>{k}</p>".encode() * 3 for k in range(5)}
+    with pytest.raises(ValueError, match="index"):
+        data = warc_zip.package(members[:2])
+        warc_zip.located(reader(data), len(data))
