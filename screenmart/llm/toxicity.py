@@ -25,8 +25,6 @@ GAINS = (1, 2, 3, 4, 5)
 PHRASE_GAINS = (1, 2, 4, 6, 8)
 #: Half a phrase; an unbroken run of over 32 characters counts as several words.
 HALF = re.compile(r"(?:\S{1,32}\s?){1,4}")
-#: Phrases of a class that its dictionary is trained on, some fifty times as many bytes as it holds.
-PHRASES = 60_000
 
 
 @dataclass(frozen=True)
@@ -175,8 +173,9 @@ def spans(taught: DataFrame, lengths: tuple[int, ...] = (5, 6, 7)) -> DataFrame:
 
 
 def train(
-    docs: DataFrame, labels: DataFrame, most: int = 4000, least_share: float = 0.02, ratio: float = 20, size: int = 32768
-) -> Model:
+    docs: DataFrame, labels: DataFrame, most: int = 4000, least_share: float = 0.02, ratio: float = 20, size: int = 32768,
+    most_phrases: int = 60_000, most_words: int = 200_000, least_texts: int = 3, most_repeats: int = 10,
+) -> Model:
     """Two dictionaries and a calibrated score from labelled rows.
 
     ``labels`` hold doc_id and toxic 0 or 1. The dictionaries learn from rows outside fold 3 of 4
@@ -186,7 +185,15 @@ def train(
     ``least_share`` of the toxic texts at least, and ``ratio`` times as often as in ordinary ones,
     the most telling last, where zstandard finds them nearest; the ordinary one is trained by zstandard
     on the words of ordinary texts. Beside these two of words stand two of phrases, which zstandard
-    trains on the texts of each class. Both pairs are calibrated together. Without labels of both classes nothing is toxic.
+    trains on the texts of each class. Both pairs are calibrated together, on the rows that taught the dictionaries where
+    fold 3 has labels of one class only. Without labels of both classes nothing is toxic.
+
+    What the ordinary dictionaries are trained on is bounded like the rows: ``most_phrases`` phrases of a class, the
+    ``most_words`` words that most ordinary texts hold, each in ``least_texts`` of them at least and given to the training as often as
+    texts hold it, ``most_repeats`` times at most. These bound what is learned from, never what is scored.
+
+    Ids labelled both 0 and 1 teach both classes; repeated labels of an id count once, its repeated rows each. Null
+    texts, null ids and other labels teach nothing. Long texts are read whole.
     """
     labels = labels.where("toxic in (0, 1) and doc_id is not null")
     calibrate = crc_fold("doc_id", 4) == 3
@@ -199,20 +206,23 @@ def train(
     telling = (F.col("toxic") >= least_share * n[1]) & (F.col("toxic") / n[1] >= ratio * (F.col("ordinary") + 1) / n[0])
     # Each text has boundedly many spans, so few can stand in a fixed share of the texts.
     found = counts.where((F.col("kind") == "span") & telling).collect()
-    words = counts.where((F.col("kind") == "word") & (F.col("ordinary") >= 3)).select("key", "ordinary").collect()
+    words = counts.where((F.col("kind") == "word") & (F.col("ordinary") >= least_texts)).select("key", "ordinary")
+    words = words.orderBy(F.desc("ordinary"), "key").limit(most_words).collect()
     counts.unpersist()
-    of_class = [_phrase_dictionary(taught, value, size) for value in (0, 1)]
+    of_class = [_phrase_dictionary(taught, value, size, most_phrases) for value in (0, 1)]
     taught.unpersist()
     toxic = _outermost({r["key"]: r["toxic"] for r in found})
     content = "".join(sorted(toxic, key=lambda k: (toxic[k], k))).encode("utf-8", "surrogatepass")
-    samples = [f" {r['key']} ".encode("utf-8", "surrogatepass") for r in sorted(words) for _ in range(min(r["ordinary"], 10))]
+    samples = [f" {r['key']} ".encode("utf-8", "surrogatepass") for r in sorted(words) for _ in range(min(r["ordinary"], most_repeats))]
     order = np.random.default_rng(42).permutation(len(samples))
     model = Model(content, _dictionary([samples[i] for i in order], size), of_class[1], of_class[0])
-    measured = _measure(sample(docs, labels.where(calibrate), most), model).toPandas()
+    fold = labels.where(calibrate)
+    measured = _measure(sample(docs, fold, most), model).toPandas()
     if measured["toxic"].nunique() < 2:
-        return model
+        fold = labels.where(~calibrate)
+        measured = _measure(sample(docs, fold, most), model).toPandas()
     x = np.stack(measured["x"].to_numpy())
-    whole, sampled = class_rows(docs, labels.where(calibrate)), measured.groupby("toxic")["n"].sum()
+    whole, sampled = class_rows(docs, fold), measured.groupby("toxic")["n"].sum()
     stands_for = measured["n"] * measured["toxic"].map({c: whole[c] / sampled[c] for c in sampled.index})
     weights, intercept = logistic(x, measured["toxic"].to_numpy(float), stands_for.to_numpy(float))
     return replace(model, weights=weights, intercept=intercept)
@@ -236,8 +246,8 @@ def _dictionary(samples: list[bytes], size: int) -> bytes:
         return b"".join(samples)[-size:]
 
 
-def _phrase_dictionary(taught: DataFrame, value: int, size: int) -> bytes:
-    """Trained on ``PHRASES`` phrases of the class, those with the smallest hashes."""
+def _phrase_dictionary(taught: DataFrame, value: int, size: int, most: int) -> bytes:
+    """Trained on at most ``most`` phrases of the class, those with the smallest hashes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -245,7 +255,7 @@ def _phrase_dictionary(taught: DataFrame, value: int, size: int) -> bytes:
                 yield pa.RecordBatch.from_arrays([pa.array(phrases(text), pa.binary())], ["phrase"])
 
     found = map_arrow(taught.where(F.col("toxic") == value).select("text"), run, "phrase binary")
-    chosen = found.orderBy(F.xxhash64("phrase"), "phrase").limit(PHRASES).toPandas()["phrase"]
+    chosen = found.orderBy(F.xxhash64("phrase"), "phrase").limit(most).toPandas()["phrase"]
     return _dictionary([bytes(x) for x in chosen], size)
 
 

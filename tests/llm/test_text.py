@@ -286,3 +286,15 @@ def test_toxicity_without_labels(spark):
 def test_sha_of_an_empty_document(docs_of):
     got = lines.dedup_lines(docs_of([(1, None)])).select(F.sha2("text", 256).alias("s")).first()
     assert got.s == hashlib.sha256(b"").hexdigest()
+
+
+def test_toxicity_with_one_class_in_the_calibration_fold(spark):
+    """Calibrated on the taught rows then; labels that contradict or repeat each other do not matter."""
+    rng = random.Random(12)
+    marks = [(i, int(i % 4 == 0)) for i in range(400)]
+    rows = [(i, prose(rng, 40) + (" grumblex vilethorn snarlwick" if toxic else "")) for i, toxic in marks]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([*marks, *marks[:40], (1, 1), (9999, 1)], "doc_id long, toxic int")
+    labels = labels.where((crc_fold("doc_id", 4) != 3) | (F.col("toxic") == 0))
+    judged = {r.doc_id: r.predicted for r in toxicity.predict(docs, toxicity.train(docs, labels)).collect()}
+    assert sum(judged[i] == toxic for i, toxic in marks) >= 0.97 * len(marks)
