@@ -22,8 +22,6 @@ BLOCK_BYTES = 6 << 20
 PART_GRAMS = 400_000
 #: Context frequencies by powers of two; 0 is an unseen context.
 BUCKETS = 64
-#: Steps per power of two in which held-out probabilities are gathered for the weights.
-RESOLUTION = 8
 COUNTED, TUNED, SCORED = 0, 1, 2
 
 
@@ -194,23 +192,30 @@ def _events(block: Block, of_word: np.ndarray, of_pair: np.ndarray, tokens: int)
     return bucket, pair / np.maximum(context, 1), word / max(tokens, 1), word
 
 
-def weights(cells: pd.DataFrame, uniform: float, steps: int = 100) -> np.ndarray:
-    """Mixture weights [bucket, (pair, word, uniform)] by expectation-maximisation on held-out counts.
+def shares(events: DataFrame, w: np.ndarray, uniform: float) -> np.ndarray:
+    """One E-step over all held-out events: the expected number of events of each bucket that each estimate explains."""
+    bucket = F.col("bucket")
+    of = [F.get(F.lit(w[:, k].tolist()), bucket) for k in range(3)]
+    parts = [F.col("pair") * of[0], F.col("word") * of[1], F.lit(uniform) * of[2]]
+    explained = F.col("n") / (parts[0] + parts[1] + parts[2])
+    rows = events.groupBy("bucket").agg(*[F.sum(part * explained).alias(f"s{k}") for k, part in enumerate(parts)]).collect()
+    out = np.zeros((BUCKETS, 3))
+    for r in rows:
+        out[r["bucket"]] = r["s0"], r["s1"], r["s2"]
+    return out
 
-    ``cells`` are held-out events (bucket, pair, word, n), estimates in steps of 2**(1/RESOLUTION), null for zero.
-    All buckets share five events of the pooled weights, so a bucket without events has those.
+
+def weights(events: DataFrame, uniform: float, steps: int = 100) -> np.ndarray:
+    """Mixture weights [bucket, (pair, word, uniform)] by expectation-maximisation on held-out events (bucket, pair, word, n).
+
+    Each step is one aggregation over the stored events, exact as they are; BUCKETS rows come back. All buckets share
+    five events of the pooled weights, so a bucket without events has those.
     """
-    p = np.stack([
-        np.where(cells["pair"].isna(), 0.0, 2.0 ** (cells["pair"].fillna(0).to_numpy(float) / RESOLUTION)),
-        np.where(cells["word"].isna(), 0.0, 2.0 ** (cells["word"].fillna(0).to_numpy(float) / RESOLUTION)),
-        np.full(len(cells), uniform),
-    ], axis=1)
-    n, bucket = cells["n"].to_numpy(float), cells["bucket"].to_numpy(int)
     w = np.tile([0.5, 0.4, 0.1], (BUCKETS, 1))
-    for _ in range(steps if len(cells) else 0):
-        share = p * w[bucket]
-        share *= (n / share.sum(axis=1))[:, None]
-        sums = np.stack([np.bincount(bucket, share[:, k], BUCKETS) for k in range(3)], axis=1)
+    for _ in range(steps):
+        sums = shares(events, w, uniform)
+        if not sums.any():
+            break
         pooled = sums.sum(axis=0) / sums.sum()
         new = (sums + 5 * pooled) / (sums.sum(axis=1, keepdims=True) + 5)
         done = np.abs(new - w).max() < 1e-6
@@ -233,7 +238,8 @@ def score(docs: DataFrame, train: str = "train", tune_share: int = 10) -> DataFr
     training rows. base_score is the add-half score of the token alone. All logarithms are decimal.
 
     All counts cover all training rows: no n-gram is pruned. They never meet in one place: blocks of texts and parts of the
-    key space exchange them (``counted``), and only a histogram of bounded resolution reaches the driver for the weights.
+    key space exchange them (``counted``). Held-out events are stored with their exact estimates, and each step of the weights
+    is an aggregation over them.
     A null text is empty: one end token. Rows with a null mark are scored and teach nothing.
     Repeated rows count as often as they come. No rows give no rows.
     """
@@ -252,19 +258,15 @@ def score(docs: DataFrame, train: str = "train", tune_share: int = 10) -> DataFr
         if block.empty:
             return pd.DataFrame({"bucket": [], "pair": [], "word": [], "n": []})
         bucket, pair, word, _ = _events(Block.of(block.iloc[0]), *_known(counts, "kept"), kept_tokens)
-        with np.errstate(divide="ignore"):
-            q = [np.where(x > 0, np.round(np.log2(x) * RESOLUTION), np.nan) for x in (pair, word)]
-        events = pd.DataFrame({"bucket": bucket, "pair": q[0], "word": q[1]})
-        return events.groupby(["bucket", "pair", "word"], dropna=False).size().rename("n").reset_index()
+        events = pd.DataFrame({"bucket": bucket, "pair": pair, "word": word})
+        return events.groupby(["bucket", "pair", "word"]).size().rename("n").reset_index()
 
     tuned = made.where(F.col("use") == TUNED)
     of_tuned = answers.join(tuned.select("block"), "block", "left_semi")
-    histogram = (
-        tuned.groupBy("block").cogroup(of_tuned.groupBy("block")).applyInPandas(cells, "bucket int, pair double, word double, n long")
-        .groupBy("bucket", "pair", "word").agg(F.sum("n").alias("n"))
-    )
+    found = tuned.groupBy("block").cogroup(of_tuned.groupBy("block")).applyInPandas(cells, "bucket int, pair double, word double, n long")
+    events = stored(found.groupBy("bucket", "pair", "word").agg(F.sum("n").alias("n")), "lm_held_out")
     uniform = 1 / (distinct + 1)
-    mixture = weights(histogram.toPandas(), uniform)
+    mixture = weights(events, uniform)
     smooth = np.log10(tokens + 0.5 * (distinct + 1))
 
     def scored(key, block: pd.DataFrame, counts: pd.DataFrame) -> pd.DataFrame:
