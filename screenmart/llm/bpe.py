@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import base64
-import functools
 import hashlib
 from collections.abc import Iterator
 
@@ -14,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from screenmart.llm.common import documents, map_arrow, slices
+from screenmart.llm.common import documents, kept, map_arrow, slices
 from screenmart.llm.pieces import Encoded
 
 #: Pair verdicts that a worker remembers before it starts afresh.
@@ -184,8 +183,11 @@ class Bpe:
         return b"".join(map(self.bytes_of.__getitem__, ids))
 
 
-@functools.lru_cache(maxsize=2)
 def _loaded(path: str) -> tuple[Bpe, Encoded]:
+    return kept(("ranks", path), lambda: _load(path))
+
+
+def _load(path: str) -> tuple[Bpe, Encoded]:
     with open(path, "rb") as lines:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
     bpe = Bpe(ranks)
@@ -219,7 +221,7 @@ def encode(docs: DataFrame, path: str, column: str = "ids") -> DataFrame:
                 part = batch.slice(begin, end - begin)
                 yield pa.RecordBatch.from_arrays([*part.columns, lists], schema.names)
 
-    return map_arrow(docs, run, schema)
+    return map_arrow(docs, run, schema, keeps=True)
 
 
 def digests(encoded: DataFrame, path: str) -> DataFrame:
@@ -240,7 +242,7 @@ def digests(encoded: DataFrame, path: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     schema = f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    return map_arrow(encoded.select("doc_id", "ids"), run, schema)
+    return map_arrow(encoded.select("doc_id", "ids"), run, schema, keeps=True)
 
 
 def op7_bpe(spark, sf_dir: str) -> DataFrame:

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 import contextlib
 import ctypes
-import functools
 import os
 import tempfile
 import uuid
+import warnings
 import zipfile
 from collections.abc import Callable, Iterable, Iterator
 from pathlib import Path
@@ -30,14 +30,31 @@ BYTE_BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitor
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
 
+def _run_folder(spark: SparkSession) -> str:
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if base is None:
+        base = spark.conf.get("spark.sql.warehouse.dir")
+        if not spark.sparkContext.master.startswith("local"):
+            warnings.warn(f"spark.checkpoint.dir is not set: {base} must be a folder that all executors see", stacklevel=3)
+    return f"{base.rstrip('/')}/screenmart_llm/{spark.sparkContext.applicationId}"
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
     """A new folder that all executors see: below spark.checkpoint.dir, or the warehouse where that is unset."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
-    return f"{base.rstrip('/')}/screenmart_llm/{name}-{uuid.uuid4().hex}"
+    return f"{_run_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def remove_stored(spark: SparkSession) -> None:
+    """Remove all that this application's operators stored: for callers whose results are written or no longer read."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(_run_folder(spark))
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def stored(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
-    """The rows written once as Parquet in a shared folder and read back: cuts lineage, survives executors."""
+    """The rows written once as Parquet in a shared folder and read back: cuts lineage, survives executors.
+
+    The folder stays, for the DataFrame is lazy; ``remove_stored`` removes those of the application.
+    """
     path = shared_path(df.sparkSession, name)
     df.write.partitionBy(*partition_by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
@@ -78,8 +95,22 @@ def release() -> None:
         ctypes.CDLL(None).malloc_trim(0)
 
 
-def map_arrow(df: DataFrame, run: Callable, schema) -> DataFrame:
-    """``df.mapInArrow`` with this package at hand in the workers, in batches that bound their memory."""
+_kept: dict = {}
+
+
+def kept(key, make: Callable):
+    """What ``make`` returned for this key in this worker; another key replaces it."""
+    if key not in _kept:
+        _kept.clear()
+        _kept[key] = make()
+    return _kept[key]
+
+
+def map_arrow(df: DataFrame, run: Callable, schema, keeps: bool = False) -> DataFrame:
+    """``df.mapInArrow`` with this package at hand in the workers, in batches that bound their memory.
+
+    Workers serve one stage after the other: what another operator kept is let go unless ``run`` uses it.
+    """
     spark = df.sparkSession
     ship(spark)
     if spark.conf.get(BATCH_ROWS, None) is None:
@@ -92,6 +123,8 @@ def map_arrow(df: DataFrame, run: Callable, schema) -> DataFrame:
                 if k % 8 == 7:
                     release()
 
+        if not keeps:
+            _kept.clear()
         try:
             yield from run(each())
         finally:
@@ -121,25 +154,37 @@ def slices(texts: list[bytes | str], limit: int = 1 << 18) -> Iterator[tuple[int
         yield begin, len(texts)
 
 
-@functools.lru_cache(maxsize=4)
-def _powers(bits: int) -> tuple[np.ndarray, np.ndarray]:
-    def powers(base: int) -> np.ndarray:
-        out = np.full(1 << bits, base, dtype=np.uint64)
-        out[0] = 1
-        return np.multiply.accumulate(out)
+_tables: dict[str, tuple[np.ndarray, np.ndarray]] = {}
 
-    return powers(_BASE), powers(pow(_BASE, -1, ALL))
 
+def _length(name: str, size: int) -> int | None:
+    """The length of new tables, if those known are too short."""
+    known = _tables.get(name)
+    return None if known is not None and len(known[0]) >= size else 1 << max(16, size.bit_length())
 
-@functools.lru_cache(maxsize=4)
-def _prime_powers(bits: int) -> tuple[np.ndarray, np.ndarray]:
-    def powers(base: int) -> np.ndarray:
-        out = np.ones(1, dtype=np.uint64)
-        while len(out) < 1 << bits:
-            out = np.concatenate([out, out * np.uint64(pow(base, len(out), _PRIME)) % np.uint64(_PRIME)])
-        return out
 
-    return powers(_PRIME_BASE), powers(pow(_PRIME_BASE, -1, _PRIME))
+def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base and of its inverse, ``size`` at least; one pair of tables a process, grown as needed."""
+    length = _length("power", size)
+    if length:
+        _tables["power"] = tuple(np.full(length, base, dtype=np.uint64) for base in (_BASE, pow(_BASE, -1, ALL)))
+        for table in _tables["power"]:
+            table[0] = 1
+            np.multiply.accumulate(table, out=table)
+    return _tables["power"]
+
+
+def _prime_powers(size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The same in the prime field."""
+    length = _length("field", size)
+    if length:
+        _tables["field"] = tuple(np.ones(length, dtype=np.uint32) for _ in range(2))
+        for table, base in zip(_tables["field"], (_PRIME_BASE, pow(_PRIME_BASE, -1, _PRIME)), strict=True):
+            done = 1
+            while done < length:
+                table[done : 2 * done] = table[:done] * np.uint64(pow(base, done, _PRIME)) % np.uint64(_PRIME)
+                done *= 2
+    return _tables["field"]
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -152,27 +197,40 @@ def mix(h: np.ndarray) -> np.ndarray:
 class Spans:
     """64-bit hashes of units[start:end]; equal spans hash alike wherever they stand.
 
-    Prefix sums of unit * base**position, modulo 2**64 and modulo a prime; the inverse power moves a
-    span to position 0, so the cost does not depend on the spans' lengths. Equal hashes are no proof: see ``distinct_spans``.
+    Prefix sums of unit * base**position, modulo 2**64; the inverse power moves a span to position 0, so the cost
+    does not depend on the spans' lengths. Regular strings can clash, so these hashes serve where contents decide.
+    With ``field`` a second sum in a prime field joins, under which no two strings clash but by chance.
     """
 
-    def __init__(self, units: np.ndarray):
-        bits, prime = max(16, int(len(units) + 1).bit_length()), np.uint64(_PRIME)
-        power, self.inverse = _powers(bits)
-        in_field, self.inverse_in_field = _prime_powers(bits)
+    def __init__(self, units: np.ndarray, field: bool = False):
+        power, self.inverse = _powers(len(units) + 1)
         values = units.astype(np.uint64) + np.uint64(1)
-        self.sums, self.sums_in_field = np.zeros((2, len(units) + 1), dtype=np.uint64)
+        self.sums, self.sums_in_field = np.zeros(len(units) + 1, dtype=np.uint64), None
         np.cumsum(values * power[: len(units)], out=self.sums[1:])
-        np.cumsum(values * in_field[: len(units)] % prime, out=self.sums_in_field[1:])
+        if field:
+            power, self.inverse_in_field = _prime_powers(len(units) + 1)
+            values *= power[: len(units)]
+            values %= np.uint64(_PRIME)
+            self.sums_in_field = np.zeros(len(units) + 1, dtype=np.uint64)
+            np.cumsum(values, out=self.sums_in_field[1:])
 
     def hashes(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        prime = np.uint64(_PRIME)
         at_start = (self.sums[ends] - self.sums[starts]) * self.inverse[starts]
-        in_field = (self.sums_in_field[ends] - self.sums_in_field[starts]) % prime * self.inverse_in_field[starts] % prime
-        return mix(at_start + mix((ends - starts).astype(np.uint64) + (in_field << np.uint64(32))))
+        size = (ends - starts).astype(np.uint64)
+        if self.sums_in_field is not None:
+            prime = np.uint64(_PRIME)
+            in_field = (self.sums_in_field[ends] - self.sums_in_field[starts]) % prime * self.inverse_in_field[starts] % prime
+            size += in_field << np.uint64(32)
+        return mix(at_start + mix(size))
 
 
 def span_hashes(units: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hashes that stand for the contents."""
+    return Spans(units, field=True).hashes(starts, ends)
+
+
+def quick_hashes(units: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hashes that bring equal contents together."""
     return Spans(units).hashes(starts, ends)
 
 
@@ -196,7 +254,7 @@ def distinct_spans(
     Hashes only bring equal spans together; units decide. Where contents clash in a hash, the
     later one is told apart and listed under the same hash.
     """
-    hashes = span_hashes(units, starts, ends) if hashes is None else hashes
+    hashes = quick_hashes(units, starts, ends) if hashes is None else hashes
     known, where, back = np.unique(hashes, return_index=True, return_inverse=True)
     lengths = ends - starts
     first = where[back]

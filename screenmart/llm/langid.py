@@ -76,7 +76,7 @@ def gram_counts(labelled: DataFrame) -> DataFrame:
             texts, langs = batch.column(0).to_pylist(), np.array(batch.column(1).to_pylist(), dtype=object)
             for lang in sorted(set(langs)):
                 chosen = [texts[i] or "" for i in np.flatnonzero(langs == lang)]
-                for begin, end in slices(chosen, 4 << 20):
+                for begin, end in slices(chosen, 1 << 20):
                     joined, units, starts, ends, _ = letter_words(chosen[begin:end])
                     _, at, back = distinct_spans(units, starts, ends)
                     times = np.bincount(back, minlength=len(at))

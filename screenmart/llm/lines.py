@@ -38,7 +38,9 @@ def dedup_lines(docs: DataFrame, least_docs: int = 10, least_chars: int = 1, nam
     lines = F.split(text, "\n", -1)
     same = F.xxhash64(text)
     key = line_key(F.col("line"))
-    exploded = docs.select("doc_id", same.alias("_same"), F.posexplode(lines).alias("pos", "line"))
+    # The text is hashed and split before its lines are laid out, not once for each of them.
+    split = docs.select("doc_id", same.alias("_same"), lines.alias("_lines"))
+    exploded = split.select("doc_id", "_same", F.posexplode("_lines").alias("pos", "line"))
     # Two seeds: the second hash runs over the key and its length.
     hashed = exploded.where(F.length(key) >= least_chars).select(
         "doc_id", "_same", "pos", F.xxhash64(key).alias("h"), F.xxhash64(F.length(key), key).alias("g")

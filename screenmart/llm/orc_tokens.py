@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import functools
 import re
 import zlib
 from collections.abc import Iterator
@@ -12,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from screenmart.llm.common import documents, map_arrow, shared_path, slices
+from screenmart.llm.common import documents, kept, map_arrow, shared_path, slices
 from screenmart.llm.pieces import Encoded
 
 END = 2
@@ -56,8 +55,11 @@ class Coded:
         return ids, np.add.reduceat(sizes, firsts)
 
 
-@functools.lru_cache(maxsize=2)
 def _loaded(path: str) -> Coded:
+    return kept(("tokenizer", path), lambda: _load(path))
+
+
+def _load(path: str) -> Coded:
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
@@ -102,7 +104,7 @@ def write(docs: DataFrame, tokenizer: str, path: str, end: int = END) -> None:
                 yield pa.RecordBatch.from_arrays([batch.column(0)[a:b], lists], ["doc_id", "ids"])
 
     ordered = docs.select("doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id")
-    coded = map_arrow(ordered, run, f"doc_id {kind}, ids array<int>")
+    coded = map_arrow(ordered, run, f"doc_id {kind}, ids array<int>", keeps=True)
     coded.select("doc_id", F.monotonically_increasing_id().alias("row"), "ids").write.options(**ORC_OPTIONS).orc(path)
 
 

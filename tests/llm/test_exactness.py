@@ -24,7 +24,7 @@ def by_length_only(units, starts, ends):
 @pytest.fixture
 def weak(monkeypatch):
     """All hashing replaced by one that clashes all the time."""
-    monkeypatch.setattr(common, "span_hashes", by_length_only)
+    monkeypatch.setattr(common, "quick_hashes", by_length_only)
 
 
 def test_regular_strings_do_not_clash():

@@ -117,7 +117,7 @@ def talk():
     return rows
 
 
-@pytest.mark.parametrize("sample", [16, 1, 10**9])
+@pytest.mark.parametrize("sample", [8, 1, 10**9])
 def test_collocations(spark, talk, monkeypatch, sample):
     """With all, some or none of the documents in the sample; the last takes a pass for every length."""
     monkeypatch.setattr(phrases, "SAMPLE", sample)
@@ -160,7 +160,7 @@ def test_a_full_filter_counts_more_and_loses_nothing(spark, talk, monkeypatch):
 
 
 def thue_morse(n):
-    """A word and its complement that clash in every hash that sums units times powers modulo 2**64."""
+    """A word and its complement that clash in any hash that sums units times powers modulo 2**64."""
     word = "".join("ab"[bin(k).count("1") % 2] for k in range(n))
     return word, word.translate(str.maketrans("ab", "ba"))
 
@@ -172,7 +172,6 @@ def test_distinct_spans_tell_clashing_contents_apart():
     units = np.frombuffer(text, dtype=np.uint8)
     ends = np.cumsum([len(w) + 1 for w in words]) - 1
     starts = ends - [len(w) for w in words]
-    assert common.span_hashes(units, starts, ends)[0] == common.span_hashes(units, starts, ends)[1]
     hashes, where, back = common.distinct_spans(units, starts, ends)
     assert len(where) == 4 and (np.diff(hashes.astype(object)) >= 0).all()
     assert [words[where[k]] for k in back] == words
