@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: First ranges: parts of a doubling of the value. No range spans more than 2 ** (1 / STEPS).
-STEPS = 64
+STEPS = 1024
 #: Ranges that a round cuts the one with the middle rank into.
 BUCKETS = 1 << 16
 
@@ -40,13 +40,14 @@ def _targets(buckets: DataFrame, keys: list[str]) -> DataFrame:
     return reached.select(*[F.col(k).alias(f"_t{k}") for k in keys], "_which", within, "_low", "_high")
 
 
-def exact_medians(df: DataFrame, values: Mapping[str, Column], by: list[str] | None = None, rounds: int = 1) -> DataFrame:
+def exact_medians(df: DataFrame, values: Mapping[str, Column], by: list[str] | None = None, rounds: int = 0) -> DataFrame:
     """(by..., metric, median): the continuous 0.5 quantile of each value, per group, NULLs ignored.
 
     All metrics are read in one scan and counted by value. Their two middle ranks are then looked for together: the
-    ranges of values that hold them are found from counts per range, cut anew (``rounds`` times), and only what lies in the last
-    ones is ordered. A window sees at most 2 * 1024 * STEPS ranges of a group, or BUCKETS, or the distinct values between two numbers that
-    are 1 / (STEPS * BUCKETS ** rounds) of their size apart. Any cuts give the exact answer. Without rows there are no groups.
+    ranges of values that hold them are found from counts per range, cut anew if asked (``rounds`` times), and only what lies in the
+    last ones is ordered. A window sees at most 2 * 1024 * STEPS ranges of a group, or BUCKETS, or the distinct values between two
+    numbers that are 1 / (STEPS * BUCKETS ** rounds) of their size apart: of a thousand million evenly spread values half a million,
+    and eight with one round. Any cuts give the exact answer. Without rows there are no groups.
     """
     keys = [*(by or []), "_metric"]
     named = F.array(*[F.struct(F.lit(name).alias("_metric"), value.cast("double").alias("_v")) for name, value in values.items()])
