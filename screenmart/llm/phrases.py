@@ -1,4 +1,4 @@
-"""Phrase collocations by Toivonen mining: a sample proposes, full passes count exactly until nothing is missed."""
+"""Phrase collocations by Toivonen mining: a sample proposes, a full pass counts, and misses are expanded until closed."""
 
 from __future__ import annotations
 
@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from screenmart.llm.common import ALL, LOWER, distinct_spans, documents, map_arrow, mix, ranges, span_hashes, stored
+from screenmart.llm.common import ALL, LOWER, Spans, distinct_spans, documents, map_arrow, mix, ranges, stored
 
 #: Characters that end a piece; no phrase crosses them.
 BREAKS = b".,;:!?\n\x0b\x0c\r"
@@ -19,7 +19,7 @@ SAMPLE = 16
 FILTER_BITS = 1 << 26
 PROBES = 4
 #: Bytes of text whose phrases a task reduces at once.
-CHUNK = 4 << 20
+CHUNK = 1 << 20
 SALTS = 32
 
 _KIND = np.zeros(256, dtype=np.uint8)  # 0: of a word, 1: between words, 2: between pieces
@@ -62,13 +62,10 @@ class Words:
         last = np.searchsorted(piece, piece, "right")
         #: Words from here to the end of the piece, this one included.
         self.left = last - np.arange(self.n)
-
-    def at(self, width: int) -> np.ndarray:
-        """Where phrases of ``width`` words begin."""
-        return np.flatnonzero(self.left >= width)
+        self.spans = Spans(self.units)
 
     def hashes(self, starts: np.ndarray, width: int) -> np.ndarray:
-        return span_hashes(self.units, self.starts[starts], self.ends[starts + width - 1])
+        return self.spans.hashes(self.starts[starts], self.ends[starts + width - 1])
 
     def strings(self, starts: np.ndarray, width: int) -> pa.Array:
         begin, end = self.starts[starts], self.ends[starts + width - 1]
@@ -77,22 +74,25 @@ class Words:
 
 
 class Filter:
-    """A Bloom filter over (language, phrase) hashes: knows all that were added, and a few more."""
+    """A Bloom filter over (language, phrase) hashes: knows all that were added, and a few more.
+
+    The PROBES bits of a hash lie in one 64-bit word, so a question costs one read.
+    """
 
     def __init__(self, bits: np.ndarray):
         self.bits = bits
 
     @staticmethod
-    def probes(hashes: np.ndarray, size: int) -> Iterator[np.ndarray]:
-        step = mix(hashes) | np.uint64(1)
+    def place(hashes: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """The word that a hash belongs to and its bits there."""
+        mask = np.zeros(len(hashes), dtype=np.uint64)
         for k in range(PROBES):
-            yield (hashes + np.uint64(k) * step) & np.uint64(size - 1)
+            mask |= np.uint64(1) << (hashes >> np.uint64(6 * k) & np.uint64(63))
+        return (hashes >> np.uint64(6 * PROBES) & np.uint64(size // 64 - 1)).astype(np.int64), mask
 
     def has(self, hashes: np.ndarray) -> np.ndarray:
-        out = np.ones(len(hashes), dtype=bool)
-        for at in self.probes(hashes, 64 * len(self.bits)):
-            out &= (self.bits[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1) == 1
-        return out
+        at, mask = self.place(hashes, 64 * len(self.bits))
+        return self.bits[at] & mask == mask
 
 
 def keyed(lang: str, hashes: np.ndarray) -> np.ndarray:
@@ -101,55 +101,103 @@ def keyed(lang: str, hashes: np.ndarray) -> np.ndarray:
     return mix(hashes ^ mix(np.array([seed], dtype=np.uint64)))
 
 
-def phrase_counts(words: Words, lang: str, widths: range, known: Filter | None, before: Filter | None) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def known_parts(words: Words, lang: str, longest: int, known: Filter, near: np.ndarray) -> dict[int, np.ndarray]:
+    """For each width from 2 on: where phrases begin whose first and last width - 1 words are both known.
+
+    A word is known if the filter has it, a phrase if it has both of these parts and the filter has it. Only places ``near`` count.
+    """
+    out, tried = {}, np.flatnonzero(near)
+    for width in range(1, longest):
+        has = np.zeros(words.n + 1, dtype=bool)
+        has[tried] = known.has(keyed(lang, words.hashes(tried, width)))
+        out[width + 1] = has[:-1] & has[1:] & (words.left > width)
+        tried = np.flatnonzero(out[width + 1])
+    return out
+
+
+def of_words(lang: str) -> str:
+    """The language under which a filter holds the words of its phrases."""
+    return f"{lang}\0"
+
+
+def holds_missed(words: Words, lang: str, longest: int, missed: Filter) -> dict[int, np.ndarray]:
+    """For each width from 2 on: where phrases begin that hold a missed phrase of any width below."""
+    plain = words.hashes(np.arange(words.n), 1)
+    part = np.zeros(words.n + 1, dtype=bool)
+    part[:-1] = missed.has(keyed(of_words(lang), plain))
+    all_parts, holds = part[:-1], np.zeros(words.n + 1, dtype=bool)
+    out = {}
+    for width in range(1, longest):
+        # Only where all words stand in some missed phrase can one begin.
+        at = np.flatnonzero(all_parts & (words.left >= width))
+        found = np.zeros(words.n + 1, dtype=bool)
+        found[at] = missed.has(keyed(lang, words.hashes(at, width)))
+        holds |= found
+        holds[:-1] |= holds[1:]  # now for phrases of one word more
+        out[width + 1] = holds[:-1] & (words.left > width)
+        all_parts = all_parts & np.concatenate([part[width:-1], np.zeros(min(width, words.n), dtype=bool)])
+    return out
+
+
+def phrase_counts(words: Words, lang: str, widths: range, known: Filter | None, missed: Filter | None) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(width, a start of each phrase, its count) of the phrases to be counted.
 
     Without ``known`` these are all of the given widths. With it, words, and longer phrases whose first and last
-    width - 1 words are both known: the proposed phrases and their border. ``before`` leaves out what an earlier pass counted.
+    width - 1 words are both known: the proposed phrases and their border. With ``missed``, what holds a missed phrase, is
+    made of known or missed words, and was not counted before.
     """
-    _, where, word = distinct_spans(words.units, words.starts, words.ends)
-    wanted: dict[int, np.ndarray] = {}
-    for width in widths:
-        if width == 1:
-            if before is None:
-                wanted[1] = np.ones(words.n, dtype=bool)
-            continue
-        wanted[width] = words.left >= width
-        for flt, keep in ((known, True), (before, False)):
-            if flt is None:
-                continue
-            inner = np.zeros(words.n + 1, dtype=bool)
-            at = words.at(width - 1)
-            inner[at] = flt.has(keyed(lang, words.hashes(at, width - 1)))
-            both = inner[:-1] & inner[1:]
-            wanted[width] &= both if keep else ~both
-    # Ids of shorter phrases are needed wherever a longer one is wanted.
-    ids, needed = word.astype(np.int64), {}
-    cover = np.zeros(words.n, dtype=bool)
+    longest = max(widths)
+    if known is None:
+        wanted = {width: words.left >= width for width in widths}
+    elif missed is None:
+        wanted = known_parts(words, lang, longest, known, np.ones(words.n, dtype=bool))
+        wanted[1] = np.ones(words.n, dtype=bool)
+    else:
+        wanted = holds_missed(words, lang, longest, missed)
+        near = np.zeros(words.n, dtype=bool)
+        for width, places in wanted.items():
+            for k in range(width):
+                near[k:] |= places[: words.n - k]
+        at = np.flatnonzero(near)
+        hashes = keyed(lang, words.hashes(at, 1))
+        usable = np.zeros(words.n, dtype=bool)
+        usable[at] = known.has(hashes) | missed.has(hashes)
+        counted_before = known_parts(words, lang, longest, known, near)
+        for width, places in wanted.items():
+            for k in range(width):
+                places[: words.n - k] &= usable[k:]
+            wanted[width] = places & ~counted_before[width]
+    # Ids of the words and shorter phrases are needed wherever a longer one is wanted.
+    needed, cover = {}, np.zeros(words.n, dtype=bool)
     for width in sorted(wanted, reverse=True):
         cover = cover | wanted[width]
-        needed[width] = cover
-    for width in range(1, max(wanted, default=0) + 1):
-        if width == 1:
-            if 1 in wanted:
-                yield 1, where, np.bincount(word, minlength=len(where))
-            continue
-        at = np.flatnonzero(needed.get(width, cover))
-        pairs = ids[at] * len(where) + word[at + width - 1]
-        _, first, back = np.unique(pairs, return_index=True, return_inverse=True)
-        ids = np.full(words.n, -1, dtype=np.int64)
+        needed[width] = np.flatnonzero(cover)
+    touched = cover.copy()
+    for width, places in wanted.items():
+        for k in range(1, width):
+            touched[k:] |= places[: words.n - k]
+    at = np.flatnonzero(touched)
+    _, where, back = distinct_spans(words.units, words.starts[at], words.ends[at], words.hashes(at, 1))
+    word, ids = np.zeros(words.n, dtype=np.int64), np.zeros(words.n, dtype=np.int64)
+    word[at] = ids[at] = back
+    if 1 in wanted:
+        yield 1, at[where], np.bincount(back, minlength=len(where))
+    for width in range(2, longest + 1):
+        at = needed[width]
+        if not len(at):
+            return
+        _, first, back = np.unique(ids[at] * len(where) + word[at + width - 1], return_index=True, return_inverse=True)
         ids[at] = back
-        if width in wanted:
-            counts = np.bincount(back[wanted[width][at]], minlength=len(first))
-            some = np.flatnonzero(counts)
-            yield width, at[first[some]], counts[some]
+        counts = np.bincount(back[wanted[width][at]], minlength=len(first))
+        some = np.flatnonzero(counts)
+        yield width, at[first[some]], counts[some]
 
 
-def counted(rows: DataFrame, widths: range, known=None, before=None) -> DataFrame:
+def counted(rows: DataFrame, widths: range, known=None, missed=None) -> DataFrame:
     """(lang, phrase, c): exact counts over all rows; the phrase '' holds the number of words, if words are counted."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        filters = [None if f is None else Filter(f.value) for f in (known, before)]
+        filters = [None if f is None else Filter(f.value) for f in (known, missed)]
         waiting: dict[str, list[bytes]] = {}
         sizes: dict[str, int] = {}
 
@@ -158,7 +206,7 @@ def counted(rows: DataFrame, widths: range, known=None, before=None) -> DataFram
             sizes.pop(lang)
             if words.n == 0:
                 return
-            out = [(pa.array([""]), np.array([words.n]))] if before is None and 1 in widths else []
+            out = [(pa.array([""]), np.array([words.n]))] if missed is None else []
             out += [(words.strings(at, width), counts) for width, at, counts in phrase_counts(words, lang, widths, *filters)]
             for phrases, counts in out:
                 named = pa.DictionaryArray.from_arrays(pa.array(np.zeros(len(phrases), np.int8)), pa.array([lang])).dictionary_decode()
@@ -171,7 +219,7 @@ def counted(rows: DataFrame, widths: range, known=None, before=None) -> DataFram
                     sizes[lang] = sizes.get(lang, 0) + len(part)
                     if sizes[lang] >= CHUNK:
                         yield from reduce(lang)
-                    elif sum(sizes.values()) >= 2 * CHUNK:
+                    elif sum(sizes.values()) >= 4 * CHUNK:
                         yield from reduce(max(sizes, key=sizes.get))
         for lang in list(waiting):
             yield from reduce(lang)
@@ -185,7 +233,7 @@ def phrase_hashes(batch: pa.RecordBatch) -> np.ndarray:
     texts = [p.encode("utf-8", "surrogatepass") for p in batch.column(1).to_pylist()]
     lengths = np.fromiter(map(len, texts), dtype=np.int64, count=len(texts))
     starts = np.cumsum(lengths) - lengths
-    plain = span_hashes(np.frombuffer(b"".join(texts), dtype=np.uint8), starts, starts + lengths)
+    plain = Spans(np.frombuffer(b"".join(texts), dtype=np.uint8)).hashes(starts, starts + lengths)
     langs = batch.column(0).to_pylist()
     out = np.empty(len(texts), dtype=np.uint64)
     for lang in set(langs):
@@ -194,18 +242,22 @@ def phrase_hashes(batch: pa.RecordBatch) -> np.ndarray:
     return out
 
 
-def with_phrases(phrases: DataFrame, bits: np.ndarray) -> np.ndarray:
-    """The filter with the phrases (lang, phrase) added; at most FILTER_BITS reach the driver."""
+def filter_of(phrases: DataFrame, with_words: bool = False) -> np.ndarray:
+    """The bits of a filter of the phrases (lang, phrase), at will also of their words; at most FILTER_BITS reach the driver."""
+    rows = phrases.select("lang", "phrase")
+    if with_words:
+        marked = F.concat("lang", F.lit(of_words(""))).alias("lang")
+        rows = rows.unionByName(phrases.select(marked, F.explode(F.split("phrase", " ")).alias("phrase")).distinct())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at = np.concatenate([*Filter.probes(phrase_hashes(batch), FILTER_BITS)])
-            columns = [pa.array((at >> np.uint64(6)).astype(np.int32)), pa.array((np.uint64(1) << (at & np.uint64(63))).view(np.int64))]
+            at, mask = Filter.place(phrase_hashes(batch), FILTER_BITS)
+            columns = [pa.array(at.astype(np.int32)), pa.array(mask.view(np.int64))]
             yield pa.RecordBatch.from_arrays(columns, ["slot", "bits"])
 
-    slots = map_arrow(phrases.select("lang", "phrase"), run, "slot int, bits long").groupBy("slot").agg(F.bit_or("bits").alias("bits")).toArrow()
-    out = bits.copy()
-    out[slots["slot"].to_numpy()] |= slots["bits"].to_numpy().astype(np.int64).view(np.uint64)
+    slots = map_arrow(rows, run, "slot int, bits long").groupBy("slot").agg(F.bit_or("bits").alias("bits")).toArrow()
+    out = np.zeros(FILTER_BITS // 64, dtype=np.uint64)
+    out[slots["slot"].to_numpy()] = slots["bits"].to_numpy().astype(np.int64).view(np.uint64)
     return out
 
 
@@ -226,35 +278,31 @@ def width_of(phrase: str = "phrase") -> Column:
 def frequent_phrases(docs: DataFrame, least: int = 100, longest: int = 5) -> tuple[DataFrame, DataFrame]:
     """((lang, phrase, a), (lang, n)): all phrases of 1 to ``longest`` words that occur ``least`` times or more, and word totals.
 
-    One document in SAMPLE proposes phrases, at a support lowered to half of its share. The first full pass counts all words,
+    One document in SAMPLE proposes phrases, at a support lowered to half of its share. The full pass counts all words,
     the proposed phrases and their negative border: what is not proposed but has proposed first and last parts, wherever
-    it occurs. A frequent phrase outside the proposed ones is a miss; misses are added, and a further pass counts
-    only what became border by them. When a pass brings no miss the frequent set is closed: both parts of any frequent
-    phrase are frequent, so known, so it was counted. Each pass is over all documents and lengthens the
-    shortest phrase that can still be missed, so there are at most ``longest``.
+    it occurs. A frequent phrase among these that was not proposed is a miss, and failures of the border are expanded: a further
+    pass over all documents counts every phrase around a miss that was not counted yet. That closes the set. For let a
+    frequent phrase not be counted in the full pass; of its parts that are not proposed take a shortest one. All parts of
+    that one are proposed, so it was counted, is frequent, and is a miss; so the phrase holds a miss and is counted now.
+    Filters may take more phrases for proposed or missed than there are; what is counted is still decided by the phrase
+    alone, in one pass, over all documents.
     """
     spark = docs.sparkSession
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), text.alias("text"), F.pmod(F.xxhash64("doc_id", text), F.lit(SAMPLE)).alias("part"))
     support = max(2, least // (2 * SAMPLE))
     proposed = stored(counted(rows.where("part = 0"), range(1, longest)).where((F.col("c") >= support) & (F.col("phrase") != "")), "proposed_phrases")
-    bits = with_phrases(proposed, np.zeros(FILTER_BITS // 64, dtype=np.uint64))
-    known, before, found = spark.sparkContext.broadcast(bits), None, []
-    while True:
-        counts = counted(rows, range(1, longest + 1), known, before)
-        counts = stored(counts.where((F.col("c") >= least) | (F.col("phrase") == "")), "phrase_counts")
-        found.append(counts.where(F.col("c") >= least).where(F.col("phrase") != ""))
-        if before is None:
-            totals = stored(counts.where(F.col("phrase") == "").select("lang", F.col("c").alias("n")), "word_totals")
-        missed = stored(not_in(found[-1].where(width_of() < longest), known), "missed_phrases")
-        if missed.isEmpty():
-            break
-        bits = with_phrases(missed, bits)
-        known, before = spark.sparkContext.broadcast(bits), known
-    everything = found[0]
-    for more in found[1:]:
-        everything = everything.unionByName(more)
-    return everything.withColumnRenamed("c", "a"), totals
+    known = spark.sparkContext.broadcast(filter_of(proposed))
+    counts = counted(rows, range(1, longest + 1), known)
+    counts = stored(counts.where((F.col("c") >= least) | (F.col("phrase") == "")), "phrase_counts")
+    totals = stored(counts.where(F.col("phrase") == "").select("lang", F.col("c").alias("n")), "word_totals")
+    frequent = counts.where((F.col("c") >= least) & (F.col("phrase") != ""))
+    misses = stored(not_in(frequent.where(width_of() < longest), known), "missed_phrases")
+    if not misses.isEmpty():
+        missed = spark.sparkContext.broadcast(filter_of(misses, with_words=True))
+        more = counted(rows, range(1, longest + 1), known, missed).where(F.col("c") >= least)
+        frequent = frequent.unionByName(stored(more, "expanded_phrases"))
+    return frequent.withColumnRenamed("c", "a"), totals
 
 
 def _exact(*factors: str) -> Column:
