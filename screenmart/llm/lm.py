@@ -264,7 +264,8 @@ def score(docs: DataFrame, train: str = "train", tune_share: int = 10) -> DataFr
     tuned = made.where(F.col("use") == TUNED)
     of_tuned = answers.join(tuned.select("block"), "block", "left_semi")
     found = tuned.groupBy("block").cogroup(of_tuned.groupBy("block")).applyInPandas(cells, "bucket int, pair double, word double, n long")
-    events = stored(found.groupBy("bucket", "pair", "word").agg(F.sum("n").alias("n")), "lm_held_out")
+    # In few files: each step of the weights reads all of them.
+    events = stored(found.groupBy("bucket", "pair", "word").agg(F.sum("n").alias("n")).hint("rebalance"), "lm_held_out")
     uniform = 1 / (distinct + 1)
     mixture = weights(events, uniform)
     smooth = np.log10(tokens + 0.5 * (distinct + 1))
