@@ -14,6 +14,7 @@ MODULES = (relational, event_staging, event_marts, distinct_marts, firstgen)
 
 # Read by several marts, so written once before them.
 SHARED = [
+    "stg_latest_eligibility_snapshot",
     "stg_program_eligibility",
     "int_ga4_page_views",
     "int_ga4_sessions",
@@ -29,7 +30,7 @@ def relational_order() -> list[str]:
     """The screen mart comes first: its children read the written table."""
     marts = [n for n, d in REGISTRY.items() if d.fn.__module__ == relational.__name__ and d.layer == "mart"]
     marts.remove("mart_screener_data")
-    return ["stg_program_eligibility", "mart_screener_data", *marts]
+    return ["stg_latest_eligibility_snapshot", "stg_program_eligibility", "mart_screener_data", *marts]
 
 
 def event_order() -> list[str]:

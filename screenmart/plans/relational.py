@@ -99,14 +99,27 @@ def stg_income(c: Catalog) -> DataFrame:
     return c.source("screener_incomestream")
 
 
-@dataset("staging", grain=["screen_id"])
+#: Sorts after every day that a snapshot can have.
+_UNDATED = 2**63 - 1
+
+
+@dataset("rows", grain=["screen_id"])
 def stg_latest_eligibility_snapshot(c: Catalog) -> DataFrame:
-    """Newest snapshot per screen; an undated one counts as newest, ties go to the larger id."""
-    snapshots = c.source("screener_eligibilitysnapshot")
-    order = F.struct(F.col("submission_date").isNull(), "submission_date", "id")
-    return snapshots.groupBy("screen_id").agg(
-        F.max_by("id", order).alias("latest_snapshot_id"), F.countDistinct("id").alias("snapshots")
-    )
+    """Newest snapshot per screen; an undated one counts as newest, ties go to the larger id.
+
+    The rows of a screen meet once, and repeated ids are folded where they lie. Snapshots without a screen are one
+    group of any size, so they are folded per id first.
+    """
+    newest = F.coalesce(F.unix_micros("submission_date"), F.lit(_UNDATED)).alias("newest")
+    snapshots = c.source("screener_eligibilitysnapshot").select("screen_id", "id", newest)
+
+    def folded(rows: DataFrame) -> DataFrame:
+        per_id = rows.groupBy("screen_id", "id").agg(F.max("newest").alias("newest"))
+        last = F.max_by("id", F.struct("newest", "id")).alias("latest_snapshot_id")
+        return per_id.groupBy("screen_id").agg(last, F.count("id").alias("snapshots"))
+
+    known = snapshots.where(F.col("screen_id").isNotNull()).repartition("screen_id")
+    return folded(known).unionByName(folded(snapshots.where(F.col("screen_id").isNull())))
 
 
 def _per_month(df: DataFrame, out: str) -> DataFrame:

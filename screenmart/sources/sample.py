@@ -510,6 +510,16 @@ STATEMENTS = {
 }
 
 
+#: Statements that several raw tables are cut out of. They are stored once; the tables are projections of what is stored.
+BASES = ["order_base", "line_base"]
+#: Raw tables with a row per row of a base or of a sample table: nothing is shuffled or written for them.
+VIEWS = [
+    "screener_screen", "screener_householdmember", "screener_incomestream", "screener_expense",
+    "screener_eligibilitysnapshot", "screener_programeligibilitysnapshot", "screener_current_benefits",
+    "screener_energycalculatorscreen",
+]
+
+
 def _placeholders(text: str) -> list[str]:
     names = [*RAW_TABLES, *STATEMENTS]
     return [n for n in names if "{" + n + "}" in text]
@@ -518,12 +528,27 @@ def _placeholders(text: str) -> list[str]:
 def _run(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if name in RAW_TABLES:
         return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    if name in BASES:
+        return _base(spark, sf_dir, name)
+    return _select(spark, sf_dir, name)
+
+
+def _select(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     text = STATEMENTS[name]
     for key, sql in SPARK_DIALECT.items():
         text = text.replace("{" + key + "}", sql)
     return spark.sql(text, **{n: _run(spark, sf_dir, n) for n in _placeholders(text)})
 
 
+def _base(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A base as stored Parquet, written on first use in this application."""
+    path = f"{_landing_folder(spark, sf_dir)}/{name}"
+    rows = _select(spark, sf_dir, name)
+    if path not in _landed:
+        _landed[path] = write_table(rows, path)
+    return spark.read.schema(rows.schema).parquet(_landed[path])
+
+
 def _param_entry(name: str) -> str:
     kinds = EVENT_PARAMS[name]
 
@@ -601,19 +626,21 @@ _landed: dict[str, str] = {}
 
 
 def _land(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The raw table as stored Parquet, written on first use in this application."""
+    """The raw table: a view of a stored base, or stored Parquet written on first use in this application."""
     path = f"{_landing_folder(spark, sf_dir)}/{name}"
     declared = struct_type(name)
-    if path not in _landed:
-        if name == "events":
+    if name == "events":
+        if path not in _landed:
             # Split by name within the day, as the backfill stores them: a family reads its own folders.
             packed = pack_events(_run(spark, sf_dir, "flat_events"))
             _landed[path] = write_table(packed, path, ["event_date", "event_name"])
-        else:
-            # One generic table arrives as one file; spread it so that scans are parallel.
-            casts = [f"cast({f.name} as {f.dataType.simpleString()}) as {f.name}" for f in declared]
-            rows = _run(spark, sf_dir, name).selectExpr(*casts)
-            _landed[path] = write_table(rows.repartition(spark.sparkContext.defaultParallelism, "id"), path)
+        return spark.read.schema(declared).parquet(_landed[path])
+    if name in VIEWS or path not in _landed:
+        casts = [f"cast({f.name} as {f.dataType.simpleString()}) as {f.name}" for f in declared]
+        rows = _run(spark, sf_dir, name).selectExpr(*casts)
+        if name in VIEWS:
+            return rows
+        _landed[path] = write_table(rows, path)
     return spark.read.schema(declared).parquet(_landed[path])
 
 

@@ -22,7 +22,8 @@ def write_table(
 ) -> str:
     """Write a new version below ``path`` and return its folder.
 
-    Rows are clustered for pruning and row-group statistics. A version is a folder of its own, named by
+    Rows are clustered for pruning and row-group statistics. Tables split by day have many folders and are dealt out by
+    them; those that are also sorted are split by tenant, into few, and each task writes its rows to them where they lie. A version is a folder of its own, named by
     time and complete only with its ``_SUCCESS`` file; older versions stay as they are, so readers of the last
     one are undisturbed while a build runs or after it fails. ``drop_old_versions`` removes them.
 
@@ -31,9 +32,9 @@ def write_table(
     """
     partition_by, sort_by = list(partition_by), list(sort_by)
     version = f"{path}/v{time.time_ns():020d}"
-    if partition_by:
+    if partition_by and not sort_by:
         out = df.hint("rebalance", *partition_by)
-    elif sort_by:
+    elif sort_by and not partition_by:
         out = df.repartitionByRange(*sort_by)  # files hold ranges, so their statistics prune
     else:
         out = df
