@@ -443,11 +443,22 @@ def backfilled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored.groupBy("event_date").agg(F.count(F.lit(1)).alias("n_events"))
 
 
+#: Bytes of orders and lines, as given, that make one bucket.
+BUCKET_BYTES = 2_500_000
+
+
+def bucket_count(n_bytes: int) -> int:
+    """Buckets that stay small enough to sort in memory; from 200 on joins to wider exchanges leave them where they are."""
+    return max(8, -(-n_bytes // BUCKET_BYTES))
+
+
 def bucketed(spark: SparkSession, sf_dir: str) -> BucketedCatalog:
     """The sample's screens and what hangs on them, stored in buckets by screen."""
     whole = sample_catalog(tune(spark), sf_dir, SAMPLE_OPTIONS)
     folder = scratch_folder(spark, sf_dir, "buckets")
-    return BucketedCatalog(spark, whole.sources, SAMPLE_OPTIONS, store=folder, names=f"b{abs(hash(folder)) % 10**9}", buckets=8)
+    given = [spark._jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/{name}.parquet") for name in ("orders", "lineitem")]
+    n_bytes = sum(p.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(p).getLength() for p in given)
+    return BucketedCatalog(spark, whole.sources, SAMPLE_OPTIONS, store=folder, names=f"b{abs(hash(folder)) % 10**9}", buckets=bucket_count(n_bytes))
 
 
 STORED: dict[str, Query] = {

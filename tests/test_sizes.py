@@ -5,7 +5,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from screenmart.queries import SAMPLE_OPTIONS
+from screenmart.queries import SAMPLE_OPTIONS, bucket_count
 from screenmart.session import tune
 from screenmart.sources import sample
 from screenmart.sources.sinks import write_table
@@ -102,3 +102,8 @@ def test_exchanges_start_wide_on_a_narrow_cluster(spark):
         assert "hashpartitioning(k" in plan_of(counted) and ", 200)" in plan_of(counted)
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", width)
+
+
+def test_buckets_grow_with_the_input():
+    assert bucket_count(0) == bucket_count(13_000_000) == 8
+    assert bucket_count(600_000_000) == 240 and bucket_count(6_000_000_000) == 2400
