@@ -9,15 +9,18 @@ from collections.abc import Iterator
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from screenmart.llm.common import documents, kept, map_arrow, slices
+from screenmart.llm.common import cuts, documents, kept, map_arrow
 from screenmart.llm.pieces import Encoded
 
 #: Pair verdicts that a worker remembers before it starts afresh.
-PAIRS = 400_000
+PAIRS = 100_000
+#: Pieces that a worker remembers, some 100 bytes each; an executor has two workers for each core, one encoding and one decoding.
+PIECES = 200_000
 
 
 class Irregular(Exception):
@@ -191,7 +194,7 @@ def _load(path: str) -> tuple[Bpe, Encoded]:
     with open(path, "rb") as lines:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
     bpe = Bpe(ranks)
-    return bpe, Encoded(lambda pieces: [bpe.encode(p.encode("utf-8", "surrogatepass")) for p in pieces])
+    return bpe, Encoded(lambda pieces: [bpe.encode(p.encode("utf-8", "surrogatepass")) for p in pieces], most=PIECES)
 
 
 def default_ranks() -> str:
@@ -213,12 +216,11 @@ def encode(docs: DataFrame, path: str, column: str = "ids") -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         _, encoded = _loaded(path)
         for batch in batches:
-            texts = [t or "" for t in batch.column(at).to_pylist()]
-            for begin, end in slices(texts):
-                ids, sizes = encoded.texts(texts[begin:end])
+            for begin, end in cuts(pc.binary_length(batch.column(at)).fill_null(0).to_pylist()):
+                part = batch.slice(begin, end - begin)
+                ids, sizes = encoded.texts([t or "" for t in part.column(at).to_pylist()])
                 offsets = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids))
-                part = batch.slice(begin, end - begin)
                 yield pa.RecordBatch.from_arrays([*part.columns, lists], schema.names)
 
     return map_arrow(docs, run, schema, keeps=True)
@@ -231,15 +233,15 @@ def digests(encoded: DataFrame, path: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe, _ = _loaded(path)
         sha = hashlib.sha256
+
+        def digest(found: pa.ListScalar) -> tuple[int, str, str]:
+            ids = np.asarray(found.values).tolist() if found.is_valid else []
+            return len(ids), sha(",".join(map(str, ids)).encode()).hexdigest(), sha(bpe.decode(ids)).hexdigest()
+
         for batch in batches:
-            lists = [np.asarray(x.values).tolist() if x.is_valid else [] for x in batch.column(1)]
-            columns = [
-                batch.column(0),
-                pa.array([len(x) for x in lists], pa.int64()),
-                pa.array([sha(",".join(map(str, x)).encode()).hexdigest() for x in lists], pa.string()),
-                pa.array([sha(bpe.decode(x)).hexdigest() for x in lists], pa.string()),
-            ]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+            rows = [digest(found) for found in batch.column(1)]  # one text's ids unpacked at a time
+            columns = [pa.array([row[k] for row in rows], type_) for k, type_ in enumerate((pa.int64(), pa.string(), pa.string()))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     schema = f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string"
     return map_arrow(encoded.select("doc_id", "ids"), run, schema, keeps=True)

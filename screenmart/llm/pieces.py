@@ -92,7 +92,10 @@ def letter_words(texts: list[str]) -> tuple[str, np.ndarray, np.ndarray, np.ndar
 
 
 class Encoded:
-    """Token ids of pieces met so far, found by hash and by content. Forgets all when full: a speed-up, not a limit."""
+    """Token ids of pieces met so far, found by hash and by content. Forgets all when full: a speed-up, not a limit.
+
+    Full is ``most`` pieces, or 16 code points for each of them: some long pieces take the room of many.
+    """
 
     def __init__(
         self,
@@ -119,7 +122,7 @@ class Encoded:
         """Ids of all texts one after the other, and each text's number of them."""
         joined, units, starts, ends, counts = self.split(texts)
         hashes, where, back = distinct_spans(units, starts, ends)
-        if len(self.hashes) + len(hashes) > self.most:
+        if len(self.hashes) + len(hashes) > self.most or self.units.used > 16 * self.most:
             self.forget()
         begin, length = starts[where], ends[where] - starts[where]
         place = np.searchsorted(self.hashes, hashes)

@@ -19,7 +19,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from screenmart.llm import bpe, lm, orc_tokens, pieces
-from screenmart.llm.common import LOWER, shared_path
+from screenmart.llm.common import LOWER, cuts, shared_path
 from tests.llm.conftest import prose
 
 
@@ -75,6 +75,27 @@ def test_bpe_forgets_without_changing_results(library):
         assert small.texts([text])[0].tolist() == library.encode_ordinary(text)
 
 
+def test_remembered_pieces_are_bound_by_their_length(library):
+    merger, _ = bpe._loaded(bpe.default_ranks())
+    small = pieces.Encoded(lambda ps: [merger.encode(p.encode()) for p in ps], most=50)
+    texts = [f"{chr(97 + k) * 300} {k}" for k in range(26)]  # few pieces, many code points
+    for text in texts * 2:
+        assert small.texts([text])[0].tolist() == library.encode_ordinary(text)
+        assert small.units.used <= 16 * small.most + 310
+
+
+def test_bpe_workers_unpack_a_part_of_a_batch_at_a_time(docs_of, library):
+    assert list(cuts([])) == [] and list(cuts([5, 0, 9, 2, 2, 1], 5)) == [(0, 2), (2, 3), (3, 6)]
+    path = bpe.default_ranks()
+    _, encoded = bpe._loaded(path)
+    assert encoded.most <= 200_000 and bpe.PAIRS <= 100_000
+    rows = [(1, None), (2, "a b " * 100_000), (3, ""), (4, "c d"), (5, None)]
+    got = {r.doc_id: (r.n_tokens, r.ids_sha256) for r in bpe.digests(bpe.encode(docs_of(rows).coalesce(1), path), path).collect()}
+    for i, text in rows:
+        ids = library.encode_ordinary(text or "")
+        assert got[i] == (len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest())
+
+
 def test_bpe_round_trip_of_odd_rows(docs_of, odd_rows, library):
     path = bpe.default_ranks()
     docs = docs_of(odd_rows)
