@@ -18,9 +18,9 @@ from screenmart.llm.common import cuts, documents, kept, map_arrow
 from screenmart.llm.pieces import Encoded
 
 #: Pair verdicts that a worker remembers before it starts afresh.
-PAIRS = 100_000
+PAIRS = 150_000
 #: Pieces that a worker remembers, some 100 bytes each; an executor has two workers for each core, one encoding and one decoding.
-PIECES = 200_000
+PIECES = 300_000
 
 
 class Irregular(Exception):
