@@ -14,12 +14,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from screenmart.llm.common import cuts, documents, kept, map_arrow
+from screenmart.llm.common import cuts, documents, kept, map_column
 from screenmart.llm.pieces import Encoded
 
 #: Pair verdicts that a worker remembers before it starts afresh.
 PAIRS = 150_000
-#: Pieces that a worker remembers, some 100 bytes each; an executor has two workers for each core, one encoding and one decoding.
+#: Pieces that a worker remembers, some 100 bytes each; an executor has a worker for each core, which encodes and decodes.
 PIECES = 300_000
 
 
@@ -209,28 +209,30 @@ def encode(docs: DataFrame, path: str, column: str = "ids") -> DataFrame:
     ``path`` names the rank file on every executor. Pieces are those of the pattern that
     belongs to the file. Each worker keeps the ids of pieces it has met.
     """
-    docs = docs.drop(column)
-    at = docs.columns.index("text")
-    schema = T.StructType([*docs.schema, T.StructField(column, T.ArrayType(T.IntegerType()))])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(texts: pa.Array) -> pa.Array:
         _, encoded = _loaded(path)
-        for batch in batches:
-            for begin, end in cuts(pc.binary_length(batch.column(at)).fill_null(0).to_pylist()):
-                part = batch.slice(begin, end - begin)
-                ids, sizes = encoded.texts([t or "" for t in part.column(at).to_pylist()])
-                offsets = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
-                lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids))
-                yield pa.RecordBatch.from_arrays([*part.columns, lists], schema.names)
+        lists = [pa.array([], pa.list_(pa.int32()))]
+        for begin, end in cuts(pc.binary_length(texts).fill_null(0).to_pylist()):
+            ids, sizes = encoded.texts([t or "" for t in texts.slice(begin, end - begin).to_pylist()])
+            offsets = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
+            lists.append(pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids)))
+        return pa.concat_arrays(lists)
 
-    return map_arrow(docs, run, schema, keeps=True)
+    ids = map_column(F.col("text"), run, T.ArrayType(T.IntegerType()), docs.sparkSession)
+    return docs.drop(column).select("*", ids.alias(column))
+
+
+#: What ``digests`` tells of a list of ids.
+DIGESTS = T.StructType(
+    [T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()), T.StructField("decoded_sha256", T.StringType())]
+)
 
 
 def digests(encoded: DataFrame, path: str) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256) of the id lists in column ``ids``, decoded anew."""
-    kind = encoded.schema["doc_id"].dataType.simpleString()
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(lists: pa.Array) -> pa.Array:
         bpe, _ = _loaded(path)
         sha = hashlib.sha256
 
@@ -238,13 +240,12 @@ def digests(encoded: DataFrame, path: str) -> DataFrame:
             ids = np.asarray(found.values).tolist() if found.is_valid else []
             return len(ids), sha(",".join(map(str, ids)).encode()).hexdigest(), sha(bpe.decode(ids)).hexdigest()
 
-        for batch in batches:
-            rows = [digest(found) for found in batch.column(1)]  # one text's ids unpacked at a time
-            columns = [pa.array([row[k] for row in rows], type_) for k, type_ in enumerate((pa.int64(), pa.string(), pa.string()))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+        rows = [digest(found) for found in lists]  # one text's ids unpacked at a time
+        columns = [pa.array([row[k] for row in rows], type_) for k, type_ in enumerate((pa.int64(), pa.string(), pa.string()))]
+        return pa.StructArray.from_arrays(columns, DIGESTS.names)
 
-    schema = f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    return map_arrow(encoded.select("doc_id", "ids"), run, schema, keeps=True)
+    found = map_column(F.col("ids"), run, DIGESTS, encoded.sparkSession)
+    return encoded.select("doc_id", found.alias("found")).select("doc_id", "found.*")
 
 
 def op7_bpe(spark, sf_dir: str) -> DataFrame:

@@ -16,6 +16,7 @@ import regex
 import tiktoken
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from screenmart.llm import bpe, lm, orc_tokens, pieces
@@ -96,6 +97,25 @@ def test_bpe_workers_unpack_a_part_of_a_batch_at_a_time(docs_of, library):
         assert got[i] == (len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest())
 
 
+def test_bpe_encodes_and_decodes_in_one_worker(docs_of, odd_rows, library):
+    path = bpe.default_ranks()
+    docs = docs_of(odd_rows).where("doc_id is not null").withColumn("ids", F.lit("replaced"))
+    encoded = bpe.encode(docs, path)
+    assert encoded.columns[-1] == "ids" and sorted(encoded.columns) == sorted(docs.columns)
+    assert encoded.schema["ids"].dataType.simpleString() == "array<int>"
+    found = bpe.digests(encoded, path)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1 and "MapInArrow" not in plan  # two of them take two workers for each core
+    texts = dict(docs.select("doc_id", "text").collect())
+    got = {r.doc_id: r for r in found.collect()}
+    assert got.keys() == texts.keys()
+    for row in encoded.select("doc_id", "ids").collect():
+        ids = library.encode_ordinary(texts[row.doc_id] or "")
+        assert row.ids == ids and got[row.doc_id].n_tokens == len(ids)
+        assert got[row.doc_id].ids_sha256 == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
+        assert got[row.doc_id].decoded_sha256 == hashlib.sha256((texts[row.doc_id] or "").encode()).hexdigest()
+
+
 def test_bpe_round_trip_of_odd_rows(docs_of, odd_rows, library):
     path = bpe.default_ranks()
     docs = docs_of(odd_rows)
